@@ -29,10 +29,9 @@ def fixed_string(data: Column, padding: Column | str) -> Column:
     if isinstance(padding, str):
         padding = F.lit(padding)
     text = F.decode(data, "UTF-8")
-    zero = F.lit("\0")
     return (
-        F.when(padding == "nullterm", F.substring_index(text, zero, 1))
-        .when(padding == "nullpad", F.rtrim(text, zero))
+        F.when(padding == "nullterm", F.substring_index(text, "\0", 1))
+        .when(padding == "nullpad", F.rtrim(text, F.lit("\0")))
         .when(padding == "spacepad", F.rtrim(text, F.lit(" ")))
     )
 

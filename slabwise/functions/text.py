@@ -13,46 +13,24 @@ def sanitize_name(path: Column) -> Column:
 def c_number(value: Column) -> Column:
     """A number in six significant digits, as a C++ output stream prints it.
 
-    ``format_number`` with a scientific pattern rounds on the exact binary value
-    (half to even), as C does; the digits are then laid out as fixed or
-    exponent notation.
+    ``format_number`` rounds on the exact binary value (half to even), as C
+    does, and its patterns drop trailing zeros.  The exponent after rounding
+    chooses between fixed and exponent notation.
     """
     value = value.cast("double")
-    sci = F.call_function("format_number", F.abs(value), F.lit("0.00000E0"))
-    exponent = F.substring_index(sci, "E", -1).cast("int")
-    digits = F.translate(F.substring_index(sci, "E", 1), ".", "")
-    keep = F.greatest(F.length(F.rtrim(digits, F.lit("0"))), F.lit(1))
-
-    tail = digits.substr(F.lit(2), keep - 1)
-    mantissa = F.concat(digits.substr(1, 1), F.when(keep > 1, F.concat(F.lit("."), tail)).otherwise(""))
-    exponent_sign = F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+"))
-    exponent_text = F.abs(exponent).cast("string")
-    scientific = F.concat(
-        mantissa,
-        exponent_sign,
-        F.when(F.length(exponent_text) < 2, F.lit("0")).otherwise(""),
-        exponent_text,
-    )
 
-    whole = digits.substr(F.lit(1), exponent + 1)
-    fraction = digits.substr(exponent + 2, F.greatest(keep - exponent - 1, F.lit(0)))
-    at_least_one = F.concat(
-        whole, F.when(keep > exponent + 1, F.concat(F.lit("."), fraction)).otherwise("")
-    )
-    below_one = F.concat(
-        F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits.substr(F.lit(1), keep)
-    )
-    text = (
-        F.when(value == 0, F.lit("0"))
-        .when((exponent < -4) | (exponent >= 6), scientific)
-        .when(exponent >= 0, at_least_one)
-        .otherwise(below_one)
-    )
-    negative = (value < 0) | F.startswith(value.cast("string"), F.lit("-"))
-    signed = F.concat(F.when(negative, F.lit("-")).otherwise(""), text)
+    def layout(scientific: Column) -> Column:
+        exponent = F.substring_index(scientific, "E", -1).cast("int")
+        length = F.when(exponent == 5, 1).otherwise(7 - exponent)  # no point for whole numbers
+        places = F.rpad(F.lit("0."), length, "#")
+        fixed = F.call_function("format_number", value, places)
+        exponential = F.replace(F.replace(scientific, F.lit("E-"), F.lit("e-")), F.lit("E"), F.lit("e+"))
+        return F.when(exponent.between(-4, 5), fixed).otherwise(exponential)
+
+    text = layout(F.call_function("format_number", value, F.lit("0.#####E00")))
     return (
         F.when(F.isnan(value), F.lit("nan"))
         .when(value == float("inf"), F.lit("inf"))
         .when(value == float("-inf"), F.lit("-inf"))
-        .otherwise(signed)
+        .otherwise(text)
     )

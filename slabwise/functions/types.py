@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 # Array type name -> (Spark type, bytes in the file).  Unsigned
 # types widen to the next signed type so that no value is lost.
 SPARK_TYPES = {
-    "int8": ("tinyint", 1),
-    "int16": ("smallint", 2),
-    "int32": ("int", 4),
-    "int64": ("bigint", 8),
-    "uint8": ("smallint", 1),
-    "uint16": ("int", 2),
-    "uint32": ("bigint", 4),
-    "uint64": ("decimal(20,0)", 8),
-    "float16": ("float", 2),
-    "float": ("float", 4),
-    "double": ("double", 8),
+    "int8": (T.ByteType(), 1),
+    "int16": (T.ShortType(), 2),
+    "int32": (T.IntegerType(), 4),
+    "int64": (T.LongType(), 8),
+    "uint8": (T.ShortType(), 1),
+    "uint16": (T.IntegerType(), 2),
+    "uint32": (T.LongType(), 4),
+    "uint64": (T.DecimalType(20, 0), 8),
+    "float16": (T.FloatType(), 2),
+    "float": (T.FloatType(), 4),
+    "double": (T.DoubleType(), 8),
 }
 
 # Element classes by class code, and those that load as arrays.
@@ -54,7 +54,7 @@ def float_type_name(size: Column) -> Column:
 
 def spark_type_name(type_name: Column) -> Column:
     """Spark type of an array type; null where there is none."""
-    table = {name: spark for name, (spark, _) in SPARK_TYPES.items()}
+    table = {name: dtype.simpleString() for name, (dtype, _) in SPARK_TYPES.items()}
     return _lookup(table, type_name)
 
 

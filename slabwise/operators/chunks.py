@@ -144,21 +144,19 @@ def holes(cells: DataFrame, dim: str, block: int = GRID_BLOCK) -> DataFrame:
     Coordinates merge per block first; only blocks that lack some coordinate are
     expanded, so a nearly dense array of any size stays cheap.
     """
-    coord = F.col(dim).cast("bigint")
-    present = cells.select(coord.alias(dim)).distinct()
-    blocks = present.groupBy(integer_div(F.col(dim), block).alias("_block")).agg(
-        F.count(F.lit(1)).alias("_found"), F.max(dim).alias("_top")
+    present = cells.select(F.col(dim).cast("bigint").alias(dim)).distinct()
+    found = present.groupBy(integer_div(F.col(dim), block).alias("_part")).agg(
+        F.count(F.lit(1)).alias("_found")
     )
     top = present.agg(F.max(dim).alias("_last"))
-    expected = _spread_range(
-        top.select("_last", (integer_div(F.col("_last"), block) + 1).alias("_n")), "_n", "_block"
-    ).select("_block", F.least(F.lit(block).cast("bigint"), F.col("_last") + 1 - F.col("_block") * block).alias("_size"))
-    short = (
-        expected.join(blocks.select("_block", "_found"), "_block", "left")
-        .where(F.coalesce("_found", F.lit(0)) < F.col("_size"))
-        .select("_block", "_size")
+    parts = top.select("_last", (integer_div(F.col("_last"), block) + 1).alias("_parts"))
+    first = F.col("_part") * block
+    expected = _spread_range(parts, "_parts", "_part").select(
+        "_part", F.least(F.lit(block).cast("bigint"), F.col("_last") + 1 - first).alias("_size")
+    )
+    short = expected.join(found, "_part", "left").where(
+        F.coalesce("_found", F.lit(0)) < F.col("_size")
     )
-    first = F.col("_block") * block
     candidates = short.select(F.explode(F.sequence(first, first + F.col("_size") - 1)).alias(dim))
     return candidates.join(present, dim, "left_anti")
 

@@ -205,8 +205,8 @@ class FitsImage:
         elif kind == "double":
             values = unit.zero + unit.scale * raw.astype("f8")
         else:
-            target = {"tinyint": "i1", "smallint": "i2", "int": "i4", "bigint": "i8"}
-            values = (raw.astype("i8") + int(unit.zero)).astype(target[SPARK_TYPES[kind][0]])
+            width = SPARK_TYPES[kind][1] * (2 if kind.startswith("u") else 1)
+            values = (raw.astype("i8") + int(unit.zero)).astype(f"i{width}")
         return [pa.array(values, mask=mask)]
 
 

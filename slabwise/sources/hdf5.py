@@ -17,7 +17,7 @@ from math import prod
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql.types import ArrayType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from slabwise.functions.types import SPARK_TYPES, TYPE_CLASSES
 from slabwise.schema import UNLIMITED, ArrayError, ArraySchema, Attr, CorruptFile, Dim, UnsupportedType
@@ -60,7 +60,7 @@ class ElementType:
             return {2: "float16", 4: "float", 8: "double"}.get(self.size, f"float{self.size * 8}")
         if self.class_name == "ENUM":
             return self.base.type_name
-        return ""
+        return "string" if self.class_name == "STRING" else ""
 
     @property
     def ddl_name(self) -> str:
@@ -102,10 +102,9 @@ class ElementType:
         if kind in ("INTEGER", "FLOAT", "ENUM"):
             if self.type_name not in SPARK_TYPES:
                 raise UnsupportedType(f"element type {self.type_name}")
-            ddl = SPARK_TYPES[self.type_name][0]
-            return StructType.fromDDL(f"x {ddl}")["x"].dataType
+            return SPARK_TYPES[self.type_name][0]
         if kind == "STRING" or self.variable_string:
-            return StructType.fromDDL("x string")["x"].dataType
+            return StringType()
         if kind in ("ARRAY", "VLEN"):
             return ArrayType(self.base.spark())
         if kind == "COMPOUND":

@@ -84,8 +84,7 @@ def spark_schema(array, options: dict) -> StructType:
     else:
         heads = names
     fields = [StructField(h, LongType(), False) for h in heads]
-    for name, kind in _wanted(array, options):
-        dtype = StructType.fromDDL(f"x {kind}")["x"].dataType if isinstance(kind, str) else kind
+    for name, dtype in _wanted(array, options):
         fields.append(StructField(name, ArrayType(dtype) if slabs else dtype, True))
     if options.get("withpath", "false").lower() == "true":
         fields.append(StructField("source_path", StringType(), False))
