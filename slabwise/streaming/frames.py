@@ -95,5 +95,9 @@ def window_stats(frames: DataFrame, time: str, attr: str, width: str, by: list[s
 def window_stats_stream(
     frames: DataFrame, time: str, attr: str, width: str, late: str, by: list[str] | None = None
 ) -> DataFrame:
-    """The same with a watermark: state is dropped once a window can get no more frames."""
-    return window_stats(frames.withWatermark(time, late), time, attr, width, by)
+    """The same with a watermark: state is dropped once a window can get no more frames.
+
+    Watermarks need instants, so a zone-less time is read in the session zone.
+    """
+    timed = frames.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late)
+    return window_stats(timed, time, attr, width, by)
