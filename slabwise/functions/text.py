@@ -14,23 +14,24 @@ def c_number(value: Column) -> Column:
     """A number in six significant digits, as a C++ output stream prints it.
 
     ``format_number`` rounds on the exact binary value (half to even), as C
-    does, and its patterns drop trailing zeros.  The exponent after rounding
-    chooses between fixed and exponent notation.
+    does; its digits are then laid out in fixed or exponent notation.
     """
     value = value.cast("double")
-
-    def layout(scientific: Column) -> Column:
-        exponent = F.substring_index(scientific, "E", -1).cast("int")
-        length = F.when(exponent == 5, 1).otherwise(7 - exponent)  # no point for whole numbers
-        places = F.rpad(F.lit("0."), length, "#")
-        fixed = F.call_function("format_number", value, places)
-        exponential = F.replace(F.replace(scientific, F.lit("E-"), F.lit("e-")), F.lit("E"), F.lit("e+"))
-        return F.when(exponent.between(-4, 5), fixed).otherwise(exponential)
-
-    text = layout(F.call_function("format_number", value, F.lit("0.#####E00")))
-    return (
-        F.when(F.isnan(value), F.lit("nan"))
-        .when(value == float("inf"), F.lit("inf"))
-        .when(value == float("-inf"), F.lit("-inf"))
-        .otherwise(text)
+    scientific = F.call_function("format_number", value, F.lit("0.#####E00"))
+    # Sign and body both always read the text, so generated code makes it once.
+    sign = F.when(F.startswith(scientific, F.lit("-")), F.lit("-")).otherwise("")
+    exponent = F.substring_index(scientific, "E", -1).try_cast("int")  # null for nan and inf
+    digits = F.translate(F.substring_index(scientific, "E", 1), "-.", "")
+    whole = F.rpad(digits, exponent + 1, "0")  # cuts or fills to the digits before the point
+    fraction = F.concat(F.lit("."), digits.substr(exponent + 2, F.lit(6)))
+    fixed = F.concat(whole, F.when(F.length(digits) > exponent + 1, fraction).otherwise(""))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
+    marked = F.replace(F.replace(scientific, F.lit("E-"), F.lit("e-")), F.lit("E"), F.lit("e+"))
+    body = (
+        F.when(exponent.between(0, 5), fixed)
+        .when(exponent.between(-4, -1), small)
+        .when(F.isnan(value), F.lit("nan"))
+        .when(F.abs(value) == float("inf"), F.lit("inf"))
+        .otherwise(F.ltrim(marked, F.lit("-")))
     )
+    return F.concat(sign, body)
