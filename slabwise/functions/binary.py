@@ -10,14 +10,17 @@ def decode_int(data: Column, size: int, signed: bool, big_endian: bool, offset:
 
     Unsigned 8-byte values come back as DECIMAL(20,0), all others as BIGINT.
     """
-    order = range(size) if big_endian else range(size - 1, -1, -1)
-    digits = F.concat(*[F.hex(F.substring(data, offset + 1 + i, 1)) for i in order])
-    value = F.conv(digits, 16, 10).cast("decimal(20,0)")
+    digits = F.hex(F.substring(data, offset + 1, size))
+    if not big_endian:
+        digits = F.concat(*[F.substring(digits, 2 * i + 1, 2) for i in reversed(range(size))])
+    if size == 8:
+        # conv wraps at 64 bits; a negative base asks for the signed reading.
+        return F.conv(digits, 16, -10).cast("bigint") if signed else F.conv(digits, 16, 10).cast("decimal(20,0)")
+    value = F.conv(digits, 16, 10).cast("bigint")
     if signed:
-        span = F.lit(str(2 ** (8 * size))).cast("decimal(20,0)")
-        half = F.lit(str(2 ** (8 * size - 1))).cast("decimal(20,0)")
-        value = F.when(value >= half, value - span).otherwise(value)
-    return value if size == 8 and not signed else value.cast("bigint")
+        span = 2 ** (8 * size)
+        value = F.when(value >= span // 2, value - span).otherwise(value)
+    return value
 
 
 def fixed_string(data: Column, padding: Column | str) -> Column:

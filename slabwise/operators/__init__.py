@@ -1,8 +1,16 @@
 """Array operators: DataFrame in, DataFrame out."""
 
 from slabwise.operators.align import align_frames
-from slabwise.operators.chunks import array_size, dense_check, dim_bounds, holes, slab_grid
-from slabwise.operators.dump import array_ddl, dump_frames, dump_records, show_schema
+from slabwise.operators.chunks import (
+    array_size,
+    dense_check,
+    dense_check_box,
+    dim_bounds,
+    holes,
+    slab_bytes,
+    slab_grid,
+)
+from slabwise.operators.dump import array_ddl, dump_frames, dump_records, show_schema, write_lines
 from slabwise.operators.query import (
     avg_all,
     count_cells,
@@ -38,6 +46,7 @@ __all__ = [
     "compound_to_attrs",
     "count_cells",
     "dense_check",
+    "dense_check_box",
     "dim_bounds",
     "dump_frames",
     "dump_records",
@@ -51,6 +60,7 @@ __all__ = [
     "redistribute",
     "scalar_array",
     "show_schema",
+    "slab_bytes",
     "slab_grid",
     "split_attrs",
     "stats_by_dim",
@@ -61,4 +71,5 @@ __all__ = [
     "unroll",
     "unroll_nested",
     "vlen_unwrap",
+    "write_lines",
 ]

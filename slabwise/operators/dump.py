@@ -116,3 +116,14 @@ def array_ddl(catalog: DataFrame) -> DataFrame:
         F.lit("];"),
     )
     return catalog.withColumn("ddl", text)
+
+
+def write_lines(lines: DataFrame, path: str, text: str = "line", order: str | None = None, mode: str = "errorifexists") -> None:
+    """Lines to text files.  With ``order`` files and their lines follow that column.
+
+    Ordering is by range, many files in parallel; reading them by name gives
+    the whole text.
+    """
+    if order is not None:
+        lines = lines.repartitionByRange(order).sortWithinPartitions(order)
+    lines.select(F.col(text).alias("value")).write.mode(mode).text(path)

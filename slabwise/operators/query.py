@@ -6,7 +6,7 @@ from math import prod
 
 from pyspark.sql import DataFrame, functions as F
 
-from slabwise.functions.coords import integer_div, linearize
+from slabwise.functions.coords import linearize
 from slabwise.operators.restructure import unpack_slabs
 from slabwise.schema import ArraySchema, BadBounds
 
@@ -69,22 +69,18 @@ def stdev_by_dim(cells: DataFrame, dims: list[str], attr: str) -> DataFrame:
     return cells.groupBy(*dims).agg(F.stddev_samp(attr).alias("stdev"))
 
 
-def first_n_elements(cells: DataFrame, schema: ArraySchema, n: int) -> DataFrame:
-    """The first ``n`` cells in row-major order.
+def first_n_elements(cells: DataFrame, schema: ArraySchema, n: int, first_fastest: bool = False) -> DataFrame:
+    """The first ``n`` cells in file order; images move their first dimension fastest.
 
     No sort: the offset is arithmetic, and the bound on the slowest dimension is
     a bare comparison that prunes files and row groups.
     """
-    dims, shape = schema.dim_names, schema.shape
-    offset = linearize([F.col(d) for d in dims], shape)
+    dims = schema.dims[::-1] if first_fastest else schema.dims
+    names, shape = [d.name for d in dims], [d.size for d in dims]
+    offset = linearize([F.col(d) for d in names], shape)
     slowest = (n - 1) // prod(shape[1:])
-    return cells.where(F.col(dims[0]) <= slowest).where(offset < n)
+    return cells.where(F.col(names[0]) <= slowest).where(offset < n)
 
 
 def first_n_slabs(slabs: DataFrame, n: int) -> DataFrame:
     return slabs.where(F.col("slab_no") < n)
-
-
-def frame_of_offset(offset, frame_cells: int):
-    """Frame (slowest coordinate) that holds a row-major offset."""
-    return integer_div(offset, frame_cells)

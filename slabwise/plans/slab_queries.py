@@ -4,22 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from slabwise.functions import slab_cell_count, slab_number, slab_origin, spark_type_name, type_bytes
+from slabwise.functions import slab_number, slab_origin, type_bytes
 from slabwise.operators import (
     array_size,
     dense_check,
+    dense_check_box,
     dim_bounds,
     first_n_slabs,
     holes,
     pack_slabs,
     redistribute,
+    slab_bytes,
     slab_grid,
     stdev_by_dim,
     subarray_slabs,
     unpack_slabs,
     unroll,
 )
-from slabwise.operators.chunks import slab_bytes
 from slabwise.plans.array_queries import CELLS_SQL
 from slabwise.plans.registry import query, rounded, table
 from slabwise.schema import ArraySchema, Attr, Dim, chunk_plan_column
@@ -62,11 +63,17 @@ def part_arrays(spark, sf_dir):
     )
 
 
+_stored: dict[tuple, str] = {}
+
+
 def stored_plane(spark, sf_dir):
-    """The 2-D view packed and stored as Parquet slabs; path and description."""
-    schema, path = plane_schema(spark, sf_dir), scratch_dir(spark, "plane")
-    store_array(pack_slabs(plane(spark, sf_dir), schema), path, schema)
-    return path
+    """Path of the 2-D view packed and stored as slabs; written once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stored:
+        schema, path = plane_schema(spark, sf_dir), scratch_dir(spark, "plane")
+        store_array(pack_slabs(plane(spark, sf_dir), schema), path, schema)
+        _stored[key] = path
+    return _stored[key]
 
 
 @query(
@@ -218,6 +225,23 @@ def _dense_check(spark, sf_dir):
     return checks
 
 
+@query(
+    "dense_check_box",
+    """
+    SELECT count(*) AS cells, count(DISTINCT (l_orderkey, l_linenumber)) AS distinct_cells, 0::BIGINT AS outside,
+           (max(l_orderkey) + 1) * 8::BIGINT AS box_cells,
+           count(*) = (max(l_orderkey) + 1) * 8
+           AND count(DISTINCT (l_orderkey, l_linenumber)) = (max(l_orderkey) + 1) * 8 AS dense FROM lineitem
+    """,
+)
+def _dense_check_box(spark, sf_dir):
+    """Cells against a declared box: both copies and holes are found."""
+    lines = table(spark, sf_dir, "lineitem")
+    top = lines.agg(F.max("l_orderkey")).first()[0]
+    dims = (Dim("l_orderkey", top + 1), Dim("l_linenumber", 8))
+    return dense_check_box(lines, ArraySchema("lines", (), dims))
+
+
 @query(
     "array_holes",
     """

@@ -49,3 +49,13 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     folder = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}")
     system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     return system.makeQualified(folder).toString()
+
+
+def task_count(spark: SparkSession) -> int:
+    """Tasks for work whose rows are tiny but costly, such as file headers.
+
+    Adaptive execution would merge such rows into one task by their size, so
+    these repartitions name a number, which it leaves alone.
+    """
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(shuffle, spark.sparkContext.defaultParallelism)

@@ -1,10 +1,19 @@
 """File formats and stored arrays."""
 
 from slabwise.sources.catalog import fits_catalog, fits_header, hdf5_catalog, list_files
-from slabwise.sources.scan import load_fits, load_hdf5, register
-from slabwise.sources.store import open_array, store_array
+from slabwise.sources.scan import (
+    describe_fits,
+    describe_hdf5,
+    load_fits,
+    load_hdf5,
+    register,
+    scan_listed,
+)
+from slabwise.sources.store import open_array, store_array, store_fits, store_hdf5
 
 __all__ = [
+    "describe_fits",
+    "describe_hdf5",
     "fits_catalog",
     "fits_header",
     "hdf5_catalog",
@@ -13,5 +22,8 @@ __all__ = [
     "load_hdf5",
     "open_array",
     "register",
+    "scan_listed",
     "store_array",
+    "store_fits",
+    "store_hdf5",
 ]

@@ -7,9 +7,12 @@ every task reads only the headers of its own files.
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from slabwise.schema import UNLIMITED, UnsupportedType
+from slabwise.session import task_count
 from slabwise.sources.files import RangedFile
 from slabwise.sources.fits import units
 from slabwise.sources.hdf5 import Hdf5File, describe
@@ -45,9 +48,6 @@ def list_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
 
 def _per_file(files: DataFrame, rows_of, schema: str) -> DataFrame:
     """Run a header reader over the files of each task, in bounded batches."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def read(batches):
@@ -64,7 +64,8 @@ def _per_file(files: DataFrame, rows_of, schema: str) -> DataFrame:
             yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
     # Header reads wait on storage, so files are spread evenly, not by size.
-    return files.select("path").repartition("path").mapInArrow(read, schema)
+    spread = files.select("path").repartition(task_count(files.sparkSession), "path")
+    return spread.mapInArrow(read, schema)
 
 
 def hdf5_catalog(spark: SparkSession, path: str, pattern: str = "*.h5") -> DataFrame:

@@ -3,10 +3,13 @@
     register(spark)
     spark.read.format("hdf5_array").option("dataset", "/run/image").load(folder)
 
-The driver lists files and reads one header for the schema.  Each file is cut
-into numbered splits; a task opens its file, works out the slabs of its split
-from the header and reads only their bytes, so headers, data and decoding are
-all spread over the executors.
+The driver lists files and reads one header for the schema.  Large files are cut
+into numbered splits and small ones share a task; a task opens its files, works
+out the slabs of its splits from the headers and reads only their bytes, so
+headers, data and decoding are all spread over the executors.  A listing too
+long for the driver goes through ``scan_listed``.
+
+``spark.readStream.format("hdf5_array")`` follows one file whose dataset grows.
 
 Options: ``hdu`` or ``dataset``; ``layout`` = ``cells`` (default) or ``slabs``;
 ``columns`` = comma-separated attributes to read; ``lo`` / ``hi`` =
@@ -16,15 +19,16 @@ comma-separated inclusive bounds in dimension order, ``*`` for open;
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from math import prod
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceReader,
+    DataSourceStreamReader,
     EqualTo,
     GreaterThan,
     GreaterThanOrEqual,
@@ -34,12 +38,15 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from slabwise.schema import ArrayError, BadBounds
+from slabwise.functions.coords import integer_div
+from slabwise.schema import ArrayError, ArraySchema, BadBounds
+from slabwise.session import task_count
 from slabwise.sources.files import RangedFile, list_paths
 from slabwise.sources.fits import FitsImage
 from slabwise.sources.hdf5 import Hdf5Dataset
 
 SPLIT_BYTES = 64 * 1024 * 1024
+OPEN_COST = 4 * 1024 * 1024  # bytes one could read while a file is opened
 BATCH_CELLS = 256 * 1024
 # Up to this many files the driver sizes splits from headers, beyond it from file sizes.
 HEADERS_ON_DRIVER = 32
@@ -48,12 +55,11 @@ PUSHDOWN_CONF = "spark.sql.python.filterPushdown.enabled"
 
 
 @dataclass
-class Split(InputPartition):
-    """Part ``part`` of ``parts`` of a file's slabs."""
+class Splits(InputPartition):
+    """Work of one task: ``(path, part, parts)``, part of a file's slabs each."""
 
-    path: str
-    part: int
-    parts: int
+    pieces: list[tuple[str, int, int]]
+    extra: list = field(default_factory=list)
 
 
 def _bounds(options: dict, side: str, rank: int) -> list[int | None]:
@@ -203,27 +209,75 @@ class ArrayReader(DataSourceReader):
 
     def partitions(self):
         paths = list_paths(self.options["path"], FORMATS[self.form].suffixes)
-        return plan_splits(self.form, paths, self.options)
+        return plan_splits(self.form, paths, self.options, self.extra)
 
-    def read(self, partition: Split):
-        yield from read_split(
-            self.form, partition.path, partition.part, partition.parts, self.options, self.extra
-        )
+    def read(self, partition: Splits):
+        for path, part, parts in partition.pieces:
+            yield from read_split(self.form, path, part, parts, self.options, partition.extra)
 
 
-def plan_splits(form: str, paths: list[tuple[str, int]], options: dict) -> list[Split]:
+def plan_splits(form: str, paths: list[tuple[str, int]], options: dict, extra=()) -> list[Splits]:
+    """Tasks of about equal bytes: large files in parts, small files together."""
     target = int(options.get("splitbytes", SPLIT_BYTES))
-    splits = []
+    tasks, shared, filled = [], [], 0
     for path, size in paths:
         parts = -(-size // target)
         if parts > 1 and len(paths) <= HEADERS_ON_DRIVER:
-            with RangedFile(path, ahead=64 * 1024) as file:
+            with RangedFile(path) as file:
                 array = FORMATS[form](file, options)
                 slabs = prod(-(-d.size // d.step) for d in array.file_dims if d.step)
                 data = prod(d.size for d in array.file_dims) * array.raw.itemsize
                 parts = min(parts, slabs, -(-data // target))
-        splits += [Split(path, i, max(parts, 1)) for i in range(max(parts, 1))]
-    return splits
+        if parts > 1:
+            tasks += [[(path, i, parts)] for i in range(parts)]
+            continue
+        cost = size + min(OPEN_COST, target)
+        if shared and filled + cost > target:
+            tasks.append(shared)
+            shared, filled = [], 0
+        shared.append((path, 0, 1))
+        filled += cost
+    if shared:
+        tasks.append(shared)
+    return [Splits(pieces, list(extra)) for pieces in tasks]
+
+
+class GrowingReader(DataSourceStreamReader):
+    """New frames of one extendable dataset; the offset is its frame count."""
+
+    def __init__(self, form: str, options: dict):
+        self.form, self.options = form, dict(options)
+
+    def _array(self, use):
+        path, _ = self._file()
+        with RangedFile(path) as file:
+            return use(FORMATS[self.form](file, self.options))
+
+    def _file(self):
+        paths = list_paths(self.options["path"], FORMATS[self.form].suffixes)
+        if len(paths) != 1:
+            raise ArrayError("a growing dataset is one file; follow a folder with scan_stream")
+        return paths[0]
+
+    def initialOffset(self):
+        return {"frames": 0}
+
+    def latestOffset(self):
+        return {"frames": self._array(lambda a: a.file_dims[0].size)}
+
+    def partitions(self, start, end):
+        if start["frames"] >= end["frames"]:
+            return []
+        name = self._array(lambda a: a.file_dims[0].name)
+        fresh = [(name, start["frames"], end["frames"] - 1)]
+        return plan_splits(self.form, [self._file()], self.options, fresh)
+
+    def read(self, partition: Splits):
+        for path, part, parts in partition.pieces:
+            yield from read_split(self.form, path, part, parts, self.options, partition.extra)
+
+    def commit(self, end):
+        pass
 
 
 class PushdownReader(ArrayReader):
@@ -254,7 +308,7 @@ class PushdownReader(ArrayReader):
 def _probe(form: str, options: dict, use):
     """Open the first file and apply ``use`` to its array."""
     path, _ = list_paths(options["path"], FORMATS[form].suffixes)[0]
-    with RangedFile(path, ahead=64 * 1024) as file:
+    with RangedFile(path) as file:
         return use(FORMATS[form](file, options))
 
 
@@ -277,6 +331,9 @@ class _ArraySource(DataSource):
     def reader(self, schema):
         return self.reader_class(self.form, self.options)
 
+    def streamReader(self, schema):
+        return GrowingReader(self.form, self.options)
+
 
 class FitsSource(_ArraySource):
     form = "fits_image"
@@ -319,3 +376,37 @@ def load_fits(spark: SparkSession, path: str, hdu: int = 0, **options) -> DataFr
 def load_hdf5(spark: SparkSession, path: str, dataset: str, **options) -> DataFrame:
     """One dataset of an HDF5 file, or of all HDF5 files of a folder."""
     return _load(spark, "hdf5_array", path, {"dataset": dataset, **options})
+
+
+def describe_fits(path: str, hdu: int = 0) -> ArraySchema:
+    """Array description of an image unit, from the (first) file's header."""
+    return _probe("fits_image", {"path": path, "hdu": hdu}, lambda a: a.schema.planned())
+
+
+def describe_hdf5(path: str, dataset: str) -> ArraySchema:
+    """Array description of a dataset, from the (first) file's header."""
+    return _probe("hdf5_array", {"path": path, "dataset": dataset}, lambda a: a.schema)
+
+
+def scan_listed(files: DataFrame, form: str, sample: str, options: dict) -> DataFrame:
+    """Cells of the files of a ``(path, length)`` DataFrame, batch or stream.
+
+    ``sample`` is a file or folder whose first header gives the schema.  Large
+    files become many rows before the shuffle, one per split.
+    """
+    options = {**{k.lower(): str(v) for k, v in options.items()}, "withpath": "true"}
+    schema = file_columns(form, {**options, "path": sample})
+    target = int(options.get("splitbytes", SPLIT_BYTES))
+    zero = F.lit(0).cast("bigint")
+    parts = F.greatest(integer_div(F.col("length") + (target - 1), target), zero + 1)
+    splits = files.select("path", parts.alias("parts")).select(
+        "path", "parts", F.explode(F.sequence(zero, F.col("parts") - 1)).alias("part")
+    )
+
+    def read(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield from read_split(form, row["path"], row["part"], row["parts"], options)
+
+    spread = splits.repartition(task_count(files.sparkSession), "path", "part")
+    return spread.mapInArrow(read, schema)

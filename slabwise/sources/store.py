@@ -3,12 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import ArrayType
 
 from slabwise.schema import ArraySchema
+from slabwise.sources.scan import describe_fits, describe_hdf5, load_fits, load_hdf5
 
+# A slab row may hold a mebibyte of cells, so the Parquet writer must look at
+# its buffers after few rows; by default it first looks after a hundred.
+WIDE_ROW_OPTIONS = {
+    "parquet.block.size.row.check.min": "4",
+    "parquet.page.size.row.check.min": "1",
+}
 
-def store_array(df: DataFrame, path: str, schema: ArraySchema, mode: str = "errorifexists",
-                partition_by: list[str] | None = None) -> None:
+
+def store_array(
+    df: DataFrame, path: str, schema: ArraySchema, mode: str = "errorifexists",
+    partition_by: list[str] | None = None,
+) -> None:
     """Keep an array.  ``mode="overwrite"`` replaces an existing one.
 
     Nothing is shuffled: scans and packs already leave neighbouring slabs
@@ -16,6 +27,8 @@ def store_array(df: DataFrame, path: str, schema: ArraySchema, mode: str = "erro
     another spread, or ``partition_by`` for folders.
     """
     writer = schema.attach(df).write.mode(mode)
+    if any(isinstance(f.dataType, ArrayType) for f in df.schema.fields):
+        writer = writer.options(**WIDE_ROW_OPTIONS)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -25,3 +38,19 @@ def open_array(spark: SparkSession, path: str) -> tuple[DataFrame, ArraySchema]:
     """A stored array and its description."""
     df = spark.read.parquet(path)
     return df, ArraySchema.of(df)
+
+
+def store_fits(spark: SparkSession, target: str, path: str, hdu: int = 0, layout: str = "cells") -> ArraySchema:
+    """Load an image unit into ``target``, replacing what was there."""
+    schema = describe_fits(path, hdu)
+    store_array(load_fits(spark, path, hdu, layout=layout), target, schema, mode="overwrite")
+    return schema
+
+
+def store_hdf5(
+    spark: SparkSession, target: str, path: str, dataset: str, layout: str = "cells", mode: str = "errorifexists"
+) -> ArraySchema:
+    """Load a dataset and keep it under ``target``."""
+    schema = describe_hdf5(path, dataset)
+    store_array(load_hdf5(spark, path, dataset, layout=layout), target, schema, mode=mode)
+    return schema

@@ -1,6 +1,7 @@
 """Streaming ingest of growing arrays."""
 
 from slabwise.streaming.frames import (
+    follow_hdf5,
     ingest_fits,
     ingest_frames,
     ingest_hdf5,
@@ -8,4 +9,4 @@ from slabwise.streaming.frames import (
     window_stats_stream,
 )
 
-__all__ = ["ingest_fits", "ingest_frames", "ingest_hdf5", "window_stats", "window_stats_stream"]
+__all__ = ["follow_hdf5", "ingest_fits", "ingest_frames", "ingest_hdf5", "window_stats", "window_stats_stream"]

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from slabwise.functions.coords import integer_div
-from slabwise.sources.scan import SPLIT_BYTES, file_columns, read_split
+from slabwise.sources.scan import register, scan_listed
 
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -24,26 +23,15 @@ def _stream_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     )
 
 
-def scan_stream(spark: SparkSession, folder: str, form: str, pattern: str, sample: str, options: dict) -> DataFrame:
-    """Cells of every new file, decoded split by split on the executors.
+def scan_stream(spark: SparkSession, folder: str, form: str, pattern: str, options: dict) -> DataFrame:
+    """Cells of every new file, decoded split by split on the executors."""
+    return scan_listed(_stream_files(spark, folder, pattern), form, folder, options)
 
-    ``sample`` is a file or folder whose first header gives the schema.
-    """
-    options = {**{k.lower(): str(v) for k, v in options.items()}, "withpath": "true"}
-    schema = file_columns(form, {**options, "path": sample})
-    parts = F.greatest(integer_div(F.col("length") + (SPLIT_BYTES - 1), SPLIT_BYTES), F.lit(1).cast("bigint"))
-    one = F.lit(0).cast("bigint")
-    splits = _stream_files(spark, folder, pattern).select(
-        "path", parts.alias("parts"), F.explode(F.sequence(one, parts - 1)).alias("part")
-    )
-
-    def read(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                yield from read_split(form, row["path"], row["part"], row["parts"], options)
 
-    # One split per key, so a large file is read by many tasks.
-    return splits.repartition("path", "part").mapInArrow(read, schema)
+def follow_hdf5(spark: SparkSession, path: str, dataset: str) -> DataFrame:
+    """A stream of the frames appended to one extendable dataset."""
+    register(spark)
+    return spark.readStream.format("hdf5_array").option("dataset", dataset).load(path)
 
 
 def _start(frames: DataFrame, target: str, checkpoint: str, trigger: dict | None) -> StreamingQuery:
@@ -60,7 +48,7 @@ def ingest_fits(
     The file log of the checkpoint makes each file count once, also after a
     restart.  The default trigger takes what is there and stops.
     """
-    cells = scan_stream(spark, folder, "fits_image", pattern, folder, {"hdu": hdu, **options})
+    cells = scan_stream(spark, folder, "fits_image", pattern, {"hdu": hdu, **options})
     return _start(cells, target, checkpoint, trigger)
 
 
@@ -69,7 +57,7 @@ def ingest_hdf5(
     pattern: str = "*.h5", trigger: dict | None = None, **options,
 ) -> StreamingQuery:
     """The same for one dataset of every new HDF5 file."""
-    cells = scan_stream(spark, folder, "hdf5_array", pattern, folder, {"dataset": dataset, **options})
+    cells = scan_stream(spark, folder, "hdf5_array", pattern, {"dataset": dataset, **options})
     return _start(cells, target, checkpoint, trigger)
 
 

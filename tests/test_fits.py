@@ -6,10 +6,20 @@ from pyspark.sql import functions as F
 
 from slabwise import CorruptFile, UnsupportedType
 from slabwise.plans import fits_bytes
-from slabwise.sources import fits_catalog, fits_header, load_fits, open_array, store_array
+from slabwise.operators import first_n_elements, unpack_slabs
+from slabwise.sources import (
+    describe_fits,
+    fits_catalog,
+    fits_header,
+    list_files,
+    load_fits,
+    open_array,
+    scan_listed,
+    store_fits,
+)
 from slabwise.sources.files import RangedFile
 from slabwise.sources.scan import read_split
-from slabwise.schema import ArraySchema, Attr, Dim
+from slabwise.schema import ArraySchema
 
 
 def write(folder, name, *parts):
@@ -149,11 +159,41 @@ def test_load_into_a_named_array_replaces_it(spark, tmp_path):
     first = write(tmp_path, "a.fits", fits_bytes.image(np.zeros((2, 2), "i2"), 16, first=True))
     second = write(tmp_path, "b.fits", fits_bytes.image(np.ones((3, 2), "i2"), 16, first=True))
     target = str(tmp_path / "stored")
-    for path, rows in ((first, 2), (second, 3)):
-        schema = ArraySchema("s", (Attr("unknown", "int16"),), (Dim("dim0", 2), Dim("dim1", rows)))
-        store_array(load_fits(spark, path), target, schema, mode="overwrite")
+    for path in (first, second):
+        store_fits(spark, target, path)
     cells, found = open_array(spark, target)
     assert cells.count() == 6 and found.shape == (2, 3) and cells.agg(F.min("unknown")).first()[0] == 1
+    assert found.show() == "unknown<unknown:int16 NOT NULL> [dim0=0:1,2,0,dim1=0:2,3,0]"
+
+
+def test_slabs_stored_and_unpacked(spark, tmp_path):
+    data = np.arange(30 * 20, dtype="f4").reshape(30, 20)
+    path = write(tmp_path, "a.fits", fits_bytes.image(data, -32, first=True))
+    slabs = load_fits(spark, path, layout="slabs")
+    # Values lie in file order, so the slab is unpacked with the axes reversed.
+    schema = describe_fits(path)
+    back = unpack_slabs(slabs, ArraySchema("a", schema.attrs, schema.dims[::-1]))
+    assert cells_of(back, ["dim1", "dim0"]) == {(y, x): float(data[y, x]) for y, x in np.ndindex(30, 20)}
+
+
+def test_first_elements_in_file_order(spark, tmp_path):
+    data = np.arange(30 * 20, dtype="i4").reshape(30, 20)
+    path = write(tmp_path, "a.fits", fits_bytes.image(data, 32, first=True))
+    first = first_n_elements(load_fits(spark, path), describe_fits(path), 53, first_fastest=True)
+    assert sorted(r.unknown for r in first.collect()) == list(range(53))
+
+
+def test_small_files_share_tasks_and_listed_scan_agrees(spark, tmp_path):
+    for n in range(40):
+        write(tmp_path, f"{n:03}.fits", fits_bytes.image(np.full((3, 2), n, "i2"), 16, first=True))
+    whole = load_fits(spark, str(tmp_path))
+    assert whole.rdd.getNumPartitions() < 5
+    assert whole.agg(F.sum("unknown")).first()[0] == 6 * sum(range(40))
+    some = load_fits(spark, str(tmp_path / "00*.fits"))
+    assert some.agg(F.countDistinct("unknown")).first()[0] == 10
+    files = list_files(spark, str(tmp_path), "*.fits")
+    listed = scan_listed(files, "fits_image", str(tmp_path), {"splitBytes": 1000})
+    assert listed.groupBy("source_path").count().agg(F.min("count"), F.max("count"), F.count("*")).first() == (6, 6, 40)
 
 
 def test_unsupported_bitpix():

@@ -7,6 +7,7 @@ from slabwise.operators import (
     align_frames,
     array_ddl,
     dense_check,
+    dense_check_box,
     dump_frames,
     dump_records,
     first_n_elements,
@@ -21,6 +22,7 @@ from slabwise.operators import (
     unroll,
     unroll_nested,
     vlen_unwrap,
+    write_lines,
 )
 from slabwise.operators.chunks import _spread_range
 from slabwise.operators.dump import TOO_LARGE
@@ -140,6 +142,28 @@ def test_dense_check_and_holes(spark):
         assert sorted(r.id for r in holes(line, "id", block).collect()) == [3, 10, 17, 24, 31, 38, 45]
 
 
+def test_dense_check_against_a_box(spark):
+    schema, cells = described((40, 1000), (4, 3)), box(spark, (40, 1000))
+    full = dense_check_box(cells, schema).first()
+    assert full.dense is True and full.distinct_cells == full.cells == full.box_cells == 40_000
+    assert dense_check_box(cells.where("not (d0 = 39 and d1 = 999)"), schema).first().dense is False
+    moved = cells.withColumn("d1", F.when((F.col("d0") == 1) & (F.col("d1") == 1), 0).otherwise(F.col("d1")))
+    found = dense_check_box(moved, schema).first()
+    assert (found.cells, found.distinct_cells, found.dense) == (40_000, 39_999, False)
+    beyond = cells.withColumn("d1", F.when((F.col("d0") == 1) & (F.col("d1") == 1), 1000).otherwise(F.col("d1")))
+    found = dense_check_box(beyond, schema).first()
+    assert (found.cells, found.distinct_cells, found.outside, found.dense) == (40_000, 39_999, 1, False)
+    assert dense_check_box(cells.where("d0 < 0"), schema).first().dense is False
+
+
+def test_lines_are_written_in_order(spark, tmp_path):
+    lines = spark.range(1000).select(F.col("id").alias("record"), F.concat(F.lit("#"), F.col("id")).alias("line"))
+    path = str(tmp_path / "dump")
+    write_lines(lines.repartition(7), path, order="record")
+    text = "".join(p.read_text() for p in sorted((tmp_path / "dump").glob("part-*")))
+    assert text.splitlines() == [f"#{i}" for i in range(1000)]
+
+
 def test_dump_texts(spark):
     records = spark.createDataFrame([(0, 7, 1.5, "x"), (1, -2, 1234567.0, "y")], "n long, a int, b double, s string")
     lines = dump_records(records, "n", "/d").orderBy("record").collect()

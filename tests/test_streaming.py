@@ -2,7 +2,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from slabwise.plans import fits_bytes, hdf5_bytes as h5
-from slabwise.streaming import ingest_fits, ingest_frames, ingest_hdf5, window_stats, window_stats_stream
+from slabwise.streaming import follow_hdf5, ingest_fits, ingest_frames, ingest_hdf5, window_stats, window_stats_stream
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -39,6 +39,31 @@ def test_hdf5_ingest(spark, tmp_path):
     assert sorted(map(tuple, cells.groupBy("int1").count().collect())) == [(0, 10), (1, 10), (2, 10)]
 
 
+def test_growing_dataset_gives_each_frame_once(spark, tmp_path):
+    path, target = tmp_path / "grow.h5", str(tmp_path / "out")
+
+    def grow(frames):
+        data = np.arange(frames * 6, dtype="<i4").reshape(frames, 2, 3)
+        file = h5.FileBuilder()
+        file.dataset("/image", h5.array_type((2, 3), h5.int_type(4)), (frames,), data, limits=(None,), chunk=(4,))
+        path.write_bytes(file.build())
+
+    def run():
+        query = (
+            follow_hdf5(spark, str(path), "/image").writeStream.format("parquet")
+            .option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start(target)
+        )
+        query.awaitTermination()
+        return spark.read.parquet(target)
+
+    grow(5)
+    assert run().agg(F.count("*"), F.max("unnamed0")).first() == (30, 4)
+    assert run().count() == 30
+    grow(11)
+    cells = run().collect()
+    assert sorted((r.unnamed0 * 6 + r.unnamed1 * 3 + r.unnamed2, r.int1) for r in cells) == [(i, i) for i in range(66)]
+
+
 def test_frame_ingest_and_stream_windows_equal_batch(spark, tmp_path):
     events = spark.read.parquet(f"{SF_DIR}/events.parquet")
     source = str(tmp_path / "events")
