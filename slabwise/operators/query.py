@@ -48,7 +48,8 @@ def subarray_slabs(slabs: DataFrame, schema: ArraySchema, lo, hi) -> DataFrame:
             touching = touching.where(F.col(f"origin_{dim}") <= high)
         if low is not None:
             touching = touching.where(F.col(f"last_{dim}") >= low)
-    return subarray(unpack_slabs(touching, schema), schema.dim_names, lo, hi)
+    cells = unpack_slabs(touching, schema.dim_names, schema.attr_names)
+    return subarray(cells, schema.dim_names, lo, hi)
 
 
 def stats_by_dim(cells: DataFrame, dims: list[str], attr: str) -> DataFrame:

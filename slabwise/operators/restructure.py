@@ -180,23 +180,26 @@ def pack_slabs(cells: DataFrame, schema: ArraySchema, checked: bool = True) -> D
     )
 
 
-def unpack_slabs(slabs: DataFrame, schema: ArraySchema) -> DataFrame:
-    """Slabs back to cells.
+def unpack_slabs(slabs: DataFrame, dims: list[str], attrs: list[str], keep: list[str] | None = None) -> DataFrame:
+    """Slabs back to cells, with the columns ``keep`` repeated.
 
-    The offset within a slab is split by the slab's own clipped extents, so
-    slabs at the array edge need no special case.
+    ``dims`` run from the slowest to the fastest.  The offset within a slab is
+    split by the slab's own clipped extents, so slabs at the array edge need no
+    special case.
     """
-    dims, attrs = schema.dim_names, schema.attr_names
-    keys = [f"{side}_{d}" for d in dims for side in ("origin", "last")]
+    keep = keep or []
+    keys = [*keep, *[f"{side}_{d}" for d in dims for side in ("origin", "last")]]
     packed = F.arrays_zip(*attrs) if len(attrs) > 1 else F.col(attrs[0])
     exploded = slabs.select(*keys, F.posexplode(packed)).toDF(*keys, "_at", "_cell")
     coords, rest = {}, F.col("_at").cast("bigint")
-    for dim in reversed(dims):
+    for dim in reversed(dims[1:]):
         extent = F.col(f"last_{dim}") - F.col(f"origin_{dim}") + 1
-        coords[dim] = (F.col(f"origin_{dim}") + rest % extent).alias(dim)
+        coords[dim] = F.col(f"origin_{dim}") + rest % extent
         rest = F.call_function("div", rest, extent)
-    values = [F.col(f"_cell.{a}") for a in attrs] if len(attrs) > 1 else [F.col("_cell").alias(attrs[0])]
-    return exploded.select(*[coords[d] for d in dims], *values)
+    coords[dims[0]] = F.col(f"origin_{dims[0]}") + rest
+    cell = F.col("_cell")
+    values = [cell.getField(a).alias(a) for a in attrs] if len(attrs) > 1 else [cell.alias(attrs[0])]
+    return exploded.select(*[coords[d].alias(d) for d in dims], *values, *keep)
 
 
 def redistribute(df: DataFrame, keys: list[str], partitions: int | None = None, by_range=False) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from slabwise.functions.coords import integer_div
 from slabwise.plans import fits_bytes, hdf5_bytes as h5
 from slabwise.schema import ArrayError
-from slabwise.session import scratch_dir
+from slabwise.session import scratch_dir, ship_package
 from slabwise.sources.files import write_atomic
 
 FRAME = (8, 8)
@@ -39,6 +39,7 @@ def export_files(df: DataFrame, key: str, name: str, size: int, total: int, fold
     manifest table is the action; files have fixed names and appear by rename,
     so a retried task repeats itself harmlessly.
     """
+    ship_package(df.sparkSession)
     stem, suffix = name.rsplit(".", 1)
 
     def write(batches):

@@ -273,7 +273,8 @@ def _pack_slabs(spark, sf_dir):
 @query("unpack_slabs", f"SELECT unnamed0, unnamed1, value FROM ({PLANE_SQL})")
 def _unpack_slabs(spark, sf_dir):
     slabs, schema = open_array(spark, stored_plane(spark, sf_dir))
-    return unpack_slabs(slabs, schema).withColumn("value", F.col("value").cast("double"))
+    cells = unpack_slabs(slabs, schema.dim_names, schema.attr_names)
+    return cells.withColumn("value", F.col("value").cast("double"))
 
 
 @query(

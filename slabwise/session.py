@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -51,6 +53,26 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return system.makeQualified(folder).toString()
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application.
+
+    Scans run Python on the executors, where the package need not be installed.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="slabwise-package-")) / "slabwise.zip"
+    with zipfile.ZipFile(archive, "w") as bundle:
+        for source in sorted(root.rglob("*.py")):
+            bundle.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def task_count(spark: SparkSession) -> int:
     """Tasks for work whose rows are tiny but costly, such as file headers.
 

@@ -12,7 +12,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from slabwise.schema import UNLIMITED, UnsupportedType
-from slabwise.session import task_count
+from slabwise.session import ship_package, task_count
 from slabwise.sources.files import RangedFile
 from slabwise.sources.fits import units
 from slabwise.sources.hdf5 import Hdf5File, describe
@@ -48,6 +48,7 @@ def list_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
 
 def _per_file(files: DataFrame, rows_of, schema: str) -> DataFrame:
     """Run a header reader over the files of each task, in bounded batches."""
+    ship_package(files.sparkSession)
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def read(batches):

@@ -39,8 +39,9 @@ from pyspark.sql.datasource import (
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from slabwise.functions.coords import integer_div
+from slabwise.operators.restructure import unpack_slabs
 from slabwise.schema import ArrayError, ArraySchema, BadBounds
-from slabwise.session import task_count
+from slabwise.session import ship_package, task_count
 from slabwise.sources.files import RangedFile, list_paths
 from slabwise.sources.fits import FitsImage
 from slabwise.sources.hdf5 import Hdf5Dataset
@@ -353,6 +354,7 @@ class Hdf5PushdownSource(Hdf5Source):
 
 def register(spark: SparkSession) -> None:
     """Make both formats known to the session."""
+    ship_package(spark)
     push = spark.conf.get(PUSHDOWN_CONF, "false").lower() == "true"
     for source in (FitsPushdownSource, Hdf5PushdownSource) if push else (FitsSource, Hdf5Source):
         spark.dataSource.register(source)
@@ -368,14 +370,34 @@ def _load(spark: SparkSession, form: str, path: str, options: dict) -> DataFrame
     return reader.load(path)
 
 
+def _cells(slabs: DataFrame, form: str) -> DataFrame:
+    """Cells made in the JVM from scanned slabs.
+
+    Only values cross from Python; coordinates are computed in generated code,
+    and only those a query uses.
+    """
+    dims = [c.removeprefix("origin_") for c in slabs.columns if c.startswith("origin_")]
+    heads = {"slab_no", "source_path", *[f"{side}_{d}" for d in dims for side in ("origin", "last")]}
+    attrs = [c for c in slabs.columns if c not in heads]
+    keep = [c for c in slabs.columns if c == "source_path"]
+    slowest_first = dims[::-1] if form == "fits_image" else dims
+    return unpack_slabs(slabs, slowest_first, attrs, keep).select(*dims, *attrs, *keep)
+
+
+def _load_cells(spark: SparkSession, form: str, path: str, options: dict) -> DataFrame:
+    if options.get("layout", "cells") != "cells":
+        return _load(spark, form, path, options)
+    return _cells(_load(spark, form, path, {**options, "layout": "slabs"}), form)
+
+
 def load_fits(spark: SparkSession, path: str, hdu: int = 0, **options) -> DataFrame:
     """One image unit of a FITS file, or of all FITS files of a folder."""
-    return _load(spark, "fits_image", path, {"hdu": hdu, **options})
+    return _load_cells(spark, "fits_image", path, {"hdu": hdu, **options})
 
 
 def load_hdf5(spark: SparkSession, path: str, dataset: str, **options) -> DataFrame:
     """One dataset of an HDF5 file, or of all HDF5 files of a folder."""
-    return _load(spark, "hdf5_array", path, {"dataset": dataset, **options})
+    return _load_cells(spark, "hdf5_array", path, {"dataset": dataset, **options})
 
 
 def describe_fits(path: str, hdu: int = 0) -> ArraySchema:
@@ -394,7 +416,9 @@ def scan_listed(files: DataFrame, form: str, sample: str, options: dict) -> Data
     ``sample`` is a file or folder whose first header gives the schema.  Large
     files become many rows before the shuffle, one per split.
     """
-    options = {**{k.lower(): str(v) for k, v in options.items()}, "withpath": "true"}
+    ship_package(files.sparkSession)
+    options = {k.lower(): str(v) for k, v in options.items()}
+    options.update(withpath="true", layout="slabs")
     schema = file_columns(form, {**options, "path": sample})
     target = int(options.get("splitbytes", SPLIT_BYTES))
     zero = F.lit(0).cast("bigint")
@@ -409,4 +433,4 @@ def scan_listed(files: DataFrame, form: str, sample: str, options: dict) -> Data
                 yield from read_split(form, row["path"], row["part"], row["parts"], options)
 
     spread = splits.repartition(task_count(files.sparkSession), "path", "part")
-    return spread.mapInArrow(read, schema)
+    return _cells(spread.mapInArrow(read, schema), form)

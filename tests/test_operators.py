@@ -50,7 +50,7 @@ def test_pack_then_unpack_is_identity(spark, data):
     chunks = [data.draw(st.integers(1, n)) for n in shape]
     schema, cells = described(shape, chunks), box(spark, shape)
     slabs = pack_slabs(cells, schema)
-    back = unpack_slabs(slabs, schema)
+    back = unpack_slabs(slabs, schema.dim_names, schema.attr_names)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, cells.collect()))
     numbers = sorted(r.slab_no for r in slabs.collect())
     assert numbers == list(range(len(numbers)))  # disjoint, covering, densely numbered
