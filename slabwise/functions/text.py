@@ -11,13 +11,22 @@ def sanitize_name(path: Column) -> Column:
 
 
 def c_number(value: Column) -> Column:
-    """A number in six significant digits, as a C++ output stream prints it.
+    """A number in six significant digits, as a C++ output stream prints it."""
+    return _layout(_six_digits(value))
 
-    ``format_number`` rounds on the exact binary value (half to even), as C
-    does; its digits are then laid out in fixed or exponent notation.
-    """
-    value = value.cast("double")
-    scientific = F.call_function("format_number", value, F.lit("0.#####E00"))
+
+def c_numbers(values: Column) -> Column:
+    """The same for each element of an array; each is formatted once."""
+    return F.transform(F.transform(values, _six_digits), _layout)
+
+
+def _six_digits(value: Column) -> Column:
+    """Scientific text, rounded on the exact binary value (half to even), as C does."""
+    return F.call_function("format_number", value.cast("double"), F.lit("0.#####E00"))
+
+
+def _layout(scientific: Column) -> Column:
+    """Fixed or exponent notation for the digits of a scientific text."""
     # Sign and body both always read the text, so generated code makes it once.
     sign = F.when(F.startswith(scientific, F.lit("-")), F.lit("-")).otherwise("")
     exponent = F.substring_index(scientific, "E", -1).try_cast("int")  # null for nan and inf
@@ -30,8 +39,8 @@ def c_number(value: Column) -> Column:
     body = (
         F.when(exponent.between(0, 5), fixed)
         .when(exponent.between(-4, -1), small)
-        .when(F.isnan(value), F.lit("nan"))
-        .when(F.abs(value) == float("inf"), F.lit("inf"))
-        .otherwise(F.ltrim(marked, F.lit("-")))
+        .when(exponent.isNotNull(), F.ltrim(marked, F.lit("-")))
+        .when(scientific == "NaN", F.lit("nan"))
+        .when(scientific.isNotNull(), F.lit("inf"))
     )
     return F.concat(sign, body)

@@ -10,6 +10,8 @@ from slabwise.session import task_count
 
 # Slabs generated per row before the rows are spread over the cluster.
 GRID_BLOCK = 16_384
+# Fixed value: bits in one bitmap of Spark's bitmap functions.
+BITMAP_BITS = 32_768
 
 
 def _fold_product(values: Column) -> Column:
@@ -167,27 +169,35 @@ def dense_check_box(cells: DataFrame, schema: ArraySchema) -> DataFrame:
     return sums.withColumn("dense", dense)
 
 
-def holes(cells: DataFrame, dim: str, block: int = GRID_BLOCK) -> DataFrame:
+def holes(cells: DataFrame, dim: str) -> DataFrame:
     """Missing coordinates of a one-dimensional array, 0 to its largest coordinate.
 
-    Coordinates merge per block first; only blocks that lack some coordinate are
-    expanded, so a nearly dense array of any size stays cheap.
+    Present coordinates become bitmaps of 32,768 bits that merge map-side, so
+    about one bit per coordinate is exchanged and copies cost nothing.  Only
+    bitmaps that lack a bit are expanded.
     """
-    present = cells.select(F.col(dim).cast("bigint").alias(dim)).distinct()
-    found = present.groupBy(integer_div(F.col(dim), block).alias("_part")).agg(
-        F.count(F.lit(1)).alias("_found")
+    coord = F.col(dim).cast("bigint")
+    bit = F.bitmap_bit_position(coord + 1)  # bitmaps count from 1
+    present = cells.groupBy(integer_div(coord, BITMAP_BITS).alias("_part")).agg(
+        F.bitmap_construct_agg(bit).alias("_bits")
     )
-    top = present.agg(F.max(dim).alias("_last"))
-    parts = top.select("_last", (integer_div(F.col("_last"), block) + 1).alias("_parts"))
-    first = F.col("_part") * block
+    top = cells.agg(F.max(coord).alias("_last"))
+    parts = top.select("_last", (integer_div(F.col("_last"), BITMAP_BITS) + 1).alias("_parts"))
+    start = F.col("_part") * BITMAP_BITS
     expected = _spread_range(parts, "_parts", "_part").select(
-        "_part", F.least(F.lit(block).cast("bigint"), F.col("_last") + 1 - first).alias("_size")
+        "_part", F.least(F.lit(BITMAP_BITS).cast("bigint"), F.col("_last") + 1 - start).alias("_size")
     )
-    short = expected.join(found, "_part", "left").where(
-        F.coalesce("_found", F.lit(0)) < F.col("_size")
-    )
-    candidates = short.select(F.explode(F.sequence(first, first + F.col("_size") - 1)).alias(dim))
-    return candidates.join(present, dim, "left_anti")
+    found = F.coalesce(F.bitmap_count("_bits"), F.lit(0))
+    short = expected.join(present, "_part", "left").where(found < F.col("_size"))
+
+    def unset(place):
+        byte = F.substring(F.col("_bits"), (place / 8).cast("int") + 1, 1)
+        value = F.conv(F.hex(byte), 16, 10).cast("int")
+        return F.col("_bits").isNull() | (F.call_function("getbit", value, place % 8) == 0)
+
+    places = F.sequence(F.lit(0), F.col("_size").cast("int") - 1)
+    missing = short.select("_part", F.explode(F.filter(places, unset)).alias("_place"))
+    return missing.select((start + F.col("_place")).alias(dim))
 
 
 def slab_cells(cells_or_grid: DataFrame, origins: list[str], shape, chunks) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from slabwise.functions.text import c_number, sanitize_name
+from slabwise.functions.text import c_number, c_numbers, sanitize_name
 
 # Limits of the text dump and the texts that mark them.
 OUTER_LIMIT = 500
@@ -76,7 +76,10 @@ def dump_frames(
     if size > FRAME_BYTES_LIMIT:
         return kept.select(number.alias("record"), F.lit(TOO_LARGE).alias("line"))
     shown = F.col(values) if inner_limit is None else F.slice(F.col(values), 1, inner_limit)
-    texts = F.transform(shown, lambda v: value_text(v, element))
+    if isinstance(element, (T.FloatType, T.DoubleType)):
+        texts = c_numbers(shown)
+    else:
+        texts = F.transform(shown, lambda v: value_text(v, element))
     extents = ", ".join(str(n) for n in shape)
     line = F.concat(
         number.cast("string"),

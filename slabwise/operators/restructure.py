@@ -141,42 +141,49 @@ def scalar_array(df: DataFrame, dim: str = "unnamed0") -> DataFrame:
 def pack_slabs(cells: DataFrame, schema: ArraySchema, checked: bool = True) -> DataFrame:
     """Cells to slabs: one row-major value list per (slab, attribute).
 
-    A slab holds at most one value per coordinate, so its list is bounded by the
-    chunk plan.  ``checked`` enforces that: cells are first merged per coordinate
-    with a map-side partial aggregate, so a coordinate repeated any number of
-    times never travels or piles up, and then fails the job by name.  Pass
-    ``checked=False`` only for cells that a scan or ``unroll`` made.
+    A slab has at most as many cells as its chunk, which bounds its list.
+    ``checked`` enforces that for any input: cells are first counted per slab
+    (one row per slab and task travels) and a slab with more cells than
+    coordinates fails the job by name before anything is collected, so a
+    coordinate repeated without end never piles up.  Repeats within the bound
+    are found on the packed list.  Where the counts are too many to broadcast,
+    the join on the slab origin is also the exchange that packing needs.
+
+    Pass ``checked=False`` only for cells that a scan or ``unroll`` made.
     """
     dims, attrs = schema.dim_names, schema.attr_names
     shape, chunks = schema.shape, schema.chunks
     origins = [f"origin_{d}" for d in dims]
+    origin_cols = [F.col(o) for o in origins]
     placed = cells.select(
         *[slab_origin(F.col(d), c).alias(o) for d, c, o in zip(dims, chunks, origins)],
         linearize([F.col(d) for d in dims], shape).alias("_lin"),
         *attrs,
     )
+    room = F.lit(0).cast("bigint")
     if checked:
-        merged = placed.groupBy(*origins, "_lin").agg(
-            F.count(F.lit(1)).alias("_copies"),
-            F.min(F.struct(*attrs)).alias("_cell"),
-        )
-        clash = F.concat(F.lit("duplicate cell at offset "), F.col("_lin").cast("string"))
-        lin = F.when(F.col("_copies") == 1, F.col("_lin")).otherwise(
-            F.raise_error(clash).cast("bigint")
-        )
-        placed = merged.select(*origins, lin.alias("_lin"), "_cell.*")
+        label = F.concat_ws(",", *[o.cast("string") for o in origin_cols])
+        overfull = F.raise_error(F.concat(F.lit("duplicate cells: too many in slab "), label))
+        fits = F.col("_n") <= slab_cell_count(origin_cols, shape, chunks)
+        counts = placed.groupBy(*origins).agg(F.count(F.lit(1)).alias("_n"))
+        counts = counts.select(*origins, F.when(fits, F.col("_n")).otherwise(overfull).alias("_room"))
+        placed = placed.join(counts, origins)
+        room = F.max("_room")
     ordered = F.array_sort(F.collect_list(F.struct("_lin", *attrs)))
-    grouped = placed.groupBy(*origins).agg(ordered.alias("_cells"))
-    origin_cols = [F.col(o) for o in origins]
+    grouped = placed.groupBy(*origins).agg(ordered.alias("_cells"), room.alias("_room"))
+    if checked:
+        # The count is read here so that its check cannot be optimised away.
+        single = F.size(F.array_distinct(F.col("_cells._lin"))) == F.col("_room")
+        repeated = F.raise_error(F.concat(F.lit("duplicate cells: repeated in slab "), label))
+        grouped = grouped.withColumn("_cells", F.when(single, F.col("_cells")).otherwise(repeated))
     lasts = [
-        F.least(F.col(o) + c, F.lit(n).cast("bigint")) - 1
-        for o, c, n in zip(origins, chunks, shape)
+        F.least(o + c, F.lit(n).cast("bigint")) - 1 for o, c, n in zip(origin_cols, chunks, shape)
     ]
     return grouped.select(
         slab_number(origin_cols, shape, chunks).alias("slab_no"),
         *origins,
         *[last.alias(f"last_{d}") for last, d in zip(lasts, dims)],
-        *[F.col(f"_cells.{a}").alias(a) for a in attrs],
+        *[F.col("_cells").getField(a).alias(a) for a in attrs],
     )
 
 

@@ -58,8 +58,14 @@ def test_pack_then_unpack_is_identity(spark, data):
 
 def test_pack_rejects_repeated_cells(spark):
     cells = box(spark, (4,)).unionByName(box(spark, (4,)))
-    with pytest.raises(Exception, match="duplicate cell at offset"):
+    with pytest.raises(Exception, match="duplicate cells: too many in slab"):
         pack_slabs(cells, described((4,), (2,))).collect()
+    # A copy that fills a hole keeps the count right but is still found.
+    moved = box(spark, (4,)).withColumn("d0", F.when(F.col("d0") == 3, 2).otherwise(F.col("d0")))
+    with pytest.raises(Exception, match="duplicate cells: repeated in slab 2"):
+        pack_slabs(moved, described((4,), (2,))).collect()
+    kept = pack_slabs(box(spark, (4,)).where("d0 != 3"), described((4,), (2,))).orderBy("slab_no").collect()
+    assert [(r.slab_no, r.v) for r in kept] == [(0, [1, 4]), (1, [7])]
 
 
 def test_slab_grid_is_clipped_and_ordered(spark):
@@ -138,8 +144,10 @@ def test_dense_check_and_holes(spark):
     swapped = dense.withColumn("d1", F.when((F.col("d0") == 1) & (F.col("d1") == 1), 0).otherwise(F.col("d1")))
     assert dense_check(swapped, ["d0", "d1"]).first().dense is False
     line = spark.range(50).where("id % 7 != 3").unionByName(spark.range(3))
-    for block in (4, 16, 1000):
-        assert sorted(r.id for r in holes(line, "id", block).collect()) == [3, 10, 17, 24, 31, 38, 45]
+    assert sorted(r.id for r in holes(line, "id").collect()) == [3, 10, 17, 24, 31, 38, 45]
+    far = spark.range(200_001).where("id % 50021 != 7 and not (id between 70000 and 140000)")
+    expected = sorted({7, 50028, 150070} | set(range(70_000, 140_001)))
+    assert sorted(r.id for r in holes(far, "id").collect()) == expected
 
 
 def test_dense_check_against_a_box(spark):

@@ -47,11 +47,20 @@ def test_attribute_selection_prunes_stored_cells(spark):
     assert re.search(r"ReadSchema: struct<p_partkey:bigint,p_size:int>", plan(part))
 
 
-def test_checked_pack_combines_before_the_shuffle(spark):
+def test_checked_pack_counts_before_it_collects(spark):
     schema = slab_queries.plane_schema(spark, SF_DIR)
-    checked = plan(pack_slabs(slab_queries.plane(spark, SF_DIR), schema))
-    assert "partial_count" in checked
-    trusted = plan(pack_slabs(slab_queries.plane(spark, SF_DIR), schema, checked=False))
+    cells = slab_queries.plane(spark, SF_DIR)
+    checked = plan(pack_slabs(cells, schema))
+    # Cells themselves are exchanged once; the counts combine map-side.
+    assert "partial_count" in checked and "SortAggregate" not in checked
+    assert checked.count("Exchange hashpartitioning") == 2
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = plan(pack_slabs(cells, schema))
+        assert "SortMergeJoin" in merged and merged.count("Exchange hashpartitioning") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    trusted = plan(pack_slabs(cells, schema, checked=False))
     assert trusted.count("Exchange hashpartitioning") == 1
 
 
