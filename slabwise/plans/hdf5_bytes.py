@@ -192,15 +192,15 @@ class FileBuilder:
         tree = self._put(body.ljust(24 + 2 * INTERNAL_K * 16 + 8, b"\0"))
         return self._header([(17, struct.pack("<QQ", tree, heap))]), tree, heap
 
-    def build(self) -> bytes:
+    def build(self, user_block: int = 0) -> bytes:
         header, tree, heap = self._group(self.tree)
         start = b"\x89HDF\r\n\x1a\n" + struct.pack(
             "<BBBBBBBBHHI", 0, 0, 0, 0, 0, 8, 8, 0, LEAF_K, INTERNAL_K, 0
         )
-        start += struct.pack("<QQQQ", 0, UNDEFINED, len(self.out), UNDEFINED)
+        start += struct.pack("<QQQQ", user_block, UNDEFINED, len(self.out), UNDEFINED)
         start += struct.pack("<QQIIQQ", 0, header, 1, 0, tree, heap)
         self.out[:96] = start
-        return bytes(self.out)
+        return bytes(user_block) + bytes(self.out)
 
 
 def _space(shape, limits) -> bytes:

@@ -82,15 +82,11 @@ def _flatten_compound(spark, sf_dir):
 
 @query(
     "array_member_to_cols",
-    """
-    SELECT vec_id, embedding[1]::DOUBLE AS m_0, embedding[2]::DOUBLE AS m_1,
-           embedding[3]::DOUBLE AS m_2, embedding[4]::DOUBLE AS m_3
-    FROM embeddings
-    """,
+    f"SELECT vec_id, {', '.join(f'embedding[{i + 1}]::DOUBLE AS m_{i}' for i in range(64))} FROM embeddings",
 )
 def _array_member_to_cols(spark, sf_dir):
-    member = F.slice("embedding", 1, 4).cast("array<double>").alias("m")
-    return array_member_to_cols(table(spark, sf_dir, "embeddings").select("vec_id", member), "m", 4)
+    member = F.col("embedding").cast("array<double>").alias("m")
+    return array_member_to_cols(table(spark, sf_dir, "embeddings").select("vec_id", member), "m", 64)
 
 
 @query(

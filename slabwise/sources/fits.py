@@ -43,11 +43,11 @@ class ImageUnit:
 
     @property
     def scale(self) -> float:
-        return float(self.get("BSCALE", 1.0))
+        return _number(self.get("BSCALE", "1"))
 
     @property
     def zero(self) -> float:
-        return float(self.get("BZERO", 0.0))
+        return _number(self.get("BZERO", "0"))
 
     @property
     def pcount(self) -> int:
@@ -79,6 +79,11 @@ class ImageUnit:
         return value_type(self.bitpix, self.scale, self.zero)
 
 
+def _number(text: str) -> float:
+    """A header number; the format also allows a D exponent."""
+    return float(text.upper().replace("D", "E"))
+
+
 def value_type(bitpix: int, scale: float, zero: float) -> str:
     """Type of the physical values (same rule as ``functions.fits_type_name``)."""
     if bitpix not in RAW_TYPES:

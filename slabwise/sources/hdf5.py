@@ -134,25 +134,25 @@ class Header:
 class Hdf5File:
     def __init__(self, file: RangedFile):
         self.file = file
-        start = bytes(file.read(0, min(16, file.size)))
-        if start[:8] != SIGNATURE:
+        # The superblock lies at 0 or, behind a user block, at 512 and its doublings.
+        places = [0, *[512 << i for i in range(12)]]
+        start = next((p for p in places if p + 96 <= file.size and file.read(p, 8) == SIGNATURE), None)
+        if start is None:
             raise CorruptFile(f"{file.path}: not an HDF5 file")
-        version = start[8]
+        head = bytes(file.read(start, 24))
+        version = head[8]
         if version > 1:
             raise UnsupportedType(f"{file.path}: superblock version {version}")
-        if start[13] != 8 or start[14] != 8:
-            raise UnsupportedType(f"{file.path}: offsets of {start[13]} bytes")
-        root = 24 + (4 if version == 1 else 0) + 4 * 8
-        self.base = self._u64(24 + (4 if version == 1 else 0))
-        self.root = self._u64(root + 8)
+        if head[13] != 8 or head[14] != 8:
+            raise UnsupportedType(f"{file.path}: offsets of {head[13]} bytes")
+        fields = start + 24 + (4 if version == 1 else 0)
+        self.base, *_ = struct.unpack("<Q", file.read(fields, 8))
+        self.root, *_ = struct.unpack("<Q", file.read(fields + 40, 8))
         self._heaps: dict[int, dict[int, bytes]] = {}
 
     def read(self, address: int, length: int) -> bytes:
         return bytes(self.file.read(self.base + address, length))
 
-    def _u64(self, offset: int) -> int:
-        return struct.unpack("<Q", self.file.read(offset, 8))[0]
-
     # Object headers
 
     def header(self, address: int) -> Header:

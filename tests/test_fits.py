@@ -63,6 +63,9 @@ def test_scale_and_blank(spark, tmp_path):
     extra = [("BSCALE", 0.25), ("BZERO", 2.0), ("BLANK", -999)]
     path = write(tmp_path, "a.fits", fits_bytes.image(raw, 16, extra, first=True))
     assert [r.unknown for r in load_fits(spark, path).orderBy("dim0").collect()] == [2.25, None, 2.75]
+    text = (tmp_path / "a.fits").read_bytes().replace(b"                0.25", b"             0.25D+0")
+    (tmp_path / "a.fits").write_bytes(text)
+    assert load_fits(spark, path).where("dim0 = 0").first().unknown == 2.25
 
 
 def test_many_splits_bounds_and_slabs(spark, tmp_path):

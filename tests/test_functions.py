@@ -58,8 +58,8 @@ def test_fixed_string_rules(spark):
 
 
 def test_names(spark):
-    row = spark.createDataFrame([("/Configure:0000/Run.1/image",)], "p string")
-    assert row.select(sanitize_name(F.col("p"))).first()[0] == "Configure_0000_Run_1_image"
+    row = spark.createDataFrame([("/Scan:0000/Run.1/image",)], "p string")
+    assert row.select(sanitize_name(F.col("p"))).first()[0] == "Scan_0000_Run_1_image"
 
 
 def test_linearize_round_trip(spark):

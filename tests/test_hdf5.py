@@ -205,6 +205,17 @@ def test_strings_and_enums(spark, tmp_path):
     assert dict(element.members[3][2].labels) == members
 
 
+def test_user_block_before_the_data(spark, tmp_path):
+    data = np.arange(10, dtype="<i4")
+    file = h5.FileBuilder()
+    file.dataset("/g/x", h5.int_type(4), (10,), data)
+    file.dataset("/g/y", h5.int_type(4), (10,), data * 2, chunk=(3,), deflate=True)
+    (tmp_path / "a.h5").write_bytes(file.build(user_block=1024))
+    for name, factor in (("x", 1), ("y", 2)):
+        got = grid(load_hdf5(spark, str(tmp_path / "a.h5"), f"/g/{name}"), 1, "int1")
+        assert got == {(i,): i * factor for i in range(10)}
+
+
 def test_scalar_dataset_is_one_cell(spark, tmp_path):
     path = write(tmp_path, "a.h5", lambda f: f.dataset("/s", h5.float_type(8), (), np.array([2.5])))
     assert [tuple(r) for r in load_hdf5(spark, path, "/s").collect()] == [(0, 2.5)]

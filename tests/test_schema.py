@@ -37,16 +37,16 @@ def test_inside_dimensions_are_never_split():
 
 def test_show_matches_published_examples():
     seconds = ArraySchema(
-        "imagetime",
+        "frametime",
         (Attr("seconds", "uint32"), Attr("nanoseconds", "uint32")),
         (Dim("unnamed0", 42247, limit=UNLIMITED),),
     ).planned()
     assert seconds.show() == (
-        "imagetime<seconds:uint32 NOT NULL,nanoseconds:uint32 NOT NULL> [unnamed0=0:9223372036854775807,42247,0]"
+        "frametime<seconds:uint32 NOT NULL,nanoseconds:uint32 NOT NULL> [unnamed0=0:9223372036854775807,42247,0]"
     )
-    image = ArraySchema("s20fits", (Attr("unknown", "float"),), (Dim("dim0", 4072), Dim("dim1", 4000)))
+    image = ArraySchema("sky", (Attr("unknown", "float"),), (Dim("dim0", 4072), Dim("dim1", 4000)))
     # The last valid coordinate, not the extent, is shown.
-    assert image.show() == "s20fits<unknown:float NOT NULL> [dim0=0:4071,4072,0,dim1=0:3999,4000,0]"
+    assert image.show() == "sky<unknown:float NOT NULL> [dim0=0:4071,4072,0,dim1=0:3999,4000,0]"
 
 
 def test_json_round_trip_and_metadata(spark):
