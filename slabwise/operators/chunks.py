@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from slabwise.functions.coords import integer_div, linearize, slab_cell_count
-from slabwise.schema import UNLIMITED, ArraySchema
+from slabwise.schema import UNLIMITED, ArraySchema, chunk_plan_column
 from slabwise.session import task_count
 
 # Slabs generated per row before the rows are spread over the cluster.
@@ -100,24 +100,30 @@ def array_size(
 
 
 def dim_bounds(cells: DataFrame, dims: list[str], extendable: bool = False) -> DataFrame:
-    """Bounds per dimension: ``min start end max chunk overlap``, one pass over the cells."""
-    aggregates = [f(d).cast("bigint").alias(f"_{k}{i}") for i, d in enumerate(dims)
-                  for k, f in (("lo", F.min), ("hi", F.max))]
-    row = cells.agg(*aggregates)
-    per_dim = F.array(*[
-        F.struct(
+    """Bounds per dimension: ``min start end max chunk overlap``, one pass over the cells.
+
+    The chunk is that of the default plan; ``extendable`` leaves the slowest
+    dimension without an upper limit.
+    """
+    ends = [f(d).cast("bigint").alias(f"_{k}{i}") for i, d in enumerate(dims) for k, f in (("lo", F.min), ("hi", F.max))]
+    extents = F.array(*[F.col(f"_hi{i}") - F.col(f"_lo{i}") + 1 for i in range(len(dims))])
+    row = cells.agg(*ends).withColumn("_plan", chunk_plan_column(extents))
+
+    def bounds(i, dim):
+        low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        limit = F.lit(UNLIMITED).cast("bigint") if extendable and i == 0 else high
+        return F.struct(
             F.lit(i).cast("bigint").alias("position"),
-            F.lit(d).alias("dim"),
-            F.col(f"_lo{i}").alias("min"),
-            F.col(f"_lo{i}").alias("start"),
-            F.col(f"_hi{i}").alias("end"),
-            (F.lit(UNLIMITED).cast("bigint") if extendable and i == 0 else F.col(f"_hi{i}")).alias("max"),
-            (F.col(f"_hi{i}") - F.col(f"_lo{i}") + 1).alias("chunk"),
+            F.lit(dim).alias("dim"),
+            low.alias("min"),
+            low.alias("start"),
+            high.alias("end"),
+            limit.alias("max"),
+            F.get("_plan", i).alias("chunk"),
             F.lit(0).cast("bigint").alias("overlap"),
         )
-        for i, d in enumerate(dims)
-    ])
-    return row.select(F.inline(per_dim))
+
+    return row.select(F.inline(F.array(*[bounds(i, d) for i, d in enumerate(dims)])))
 
 
 def dense_check(cells: DataFrame, dims: list[str]) -> DataFrame:

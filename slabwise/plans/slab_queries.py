@@ -189,13 +189,18 @@ def _cell_to_slab(spark, sf_dir):
 @query(
     "dim_bounds",
     """
-    SELECT 0::BIGINT AS position, 'o_custkey' AS dim, min(o_custkey) AS min, min(o_custkey) AS start,
-           max(o_custkey) AS "end", 9223372036854775807::BIGINT AS max,
-           max(o_custkey) - min(o_custkey) + 1 AS chunk, 0::BIGINT AS overlap FROM orders
+    SELECT 0::BIGINT AS position, 'o_custkey' AS dim, lo0 AS min, lo0 AS start, hi0 AS "end",
+           9223372036854775807::BIGINT AS max,
+           CASE WHEN least(n1, 1048576) * n0 <= 1048576 THEN n0 ELSE 1 END AS chunk, 0::BIGINT AS overlap
+    FROM box
     UNION ALL
-    SELECT 1::BIGINT, 'o_orderkey', min(o_orderkey), min(o_orderkey), max(o_orderkey), max(o_orderkey),
-           max(o_orderkey) - min(o_orderkey) + 1, 0::BIGINT FROM orders
-    """,
+    SELECT 1::BIGINT, 'o_orderkey', lo1, lo1, hi1, hi1, least(n1, 1048576), 0::BIGINT FROM box
+    """.replace(
+        "FROM box",
+        """FROM (SELECT *, hi0 - lo0 + 1 AS n0, hi1 - lo1 + 1 AS n1 FROM (
+                SELECT min(o_custkey) AS lo0, max(o_custkey) AS hi0, min(o_orderkey) AS lo1,
+                       max(o_orderkey) AS hi1 FROM orders))""",
+    ),
 )
 def _dim_bounds(spark, sf_dir):
     return dim_bounds(table(spark, sf_dir, "orders"), ["o_custkey", "o_orderkey"], extendable=True)

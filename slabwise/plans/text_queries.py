@@ -18,10 +18,11 @@ def _sanitize_name(spark, sf_dir):
 @query(
     "show_schema",
     """
-    SELECT 'part<size:int32 NOT NULL,price:double NOT NULL> [p_partkey=' || min(p_partkey) || ':'
-           || max(p_partkey) || ',' || (max(p_partkey) - min(p_partkey) + 1) || ',0,p_size=' || min(p_size)
-           || ':' || max(p_size) || ',' || (max(p_size) - min(p_size) + 1) || ',0]' AS schema
-    FROM part
+    SELECT 'part<size:int32 NOT NULL,price:double NOT NULL> [p_partkey=' || lo0 || ':' || hi0 || ','
+           || CASE WHEN n1 * n0 <= 1048576 THEN n0 ELSE 1 END || ',0,p_size=' || lo1 || ':' || hi1 || ','
+           || n1 || ',0]' AS schema
+    FROM (SELECT *, hi0 - lo0 + 1 AS n0, (hi1 - lo1 + 1)::BIGINT AS n1 FROM (
+            SELECT min(p_partkey) AS lo0, max(p_partkey) AS hi0, min(p_size) AS lo1, max(p_size) AS hi1 FROM part))
     """,
 )
 def _show_schema(spark, sf_dir):

@@ -20,7 +20,17 @@ import pyarrow.compute as pc
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from slabwise.functions.types import SPARK_TYPES, TYPE_CLASSES
-from slabwise.schema import UNLIMITED, ArrayError, ArraySchema, Attr, CorruptFile, Dim, UnsupportedType
+from slabwise.schema import (
+    CHUNK_CELLS,
+    UNLIMITED,
+    ArrayError,
+    ArraySchema,
+    Attr,
+    CorruptFile,
+    Dim,
+    UnsupportedType,
+    chunk_plan,
+)
 from slabwise.sources.files import RangedFile
 from slabwise.sources.fits import read_contiguous
 
@@ -31,6 +41,10 @@ MSG_FILTERS, MSG_CONTINUATION, MSG_SYMBOL_TABLE = 0x0B, 0x10, 0x11
 FILTER_DEFLATE, FILTER_SHUFFLE = 1, 2
 STRING_PADDING = {0: "nullterm", 1: "nullpad", 2: "spacepad"}
 
+# A task decodes at most this much of a dataset at once.
+READ_BYTES = 64 * 1024 * 1024
+VARIABLE_CELLS = 4096
+
 
 @dataclass
 class ElementType:
@@ -70,6 +84,11 @@ class ElementType:
         name = self.type_name
         return {"int64": "LONG", "uint64": "ULONG"}.get(name, name.upper())
 
+    @property
+    def has_variable_length(self) -> bool:
+        parts = [m[2] for m in self.members] + ([self.base] if self.base else [])
+        return self.class_name == "VLEN" or any(p.has_variable_length for p in parts)
+
     def numpy(self) -> np.dtype:
         kind = self.class_name
         if kind in ("INTEGER", "ENUM"):
@@ -463,12 +482,19 @@ class Hdf5Dataset:
         else:
             self.parts = [(self.schema.attrs[0].name, _inner(self.element))]
         self.columns = [(n, t.spark()) for n, t in self.parts]
-        self.file_dims = self.schema.dims
-        if self.head.layout and self.head.layout[0] == "chunked":
-            inside = [d.size for d in self.schema.dims if d.inside]
-            self.file_dims = self.schema.with_chunks([*self.head.layout[2], *inside]).dims
         # numpy turns an array element into trailing axes; keep one record per cell.
         self.record = self.raw.base if self.raw.subdtype else self.raw
+        # What is read at once: file chunks, else the chunk plan, finer where
+        # records are wide or drag variable-length data along.
+        inside = [d.size for d in self.schema.dims if d.inside]
+        if self.head.layout and self.head.layout[0] == "chunked":
+            steps = [*self.head.layout[2], *inside]
+        else:
+            cells = min(CHUNK_CELLS, max(1, READ_BYTES // self.record.itemsize))
+            if self.element.has_variable_length:
+                cells = min(cells, VARIABLE_CELLS)
+            steps = chunk_plan(self.schema.shape, cells, len(inside))
+        self.file_dims = self.schema.with_chunks(steps).dims
 
     def prepare(self, first, last) -> None:
         """Look up the file chunks of a run of slabs in one walk of the index."""

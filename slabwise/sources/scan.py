@@ -384,8 +384,19 @@ def _cells(slabs: DataFrame, form: str) -> DataFrame:
     return unpack_slabs(slabs, slowest_first, attrs, keep).select(*dims, *attrs, *keep)
 
 
+def _through_slabs(form: str, options: dict) -> bool:
+    """Whether cells are better made from slabs than sent row by row.
+
+    They are for one attribute; zipping several arrays costs more than the
+    coordinates of their cells.
+    """
+    return form == "fits_image" or _probe(form, options, lambda a: len(_wanted(a, options))) == 1
+
+
 def _load_cells(spark: SparkSession, form: str, path: str, options: dict) -> DataFrame:
-    if options.get("layout", "cells") != "cells":
+    names = options.get("columns", "")
+    probe = {**options, "path": path, "columns": names if isinstance(names, str) else ",".join(names)}
+    if options.get("layout", "cells") != "cells" or not _through_slabs(form, probe):
         return _load(spark, form, path, options)
     return _cells(_load(spark, form, path, {**options, "layout": "slabs"}), form)
 
@@ -418,7 +429,8 @@ def scan_listed(files: DataFrame, form: str, sample: str, options: dict) -> Data
     """
     ship_package(files.sparkSession)
     options = {k.lower(): str(v) for k, v in options.items()}
-    options.update(withpath="true", layout="slabs")
+    slabs = _through_slabs(form, {**options, "path": sample})
+    options.update(withpath="true", layout="slabs" if slabs else "cells")
     schema = file_columns(form, {**options, "path": sample})
     target = int(options.get("splitbytes", SPLIT_BYTES))
     zero = F.lit(0).cast("bigint")
@@ -433,4 +445,5 @@ def scan_listed(files: DataFrame, form: str, sample: str, options: dict) -> Data
                 yield from read_split(form, row["path"], row["part"], row["parts"], options)
 
     spread = splits.repartition(task_count(files.sparkSession), "path", "part")
-    return _cells(spread.mapInArrow(read, schema), form)
+    scanned = spread.mapInArrow(read, schema)
+    return _cells(scanned, form) if slabs else scanned

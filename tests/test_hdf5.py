@@ -186,6 +186,21 @@ def test_variable_length_records_become_a_dimension(spark, tmp_path):
     assert [tuple(r) for r in got.collect()] == [(0, 0, 1, 0.5), (0, 1, 2, 1.5), (2, 0, 3, 2.5)]
 
 
+def test_reading_units_stay_small(tmp_path):
+    wide = h5.compound_type(4096, [("m", 0, h5.array_type((1024,), h5.int_type(4)))])
+    lists = h5.vlen_type(h5.int_type(4))
+    path = write(
+        tmp_path, "a.h5",
+        lambda f: (
+            f.dataset("/wide", wide, (20_000,), bytes(20_000 * 4096)),
+            f.dataset("/lists", h5.compound_type(16, [("v", 0, lists)]), (10_000,), bytes(160_000)),
+        ),
+    )
+    with RangedFile(path) as file:
+        assert Hdf5Dataset(file, {"dataset": "/wide"}).file_dims[0].step == 64 * 1024 * 1024 // 4096
+        assert Hdf5Dataset(file, {"dataset": "/lists"}).file_dims[0].step == 4096
+
+
 def test_strings_and_enums(spark, tmp_path):
     members = {"off": 0, "on": 5}
     dtype = np.dtype([("z", "S5"), ("p", "S5"), ("s", "S5"), ("e", "u1")])
