@@ -1,6 +1,7 @@
 """File formats and stored arrays."""
 
 from slabwise.sources.catalog import fits_catalog, fits_header, hdf5_catalog, list_files
+from slabwise.sources.export import dump_dataset
 from slabwise.sources.scan import (
     describe_fits,
     describe_hdf5,
@@ -14,6 +15,7 @@ from slabwise.sources.store import open_array, store_array, store_fits, store_hd
 __all__ = [
     "describe_fits",
     "describe_hdf5",
+    "dump_dataset",
     "fits_catalog",
     "fits_header",
     "hdf5_catalog",

@@ -288,7 +288,7 @@ class PushdownReader(ArrayReader):
     """
 
     def pushFilters(self, filters):
-        names = {d.name for d in _probe(self.form, self.options, lambda a: a.schema.dims)}
+        names = {d.name for d in probe(self.form, self.options, lambda a: a.schema.dims)}
         for f in filters:
             column = getattr(f, "attribute", (None,))
             if len(column) == 1 and column[0] in names:
@@ -306,7 +306,7 @@ class PushdownReader(ArrayReader):
             yield f
 
 
-def _probe(form: str, options: dict, use):
+def probe(form: str, options: dict, use):
     """Open the first file and apply ``use`` to its array."""
     path, _ = list_paths(options["path"], FORMATS[form].suffixes)[0]
     with RangedFile(path) as file:
@@ -315,7 +315,7 @@ def _probe(form: str, options: dict, use):
 
 def file_columns(form: str, options: dict) -> StructType:
     """Columns of a scan of these options, from the first file's header."""
-    return _probe(form, options, lambda a: spark_schema(a, options))
+    return probe(form, options, lambda a: spark_schema(a, options))
 
 
 class _ArraySource(DataSource):
@@ -390,7 +390,7 @@ def _through_slabs(form: str, options: dict) -> bool:
     They are for one attribute; zipping several arrays costs more than the
     coordinates of their cells.
     """
-    return form == "fits_image" or _probe(form, options, lambda a: len(_wanted(a, options))) == 1
+    return form == "fits_image" or probe(form, options, lambda a: len(_wanted(a, options))) == 1
 
 
 def _load_cells(spark: SparkSession, form: str, path: str, options: dict) -> DataFrame:
@@ -413,12 +413,12 @@ def load_hdf5(spark: SparkSession, path: str, dataset: str, **options) -> DataFr
 
 def describe_fits(path: str, hdu: int = 0) -> ArraySchema:
     """Array description of an image unit, from the (first) file's header."""
-    return _probe("fits_image", {"path": path, "hdu": hdu}, lambda a: a.schema.planned())
+    return probe("fits_image", {"path": path, "hdu": hdu}, lambda a: a.schema.planned())
 
 
 def describe_hdf5(path: str, dataset: str) -> ArraySchema:
     """Array description of a dataset, from the (first) file's header."""
-    return _probe("hdf5_array", {"path": path, "dataset": dataset}, lambda a: a.schema)
+    return probe("hdf5_array", {"path": path, "dataset": dataset}, lambda a: a.schema)
 
 
 def scan_listed(files: DataFrame, form: str, sample: str, options: dict) -> DataFrame:

@@ -11,7 +11,7 @@ from slabwise import UnsupportedType
 from slabwise.operators import array_member_to_cols, flatten_compound, vlen_unwrap
 from slabwise.plans import hdf5_bytes as h5
 from slabwise.schema import UNLIMITED
-from slabwise.sources import hdf5_catalog, load_hdf5
+from slabwise.sources import dump_dataset, hdf5_catalog, load_hdf5
 from slabwise.sources.files import RangedFile
 from slabwise.sources.hdf5 import Hdf5Dataset, Hdf5File
 
@@ -159,6 +159,26 @@ def test_nested_compound_flattens(spark, tmp_path):
         load_hdf5(spark, path, "/r", columns=["nope"])
 
 
+def test_dump_of_each_kind(spark, tmp_path):
+    rows, kind = nested_record()
+    frames = np.arange(30 * 6, dtype="<u2").reshape(30, 2, 3) + 65_000
+    path = write(
+        tmp_path, "a.h5",
+        lambda f: (
+            f.dataset("/r", kind, (7,), rows),
+            f.dataset("/i", h5.array_type((2, 3), h5.int_type(2, signed=False)), (30,), frames, chunk=(4,)),
+            f.dataset("/p", h5.int_type(2), (3, 4), np.zeros((3, 4), "<i2")),
+        ),
+    )
+    lines = [r.line for r in dump_dataset(spark, path, "/r").orderBy("record").collect()]
+    assert lines[:3] == ["Data for /r", '#0: {0, "t0", 0, 0, 0, 1, 2, 3}', '#1: {10, "t1", 1, 0.5, 1, 2, 3, 4}']
+    lines = [r.line for r in dump_dataset(spark, path, "/i", outer_limit=10, inner_limit=4).orderBy("record").collect()]
+    assert len(lines) == 10
+    assert lines[7] == "7: {array [2, 3], 12} is 65042 65043 65044 65045 <limit 4 reached>"
+    assert dump_dataset(spark, path, "/i", outer_limit=None).count() == 30
+    assert "Skipping /p" in dump_dataset(spark, path, "/p").first().line
+
+
 def test_compound_versions_and_padding(spark, tmp_path):
     dtype = np.dtype({"names": ["a", "b"], "formats": ["<i4", "<f8"], "offsets": [4, 16], "itemsize": 32})
     rows = np.zeros(3, dtype)
