@@ -209,11 +209,17 @@ def unpack_slabs(slabs: DataFrame, dims: list[str], attrs: list[str], keep: list
     return exploded.select(*[coords[d].alias(d) for d in dims], *values, *keep)
 
 
-def redistribute(df: DataFrame, keys: list[str], partitions: int | None = None, by_range=False) -> DataFrame:
+def redistribute(df: DataFrame, keys: list[str], partitions: int | None = None, by_range: bool = False) -> DataFrame:
     """Spread slabs over the cluster by their origin.
 
-    Hashing is one pass.  ``by_range`` samples first and keeps neighbours
-    together, which gives stored files narrow origin ranges.
+    By default rows are rebalanced: those of a key stay together as far as
+    partitions stay near the advisory size, so a hot key is split and small
+    ones are merged.  ``partitions`` asks for an exact number instead, and
+    ``by_range`` samples first and keeps neighbours together, which gives
+    stored files narrow origin ranges.
     """
-    spread = df.repartitionByRange if by_range else df.repartition
-    return spread(partitions, *keys) if partitions else spread(*keys)
+    if by_range:
+        return df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    if partitions:
+        return df.repartition(partitions, *keys)
+    return df.hint("rebalance", *[F.col(k) for k in keys])

@@ -304,7 +304,7 @@ def _first_n_slabs(spark, sf_dir):
 def _redistribute(spark, sf_dir):
     slabs, schema = open_array(spark, stored_plane(spark, sf_dir))
     origins = [f"origin_{d}" for d in schema.dim_names]
-    spread = redistribute(slabs, origins, partitions=16)
+    spread = redistribute(slabs, origins)
     total = F.aggregate("value", F.lit(0.0), lambda a, v: a + v.cast("double"))
     return spread.select(
         "slab_no", F.size("value").cast("bigint").alias("cells"), F.round(total, 6).alias("total")

@@ -80,3 +80,18 @@ def test_redistribute_uses_the_asked_partitions(spark):
     spans = ranged.groupBy(F.spark_partition_id()).agg(F.min("origin_0").alias("a"), F.max("origin_0").alias("b"))
     spans = sorted((r.a, r.b) for r in spans.collect())
     assert all(x[1] < y[0] for x, y in zip(spans, spans[1:]))
+
+
+def test_redistribute_splits_a_hot_key(spark, tmp_path):
+    from slabwise.operators import redistribute
+
+    hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 997)
+    rows = spark.range(1_000_000).repartition(8).select(hot.alias("origin_0"), F.col("id").alias("v"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "500KB")
+    try:
+        redistribute(rows, ["origin_0"]).write.parquet(str(tmp_path / "out"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    stored = spark.read.parquet(str(tmp_path / "out"))
+    hot_files = stored.where("origin_0 = 0").select(F.input_file_name()).distinct().count()
+    assert hot_files > 1 and stored.count() == 1_000_000
