@@ -13,7 +13,7 @@ from slabwise.plans.derived_files import (
     number_of,
     part_files,
 )
-from slabwise.plans.registry import query, table
+from slabwise.plans.registry import query
 from slabwise.sources import fits_catalog, fits_header, hdf5_catalog, load_fits, load_hdf5
 
 IMAGE, LABEL, PART = "/Run:0000/Cam.0/image", "/Run:0000/Cam.0/label", "/store/part"

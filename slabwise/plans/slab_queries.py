@@ -21,7 +21,6 @@ from slabwise.operators import (
     unpack_slabs,
     unroll,
 )
-from slabwise.plans.array_queries import CELLS_SQL
 from slabwise.plans.registry import query, rounded, table
 from slabwise.schema import ArraySchema, Attr, Dim, chunk_plan_column
 from slabwise.session import scratch_dir

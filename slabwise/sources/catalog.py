@@ -6,6 +6,8 @@ every task reads only the headers of its own files.
 
 from __future__ import annotations
 
+from itertools import islice
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -19,14 +21,17 @@ from slabwise.sources.hdf5 import Hdf5File, describe
 
 # Fixed value: units listed per FITS file.
 MAX_UNITS = 10
-HEADER_READ = 64 * 1024
 BATCH_ROWS = 4096
+# Levels of an HDF5 file listed before its groups are spread.
+UPPER_LEVELS = 2
 
 HDF5_SCHEMA = (
     "file string, path string, kind string, class string, supported boolean, "
     "attrs array<struct<name:string,type:string,ddl_type:string,bytes:bigint>>, "
     "dims array<struct<name:string,size:bigint,limit:bigint,chunk:bigint,inside:boolean>>"
 )
+# A group left for the second pass: its address and the B-trees above it.
+PENDING = "address bigint, above array<bigint>"
 FITS_SCHEMA = (
     "file string, hdu bigint, kind string, bitpix bigint, value_type string, bytes bigint, "
     "scale double, zero double, dims array<bigint>, pcount bigint, gcount bigint, "
@@ -35,6 +40,12 @@ FITS_SCHEMA = (
 HEADER_SCHEMA = "file string, hdu bigint, position bigint, key string, value string, comment string"
 
 
+def _batched(rows, schema):
+    """Rows of a generator as Arrow batches of bounded size."""
+    while held := list(islice(rows, BATCH_ROWS)):
+        yield pa.RecordBatch.from_pylist(held, schema=schema)
+
+
 def list_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     """``(path, length)`` of the files of a folder, at any depth."""
     return (
@@ -52,17 +63,12 @@ def _per_file(files: DataFrame, rows_of, schema: str) -> DataFrame:
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def read(batches):
-        rows = []
-        for batch in batches:
-            for path in batch.column(0).to_pylist():
-                with RangedFile(path, ahead=HEADER_READ) as file:
-                    for row in rows_of(path, file):
-                        rows.append(row)
-                        if len(rows) >= BATCH_ROWS:
-                            yield pa.RecordBatch.from_pylist(rows, schema=arrow)
-                            rows = []
-        if rows:
-            yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+        paths = (path for batch in batches for path in batch.column(0).to_pylist())
+        yield from _batched((row for path in paths for row in opened(path)), arrow)
+
+    def opened(path):
+        with RangedFile(path) as file:
+            yield from rows_of(path, file)
 
     # Header reads wait on storage, so files are spread evenly, not by size.
     spread = files.select("path").repartition(task_count(files.sparkSession), "path")
@@ -70,44 +76,68 @@ def _per_file(files: DataFrame, rows_of, schema: str) -> DataFrame:
 
 
 def hdf5_catalog(spark: SparkSession, path: str, pattern: str = "*.h5") -> DataFrame:
-    """Every group and dataset of every HDF5 file of a folder."""
-    return _per_file(list_files(spark, path, pattern), _hdf5_rows, HDF5_SCHEMA)
-
-
-def _hdf5_rows(path: str, file: RangedFile):
-    for name, head in Hdf5File(file).walk():
-        row = {"file": path, "path": name, "kind": "dataset", "class": None, "supported": False,
-               "attrs": None, "dims": None}
-        if isinstance(head, UnsupportedType):
-            yield {**row, "kind": "other"}
-            continue
-        row["kind"] = head.kind
-        if head.kind != "dataset":
-            yield row
-            continue
-        row["class"] = head.element.class_name
-        try:
-            schema = describe(name, head)
-            head.element.spark()
-        except UnsupportedType:
-            yield row
-            continue
-        sizes = _leaf_types(head.element)
-        row["supported"] = True
-        row["attrs"] = [
-            {"name": n, "type": t.type_name, "ddl_type": t.ddl_name, "bytes": t.size} for n, t in sizes
-        ]
-        row["dims"] = [
-            {
-                "name": d.name,
-                "size": d.size,
-                "limit": None if d.limit is not None and d.limit >= UNLIMITED else d.limit or d.size,
-                "chunk": d.step,
-                "inside": d.inside,
-            }
-            for d in schema.dims
-        ]
+    """Every group and dataset of every HDF5 file of a folder.
+
+    One pass lists the upper levels of each file; the groups found there are
+    spread again and listed by many tasks, so one vast file is not one task.
+    """
+    upper = _per_file(list_files(spark, path, pattern), _upper_rows, f"{HDF5_SCHEMA}, {PENDING}")
+    arrow = to_arrow_schema(StructType.fromDDL(HDF5_SCHEMA))
+
+    def lower(batches):
+        rows = (row for batch in batches for row in batch.to_pylist())
+        yield from _batched((full for row in rows for full in _lower_rows(row)), arrow)
+
+    spread = upper.repartition(task_count(spark), "file", "path")
+    return spread.mapInArrow(lower, HDF5_SCHEMA)
+
+
+def _upper_rows(path: str, file: RangedFile):
+    for name, head, address, above in Hdf5File(file).walk(depth=UPPER_LEVELS):
+        row = _hdf5_row(path, name, head)
+        pending = row["kind"] == "group" and len(above) == UPPER_LEVELS and head.group[0] not in above
+        yield {**row, "address": address if pending else None, "above": list(above)}
+
+
+def _lower_rows(row: dict):
+    """A listed row as it is, or the whole tree of a group that was left for later."""
+    address, above = row.pop("address"), row.pop("above")
+    if address is None:
         yield row
+        return
+    with RangedFile(row["file"]) as file:
+        for name, head, _, _ in Hdf5File(file).walk(address, row["path"], tuple(above)):
+            yield _hdf5_row(row["file"], name, head)
+
+
+def _hdf5_row(path: str, name: str, head) -> dict:
+    row = {"file": path, "path": name, "kind": "other", "class": None, "supported": False, "attrs": None, "dims": None}
+    if isinstance(head, UnsupportedType):
+        return row
+    row["kind"] = head.kind
+    if head.kind != "dataset":
+        return row
+    row["class"] = head.element.class_name
+    try:
+        schema = describe(name, head)
+        head.element.spark()
+    except UnsupportedType:
+        return row
+    row["supported"] = True
+    row["attrs"] = [
+        {"name": n, "type": t.type_name, "ddl_type": t.ddl_name, "bytes": t.size} for n, t in _leaf_types(head.element)
+    ]
+    row["dims"] = [
+        {
+            "name": d.name,
+            "size": d.size,
+            "limit": None if d.limit is not None and d.limit >= UNLIMITED else d.limit or d.size,
+            "chunk": d.step,
+            "inside": d.inside,
+        }
+        for d in schema.dims
+    ]
+    return row
 
 
 def _leaf_types(element, prefix: str = ""):

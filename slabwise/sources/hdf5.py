@@ -245,17 +245,20 @@ class Hdf5File:
             raise CorruptFile(f"{self.file.path}: no B-tree of kind {kind} at {address}")
         return level, count
 
-    def walk(self, address: int | None = None, path: str = ""):
-        """``(path, header or error)`` of every object below a group, depth first.
+    def walk(self, address: int | None = None, path: str = "", above: tuple = (), depth: int | None = None):
+        """``(path, header or error, address, above)`` of a group and all below it.
 
-        An explicit stack of generators holds one branch, never the whole tree;
-        a link back to a group of the branch is listed but not followed.
+        Depth first with an explicit stack of generators, which holds one
+        branch and never the whole tree.  Groups ``depth`` levels down are
+        listed but not entered; nor is a link back to a group of the branch,
+        whose B-tree addresses ``above`` holds.
         """
-        root = self.header(self.root if address is None else address)
-        yield path or "/", root
-        stack = [(path, root.group, self.children(root.group))] if root.group else []
+        address = self.root if address is None else address
+        top = self.header(address)
+        yield path or "/", top, address, above
+        stack = [(path, (*above, top.group[0]), self.children(top.group))] if top.group else []
         while stack:
-            prefix, _, siblings = stack[-1]
+            prefix, branch, siblings = stack[-1]
             child = next(siblings, None)
             if child is None:
                 stack.pop()
@@ -264,11 +267,12 @@ class Hdf5File:
             try:
                 head = self.header(child[1])
             except UnsupportedType as error:
-                yield here, error
+                yield here, error, child[1], branch
                 continue
-            yield here, head
-            if head.group and all(head.group != group for _, group, _ in stack):
-                stack.append((here, head.group, self.children(head.group)))
+            yield here, head, child[1], branch
+            entered = depth is None or len(stack) < depth
+            if entered and head.group and head.group[0] not in branch:
+                stack.append((here, (*branch, head.group[0]), self.children(head.group)))
 
     def find(self, path: str) -> Header:
         head = self.header(self.root)

@@ -289,6 +289,36 @@ def test_catalog_of_many_groups(spark, tmp_path):
     assert listed.where("path = '/run07/deep/d2'").select(F.col("dims")[0]["size"]).collect() == [(3,), (3,)]
 
 
+def test_deep_trees_are_listed_once(spark, tmp_path):
+    def build(file):
+        for i in range(12):
+            path = "".join(f"/g{k}" for k in range(i))
+            file.dataset(f"{path}/x", h5.int_type(2), (1,), np.zeros(1, "<i2"))
+
+    write(tmp_path, "a.h5", build)
+    rows = [(r.path, r.kind) for r in hdf5_catalog(spark, str(tmp_path)).collect()]
+    groups = ["/"] + ["".join(f"/g{k}" for k in range(i)) for i in range(1, 12)]
+    expected = [(g, "group") for g in groups] + [(f"{'' if g == '/' else g}/x", "dataset") for g in groups]
+    assert sorted(rows) == sorted(expected)
+
+
+def test_link_back_is_not_followed(spark, tmp_path):
+    """A hard link to an ancestor: patch a group's entry to point at another."""
+    file = h5.FileBuilder()
+    file.dataset("/a/b/c/x", h5.int_type(2), (1,), np.zeros(1, "<i2"))
+    file.dataset("/a/b/c/loop", h5.int_type(2), (1,), np.zeros(1, "<i2"))
+    raw = bytearray(file.build())
+    path = tmp_path / "a.h5"
+    path.write_bytes(bytes(raw))
+    with RangedFile(str(path)) as opened:
+        found = {p: address for p, _, address, _ in Hdf5File(opened).walk()}
+    old, new = struct.pack("<Q", found["/a/b/c/loop"]), struct.pack("<Q", found["/a"])
+    assert raw.count(old) == 1
+    path.write_bytes(bytes(raw.replace(old, new)))
+    listed = sorted(r.path for r in hdf5_catalog(spark, str(tmp_path)).collect())
+    assert listed == ["/", "/a", "/a/b", "/a/b/c", "/a/b/c/loop", "/a/b/c/x"]
+
+
 def test_broken_files(spark, tmp_path):
     data = np.arange(1000, dtype="<i8")
     path = write(tmp_path, "a.h5", lambda f: f.dataset("/x", h5.int_type(8), (1000,), data))
