@@ -27,6 +27,7 @@ from slabwise.operators.restructure import (
     flatten_compound,
     name_attrs,
     name_dims,
+    pack_frames,
     pack_slabs,
     redistribute,
     scalar_array,
@@ -56,6 +57,7 @@ __all__ = [
     "holes",
     "name_attrs",
     "name_dims",
+    "pack_frames",
     "pack_slabs",
     "redistribute",
     "scalar_array",

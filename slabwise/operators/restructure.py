@@ -151,39 +151,73 @@ def pack_slabs(cells: DataFrame, schema: ArraySchema, checked: bool = True) -> D
 
     Pass ``checked=False`` only for cells that a scan or ``unroll`` made.
     """
-    dims, attrs = schema.dim_names, schema.attr_names
-    shape, chunks = schema.shape, schema.chunks
+    dims, shape, chunks = schema.dim_names, schema.shape, schema.chunks
     origins = [f"origin_{d}" for d in dims]
-    origin_cols = [F.col(o) for o in origins]
     placed = cells.select(
         *[slab_origin(F.col(d), c).alias(o) for d, c, o in zip(dims, chunks, origins)],
         linearize([F.col(d) for d in dims], shape).alias("_lin"),
-        *attrs,
+        *schema.attr_names,
     )
-    room = F.lit(0).cast("bigint")
-    if checked:
-        label = F.concat_ws(",", *[o.cast("string") for o in origin_cols])
-        overfull = F.raise_error(F.concat(F.lit("duplicate cells: too many in slab "), label))
-        fits = F.col("_n") <= slab_cell_count(origin_cols, shape, chunks)
-        counts = placed.groupBy(*origins).agg(F.count(F.lit(1)).alias("_n"))
-        counts = counts.select(*origins, F.when(fits, F.col("_n")).otherwise(overfull).alias("_room"))
-        placed = placed.join(counts, origins)
-        room = F.max("_room")
-    ordered = F.array_sort(F.collect_list(F.struct("_lin", *attrs)))
-    grouped = placed.groupBy(*origins).agg(ordered.alias("_cells"), room.alias("_room"))
-    if checked:
-        # The count is read here so that its check cannot be optimised away.
-        single = F.size(F.array_distinct(F.col("_cells._lin"))) == F.col("_room")
-        repeated = F.raise_error(F.concat(F.lit("duplicate cells: repeated in slab "), label))
-        grouped = grouped.withColumn("_cells", F.when(single, F.col("_cells")).otherwise(repeated))
+    room = slab_cell_count([F.col(o) for o in origins], shape, chunks)
+    packed = _collect_ordered(placed, origins, schema.attr_names, room if checked else None)
+    return _slab_rows(packed, schema, [F.col("_cells").getField(a).alias(a) for a in schema.attr_names])
+
+
+def pack_frames(frames: DataFrame, values: str, schema: ArraySchema, checked: bool = True) -> DataFrame:
+    """One-row-per-frame arrays to slabs of several frames.
+
+    The first dimension of ``schema`` numbers the frames, the others lie inside
+    ``values``.  Frames stay arrays all the way: next to packing cells, one row
+    and one coordinate travel per frame instead of per cell.
+    """
+    outer, *inside = schema.dims
+    if any(d.step != d.size for d in inside):
+        raise BadBounds("inside dimensions are never split")
+    origin = f"origin_{outer.name}"
+    placed = frames.select(
+        slab_origin(F.col(outer.name), outer.step).alias(origin),
+        F.col(outer.name).cast("bigint").alias("_lin"),
+        F.col(values),
+    )
+    room = slab_cell_count([F.col(origin)], [outer.size], [outer.step])
+    packed = _collect_ordered(placed, [origin], [values], room if checked else None)
+    for dim in inside:
+        packed = packed.withColumn(f"origin_{dim.name}", F.lit(0).cast("bigint"))
+    flat = F.flatten(F.col("_cells").getField(values)).alias(schema.attr_names[0])
+    return _slab_rows(packed, schema, [flat])
+
+
+def _collect_ordered(placed: DataFrame, origins: list[str], payload: list[str], room) -> DataFrame:
+    """``_cells`` per slab in ``_lin`` order; ``room`` bounds its size if given."""
+    label = F.concat_ws(",", *[F.col(o).cast("string") for o in origins])
+    ordered = F.array_sort(F.collect_list(F.struct("_lin", *payload)))
+    if room is None:
+        return placed.groupBy(*origins).agg(ordered.alias("_cells"))
+    overfull = F.raise_error(F.concat(F.lit("duplicate cells: too many in slab "), label))
+    counts = placed.groupBy(*origins).agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.select(*origins, F.when(F.col("_n") <= room, F.col("_n")).otherwise(overfull).alias("_room"))
+    grouped = (
+        placed.join(counts, origins)
+        .groupBy(*origins)
+        .agg(ordered.alias("_cells"), F.max("_room").alias("_room"))
+    )
+    # The count is read here so that its check cannot be optimised away.
+    single = F.size(F.array_distinct(F.col("_cells._lin"))) == F.col("_room")
+    repeated = F.raise_error(F.concat(F.lit("duplicate cells: repeated in slab "), label))
+    return grouped.withColumn("_cells", F.when(single, F.col("_cells")).otherwise(repeated))
+
+
+def _slab_rows(packed: DataFrame, schema: ArraySchema, values: list) -> DataFrame:
+    """Slab layout: number, origins, clipped last coordinates and value lists."""
+    origins = [F.col(f"origin_{d}") for d in schema.dim_names]
     lasts = [
-        F.least(o + c, F.lit(n).cast("bigint")) - 1 for o, c, n in zip(origin_cols, chunks, shape)
+        F.least(o + d.step, F.lit(d.size).cast("bigint")) - 1 for o, d in zip(origins, schema.dims)
     ]
-    return grouped.select(
-        slab_number(origin_cols, shape, chunks).alias("slab_no"),
+    return packed.select(
+        slab_number(origins, schema.shape, schema.chunks).alias("slab_no"),
         *origins,
-        *[last.alias(f"last_{d}") for last, d in zip(lasts, dims)],
-        *[F.col("_cells").getField(a).alias(a) for a in attrs],
+        *[last.alias(f"last_{d}") for last, d in zip(lasts, schema.dim_names)],
+        *values,
     )
 
 

@@ -12,6 +12,7 @@ from slabwise.operators import (
     dim_bounds,
     first_n_slabs,
     holes,
+    pack_frames,
     pack_slabs,
     redistribute,
     slab_bytes,
@@ -21,6 +22,7 @@ from slabwise.operators import (
     unpack_slabs,
     unroll,
 )
+from slabwise.plans.array_queries import CELLS_SQL, frame_schema, frames
 from slabwise.plans.registry import query, rounded, table
 from slabwise.schema import ArraySchema, Attr, Dim, chunk_plan_column
 from slabwise.session import scratch_dir
@@ -274,6 +276,26 @@ def _pack_slabs(spark, sf_dir):
     ).drop("value")
 
 
+@query(
+    "pack_frames",
+    f"""
+    SELECT unnamed0 // 100 AS slab_no, unnamed0 // 100 * 100 AS origin_unnamed0, 0::BIGINT AS origin_unnamed1,
+           0::BIGINT AS origin_unnamed2, max(unnamed0) AS last_unnamed0, max(unnamed1) AS last_unnamed1,
+           max(unnamed2) AS last_unnamed2, count(*) AS cells,
+           string_agg(floor(value * 1000)::BIGINT::VARCHAR, ' ' ORDER BY unnamed0, unnamed1, unnamed2) AS text
+    FROM ({CELLS_SQL}) GROUP BY unnamed0 // 100
+    """,
+)
+def _pack_frames(spark, sf_dir):
+    """A hundred frames to a slab, without going through cells."""
+    schema = frame_schema(spark, sf_dir).with_chunks((100, 8, 8))
+    slabs = pack_frames(frames(spark, sf_dir), "value", schema)
+    scaled = F.transform("value", lambda v: F.floor(v.cast("double") * 1000).cast("string"))
+    return slabs.withColumns(
+        {"cells": F.size("value").cast("bigint"), "text": F.array_join(scaled, " ")}
+    ).drop("value")
+
+
 @query("unpack_slabs", f"SELECT unnamed0, unnamed1, value FROM ({PLANE_SQL})")
 def _unpack_slabs(spark, sf_dir):
     slabs, schema = open_array(spark, stored_plane(spark, sf_dir))

@@ -13,6 +13,7 @@ from slabwise.operators import (
     first_n_elements,
     flatten_compound,
     holes,
+    pack_frames,
     pack_slabs,
     slab_grid,
     stdev_by_dim,
@@ -68,6 +69,22 @@ def test_pack_rejects_repeated_cells(spark):
     assert [(r.slab_no, r.v) for r in kept] == [(0, [1, 4]), (1, [7])]
 
 
+def test_pack_frames_equals_packed_cells(spark):
+    values = F.transform(F.sequence(F.lit(0), F.lit(5)), lambda x: x + F.col("d0") * 6)
+    frames = spark.range(7).select(F.col("id").alias("d0")).withColumn("v", values)
+    schema = ArraySchema("a", (Attr("v", "int64"),), (Dim("d0", 7, 3), Dim("d1", 2, inside=True), Dim("d2", 3, inside=True)))
+    cells = unroll(frames, ["d0"], "v", (2, 3), "v", dims=["d1", "d2"])
+    packed = pack_frames(frames, "v", schema)
+    assert sorted(packed.collect()) == sorted(pack_slabs(cells, schema).collect())
+    with pytest.raises(Exception, match="duplicate cells: too many in slab"):
+        pack_frames(frames.unionByName(frames), "v", schema).collect()
+    with pytest.raises(Exception, match="duplicate cells: repeated in slab 0"):
+        twice = frames.withColumn("d0", F.when(F.col("d0") == 1, 0).otherwise(F.col("d0")))
+        pack_frames(twice, "v", schema).collect()
+    with pytest.raises(BadBounds):
+        pack_frames(frames, "v", schema.with_chunks((3, 1, 3)))
+
+
 def test_slab_grid_is_clipped_and_ordered(spark):
     arrays = spark.createDataFrame([("a", [450, 64], [100, 16])], "id string, dims array<bigint>, chunks array<bigint>")
     grid = slab_grid(arrays, 2).orderBy("slab_no").collect()
