@@ -183,7 +183,7 @@ class FitsImage:
         # Dimensions from slowest to fastest, the order of the bytes.
         self.file_dims = ArraySchema(UNNAMED, self.schema.attrs, dims[::-1]).planned().dims
         self.columns = [(UNNAMED, SPARK_TYPES[unit.value_type][0])]
-        self.raw = np.dtype(RAW_TYPES[unit.bitpix])
+        self.raw = self.record = np.dtype(RAW_TYPES[unit.bitpix])
         if unit.data_start + self.raw.itemsize * unit.elements > file.size:
             raise CorruptFile(f"{file.path}: data of unit {number} is cut short")
 

@@ -108,7 +108,8 @@ def read_split(form: str, path: str, part: int, parts: int, options: dict, extra
         yield from _read_slabs(array, path, part, parts, options, extra)
 
 
-def _read_slabs(array, path, part, parts, options, extra):
+def _window(array, options: dict, extra=()) -> tuple[list[int], list[int], list[int], list[int]] | None:
+    """Bounds in file order, the first slab and the slab counts; ``None`` if empty."""
     dims = array.file_dims
     names = [d.name for d in dims]
     order = [names.index(n) for n in array.schema.dim_names]  # schema order -> file order
@@ -118,7 +119,7 @@ def _read_slabs(array, path, part, parts, options, extra):
         for position, value in zip(order, _bounds(options, side, len(dims))):
             if value is None:
                 continue
-            # A growing set of files may differ in its slowest extent only.
+            # Files of a growing set may differ in their slowest extent only.
             if value < 0 or (position > 0 and value >= dims[position].size):
                 raise BadBounds(f"{names[position]}: {value} outside 0..{dims[position].size - 1}")
             bounds[position] = value if side == "lo" else min(value, high[position])
@@ -127,11 +128,20 @@ def _read_slabs(array, path, part, parts, options, extra):
         low[at] = low[at] if floor is None else max(low[at], floor)
         high[at] = high[at] if ceiling is None else min(high[at], ceiling)
     if any(a > b for a, b in zip(low, high)):
-        return
+        return None
+    first = [a // d.step for a, d in zip(low, dims)]
+    counts = [b // d.step - f + 1 for b, d, f in zip(high, dims, first)]
+    return low, high, first, counts
+
 
-    steps = [d.step for d in dims]
-    first = [a // s for a, s in zip(low, steps)]
-    counts = [b // s - f + 1 for b, s, f in zip(high, steps, first)]
+def _read_slabs(array, path, part, parts, options, extra):
+    window = _window(array, options, extra)
+    if window is None:
+        return
+    low, high, first, counts = window
+    dims = array.file_dims
+    names, steps = [d.name for d in dims], [d.step for d in dims]
+    order = [names.index(n) for n in array.schema.dim_names]
     total = prod(counts)
     wanted = _wanted(array, options)
     columns = [n for n, _ in wanted]
@@ -226,9 +236,12 @@ def plan_splits(form: str, paths: list[tuple[str, int]], options: dict, extra=()
         if parts > 1 and len(paths) <= HEADERS_ON_DRIVER:
             with RangedFile(path) as file:
                 array = FORMATS[form](file, options)
-                slabs = prod(-(-d.size // d.step) for d in array.file_dims if d.step)
-                data = prod(d.size for d in array.file_dims) * array.raw.itemsize
-                parts = min(parts, slabs, -(-data // target))
+                window = _window(array, options, extra)
+                if window is None:
+                    continue
+                low, high, _, counts = window
+                data = prod(b - a + 1 for a, b in zip(low, high)) * array.record.itemsize
+                parts = min(parts, prod(counts), -(-data // target))
         if parts > 1:
             tasks += [[(path, i, parts)] for i in range(parts)]
             continue
@@ -240,7 +253,8 @@ def plan_splits(form: str, paths: list[tuple[str, int]], options: dict, extra=()
         filled += cost
     if shared:
         tasks.append(shared)
-    return [Splits(pieces, list(extra)) for pieces in tasks]
+    # Spark would read an empty plan as one unnamed task, so it gets one with no work.
+    return [Splits(pieces, list(extra)) for pieces in tasks or [[]]]
 
 
 class GrowingReader(DataSourceStreamReader):
@@ -267,8 +281,6 @@ class GrowingReader(DataSourceStreamReader):
         return {"frames": self._array(lambda a: a.file_dims[0].size)}
 
     def partitions(self, start, end):
-        if start["frames"] >= end["frames"]:
-            return []
         name = self._array(lambda a: a.file_dims[0].name)
         fresh = [(name, start["frames"], end["frames"] - 1)]
         return plan_splits(self.form, [self._file()], self.options, fresh)

@@ -81,6 +81,8 @@ def test_many_splits_bounds_and_slabs(spark, tmp_path):
     assert cells_of(part, ["dim0", "dim1"]) == {
         (x, y): float(data[y, x]) for y in range(690, 700) for x in range(10, 13)
     }
+    assert load_fits(spark, path, hdu=1, lo=(None, 700), splitBytes=600_000).count() == 0  # beyond the last row
+    assert part.rdd.getNumPartitions() == 1  # tasks follow the window, not the file
     slabs = load_fits(spark, path, hdu=1, layout="slabs", splitBytes=600_000)
     rows = slabs.orderBy("slab_no").collect()
     assert [r.slab_no for r in rows] == list(range(len(rows)))
