@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from slabwise.llm.common import table
+from slabwise.llm.exact_dedup import exact_dedup
+from slabwise.llm.line_dedup import line_dedup
 from slabwise.llm.substring_dedup import substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +42,36 @@ SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, CAST(len(d.ws) - coalesce
   sha256(coalesce(k.kept, '')) AS kept_sha256
 FROM d LEFT JOIN k USING (doc_id)
 """
+
+
+@_query
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup(table(spark, sf_dir, "documents"))
+
+
+SQL["op4_exact_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
+  doc_id = min(doc_id) OVER (PARTITION BY norm) AS kept, sha256(norm) AS text_sha256
+FROM d
+"""
+
+
+@_query
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(table(spark, sf_dir, "documents"), min_chars=20, min_docs=3)
+
+
+SQL["op9_line_dedup"] = r"""
+WITH l AS (
+  SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS i
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
+k AS (
+  SELECT doc_id, i, line, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT key, max(doc_id) AS last_id FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3)
+SELECT k.doc_id, count(*) AS n_lines, count(*) FILTER (f.last_id <> k.doc_id) AS n_dropped,
+  sha256(coalesce(string_agg(k.line, chr(10) ORDER BY k.i) FILTER (f.last_id IS NULL OR f.last_id = k.doc_id), '')) AS kept_sha256
+FROM k LEFT JOIN f USING (key) GROUP BY k.doc_id
+"""
