@@ -7,6 +7,8 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slabwise.session import ship_package
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 #: Stands for a null doc_id in comparisons: rows without one come last.
@@ -40,7 +42,11 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def documents(df: DataFrame, *more: str) -> DataFrame:
-    """``doc_id``, ``text`` and the named columns only, so that no other name can clash."""
+    """``doc_id``, ``text`` and the named columns only, so that no other name can clash.
+
+    The package goes to the executors too, where it need not be installed.
+    """
+    ship_package(df.sparkSession)
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from slabwise.llm.common import table
 from slabwise.llm.exact_dedup import exact_dedup
 from slabwise.llm.line_dedup import line_dedup
+from slabwise.llm.language_id import identify
+from slabwise.llm.packing import pack
 from slabwise.llm.substring_dedup import substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +77,13 @@ SELECT k.doc_id, count(*) AS n_lines, count(*) FILTER (f.last_id <> k.doc_id) AS
   sha256(coalesce(string_agg(k.line, chr(10) ORDER BY k.i) FILTER (f.last_id IS NULL OR f.last_id = k.doc_id), '')) AS kept_sha256
 FROM k LEFT JOIN f USING (key) GROUP BY k.doc_id
 """
+
+
+@_query
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), capacity=1024)
+
+
+@_query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
