@@ -10,6 +10,7 @@ from slabwise.llm.common import table
 from slabwise.llm.exact_dedup import exact_dedup
 from slabwise.llm.line_dedup import line_dedup
 from slabwise.llm.language_id import identify
+from slabwise.llm.ngram_join import ngram_join
 from slabwise.llm.packing import pack
 from slabwise.llm.substring_dedup import substring_dedup
 
@@ -87,3 +88,29 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
+#: Links between all pairs that share a shingle, then the smallest id reached over them.
+SQL["op6_ngram_jaccard_join"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(ws) < 3 THEN array_to_string(ws, ' ') ELSE array_to_string(ws[i:i + 2], ' ') END AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 1, 2))) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id
+  GROUP BY ALL),
+l AS (
+  SELECT a, b FROM c JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * common >= 90 * (p.n + q.n - common)),
+r(doc_id, reached) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.reached)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(reached) AS component_id FROM r GROUP BY doc_id) m USING (doc_id)
+"""
