@@ -10,6 +10,7 @@ from slabwise.llm.common import table
 from slabwise.llm.exact_dedup import exact_dedup
 from slabwise.llm.line_dedup import line_dedup
 from slabwise.llm.language_id import identify
+from slabwise.llm.mixing import mix
 from slabwise.llm.ngram_join import ngram_join
 from slabwise.llm.packing import pack
 from slabwise.llm.substring_dedup import substring_dedup
@@ -114,3 +115,34 @@ r(doc_id, reached) AS (
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(reached) AS component_id FROM r GROUP BY doc_id) m USING (doc_id)
 """
+
+
+@_query
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).drop("source")
+
+
+SQL["op3_source_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    md5('mix:' || doc_id) AS key FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (
+  SELECT *, CAST([3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS DOUBLE) AS weight,
+    CAST(2 * source_size AS DOUBLE) AS cap FROM s),
+r AS (SELECT *, cap / weight AS ratio FROM w),
+l AS (
+  SELECT *, (1.5::DOUBLE * (SELECT sum(source_size) FROM s)
+      - (sum(cap) OVER (ORDER BY ratio, source NULLS LAST ROWS UNBOUNDED PRECEDING) - cap))
+    / sum(weight) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM r),
+f AS (SELECT ratio AS free_ratio, level AS free_level FROM l WHERE ratio > level ORDER BY ratio, level LIMIT 1),
+t AS (
+  SELECT source, source_size, CASE WHEN free_ratio IS NULL OR ratio < free_ratio THEN cap ELSE weight * free_level END AS target
+  FROM l LEFT JOIN f ON true),
+e AS (SELECT *, CAST(coalesce(floor(target / nullif(source_size, 0)), 0) AS BIGINT) AS whole FROM t),
+o AS (
+  SELECT d.*, e.source_size, e.target, e.whole, CAST(floor(e.target - e.whole * e.source_size + 0.5) AS BIGINT) AS rest,
+    CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id ROWS UNBOUNDED PRECEDING) - d.size AS BIGINT) AS start
+  FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source)
+SELECT doc_id, size, source_size, target, CAST(whole * size + greatest(0, least(size, rest - start)) AS BIGINT) AS taken FROM o
+"""
