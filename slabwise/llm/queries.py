@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from slabwise.llm.common import table
 from slabwise.llm.exact_dedup import exact_dedup
 from slabwise.llm.line_dedup import line_dedup
+from slabwise.llm.fingerprints import fingerprint_edits
 from slabwise.llm.language_id import identify
 from slabwise.llm.mixing import mix
 from slabwise.llm.ngram_join import ngram_join
@@ -146,3 +147,8 @@ o AS (
   FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source)
 SELECT doc_id, size, source_size, target, CAST(whole * size + greatest(0, least(size, rest - start)) AS BIGINT) AS taken FROM o
 """
+
+
+@_query
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(table(spark, sf_dir, "documents"))
