@@ -15,6 +15,7 @@ from slabwise.llm.mixing import mix
 from slabwise.llm.ngram_join import ngram_join
 from slabwise.llm.packing import pack
 from slabwise.llm.substring_dedup import substring_dedup
+from slabwise.llm.url_filters import url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -152,3 +153,8 @@ SELECT doc_id, size, source_size, target, CAST(whole * size + greatest(0, least(
 @_query
 def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter(table(spark, sf_dir, "pages"))
