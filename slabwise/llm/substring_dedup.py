@@ -23,14 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slabwise.llm.common import NO_ID, documents, text_keys
-from slabwise.llm.streams import after_first, in_several
+from slabwise.llm.streams import SETTLED, after_first, combine, in_several
 from slabwise.llm.words import Words, covered, minimisers, pieces, window_hashes
 
 #: Windows no longer than this are not halved further.
 SHORTEST = 16
 
-_MARKS = "key long, id long, at long"
-_FULL = "key long, check int, id long, at long"
+_MARKS = "key long, id long, at long, state byte"
+_FULL = "key long, check int, id long, at long, state byte"
 
 
 def levels(window: int) -> list[int]:
@@ -57,8 +57,13 @@ def _marks(batch, words, hashes, starts, length, full) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(columns | {"id": ids, "at": at})
 
 
+def _settled(full: bool):
+    return combine(["key", "check"] if full else ["key"], "id", later=full)
+
+
 def _first_level(length: int, window: int):
     full = length == window
+    settled = _settled(full)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -72,11 +77,12 @@ def _first_level(length: int, window: int):
                 if len(starts):
                     yield _marks(batch, words, hashes, starts, length, full)
 
-    return run
+    return lambda batches: settled(run(batches))
 
 
 def _next_level(length: int, longer: int, window: int):
     full = longer == window
+    settled = _settled(full)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -99,7 +105,7 @@ def _next_level(length: int, longer: int, window: int):
                 if len(starts):
                     yield _marks(batch, words, hashes, starts, longer, full)
 
-    return run
+    return lambda batches: settled(run(batches))
 
 
 def _kept(window: int, with_text: bool):
@@ -127,8 +133,10 @@ def _kept(window: int, with_text: bool):
     return run
 
 
-def _sorted_by(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.repartition(*keys[:1]).sortWithinPartitions(*keys, "id")
+def _sorted_by(marks: DataFrame, *order) -> DataFrame:
+    """Open rows and witnesses meet by key; settled ones are dealt out evenly."""
+    place = F.when(F.col("state") == SETTLED, F.xxhash64("key", "at")).otherwise(F.col("key"))
+    return marks.repartition(place).sortWithinPartitions(*order)
 
 
 def _starts(marks: DataFrame) -> DataFrame:
@@ -155,20 +163,18 @@ def substring_dedup(docs: DataFrame, window: int = 50, with_text: bool = False)
     h1, h2 = text_keys("text")
     rows = documents(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), h1.alias("h1"), h2.alias("h2"), "text")
     classes = rows.groupBy("h1", "h2").agg(F.min("id").alias("id"))
-    # The classes are distinct, so rows repeated under one id and text meet one class; they are made one here.
-    texts = (
-        rows.join(classes, ["id", "h1", "h2"], "left_semi")
-        .withColumn("salt", F.shiftrightunsigned("h1", 33))
-    )
+    salt = F.shiftrightunsigned("h1", 33).alias("salt")
+    # One exchange of the texts, by document, serves every level.
+    texts = rows.select("*", salt).join(classes.select("id", salt), ["id", "salt"], "left_semi")
     steps = levels(window)
     full = _FULL if len(steps) == 1 else _MARKS
     marks = texts.select("id", "salt", "text").mapInArrow(_first_level(steps[0], window), full)
     for shorter, longer in zip(steps, steps[1:], strict=False):
-        again = _sorted_by(marks, ["key"]).mapInArrow(in_several(["key"], "id"), _MARKS)
+        again = _sorted_by(marks, "key", F.desc("state"), "id").mapInArrow(in_several(["key"], "id"), _MARKS)
         candidates = texts.join(_starts(again), ["id", "salt"]).select("id", "salt", "text", "starts")
         schema = _FULL if longer == window else _MARKS
         marks = candidates.mapInArrow(_next_level(shorter, longer, window), schema)
-    later = _sorted_by(marks, ["key", "check"]).mapInArrow(after_first(["key", "check"], "id"), _FULL)
+    later = _sorted_by(marks, "key", "check", "id").mapInArrow(after_first(["key", "check"], "id"), _FULL)
     schema = "id long, h1 long, h2 long, n_words long, n_removed long, kept_sha256 string"
     done = (
         texts.join(_starts(later), ["id", "salt"], "left")
