@@ -41,8 +41,8 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def documents(df: DataFrame, *more: str) -> DataFrame:
-    """``doc_id``, ``text`` and the named columns only, so that no other name can clash.
+def documents(df: DataFrame, *more: Column) -> DataFrame:
+    """``doc_id``, ``text`` and the given columns only, so that no other name can clash.
 
     The package goes to the executors too, where it need not be installed.
     """

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from slabwise.llm.common import documents
 from slabwise.session import ship_package
@@ -124,9 +125,6 @@ def sample(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, languag
     return sorted((r["lang"], x["text"]) for r in rows for x in r["xs"])
 
 
-_ANSWER = "lang_pred string, score double"
-
-
 def _predict(packed: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model | None = pickle.loads(packed)
@@ -141,8 +139,9 @@ def _predict(packed: bytes):
                 scores[part] = np.clip((values[np.arange(len(part)), best] + 1) / 2, 0, 1)
                 for i, k in zip(part, best.tolist(), strict=True):
                     names[i] = model.languages[k]
-            others = [batch.column(n) for n in batch.schema.names if n != "text"]
-            yield pa.RecordBatch.from_arrays([*others, pa.array(names, pa.string()), pa.array(scores)], [*(n for n in batch.schema.names if n != "text"), "lang_pred", "score"])
+            others = [n for n in batch.schema.names if n != "text"]
+            answers = [pa.array(names, pa.string()), pa.array(scores)]
+            yield pa.RecordBatch.from_arrays([*map(batch.column, others), *answers], [*others, "lang_pred", "score"])
 
     return run
 
@@ -158,14 +157,12 @@ def train(docs: DataFrame) -> Model | None:
     return fit([text for _, text in rows], [lang for lang, _ in rows]) if rows else None
 
 
-def predict(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep``, ``lang_pred`` and ``score`` of every row, from its whole ``text`` alone."""
+def predict(docs: DataFrame, model: Model | None, *keep: str) -> DataFrame:
+    """The columns ``keep`` and ``lang_pred`` and ``score`` of every row, from its whole ``text`` alone."""
     ship_package(docs.sparkSession)
-    keyed = docs.select(*keep, F.col("text").cast("string").alias("text")) if "text" not in keep else docs.select(*(c for c in keep if c != "text"), "text", F.col("text").alias("kept_text"))
-    kinds = [(f.name, f.dataType.simpleString()) for f in keyed.schema.fields if f.name != "text"]
-    schema = ", ".join(f"`{name}` {kind}" for name, kind in kinds)
-    out = keyed.mapInArrow(_predict(pickle.dumps(model)), f"{schema}, {_ANSWER}")
-    return out.withColumnRenamed("kept_text", "text") if "text" in keep else out
+    rows = docs.select(F.struct(*keep).alias("row"), F.col("text").cast("string").alias("text"))  # no name can clash inside
+    schema = T.StructType([rows.schema["row"]]).add("lang_pred", "string").add("score", "double")
+    return rows.mapInArrow(_predict(pickle.dumps(model)), schema).select("row.*", "lang_pred", "score")
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -181,4 +178,9 @@ def identify(docs: DataFrame) -> DataFrame:
     the sample is chosen by a hash of the text.
     """
     model = train(docs)
-    return predict(documents(docs), model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+    return predict(documents(docs), model, "doc_id").select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def identify_rows(docs: DataFrame) -> DataFrame:
+    """As ``identify``, with all columns of ``docs`` beside ``lang_pred`` and ``score``."""
+    return predict(docs, train(docs), *docs.columns)

@@ -16,8 +16,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from slabwise.llm.common import NO_ID, documents
 
@@ -163,7 +164,7 @@ def _apply(with_text: bool):
                 digests.append(hashlib.sha256(kept.encode()).hexdigest())
                 if with_text:
                     texts.append(kept)
-            out = {n: batch.column(n) for n in batch.schema.names if n not in ("text", "keep", "id", "salt")}
+            out = {n: batch.column(n) for n in batch.schema.names if n not in ("text", "keep")}
             out |= {"n_lines": pa.array(n_lines, pa.int64()), "n_dropped": pa.array(n_dropped, pa.int64()), "kept_sha256": digests}
             if with_text:
                 out["kept"] = texts
@@ -176,7 +177,7 @@ def kept_count(text: str | None) -> int:
     return (text or "").count("\n") + 1
 
 
-def _keyed(docs: DataFrame, *more: str) -> DataFrame:
+def _keyed(docs: DataFrame, *more: Column) -> DataFrame:
     # 31 bits of the text's hash keep rows that share a doc_id apart.
     salt = F.shiftrightunsigned(F.xxhash64("text"), 33).alias("salt")
     return documents(docs, *more).select("*", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), salt)
@@ -211,8 +212,11 @@ def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, with_tex
     """
     if min_docs < 2:
         raise ValueError("min_docs must be at least 2")
-    rows = _keyed(docs, *more)
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in ("doc_id", *more)) + ", n_lines long, n_dropped long, kept_sha256 string"
-    both = rows.join(keep_bitmaps(docs, min_chars, min_docs), ["id", "salt"], "left")
-    return both.mapInArrow(_apply(with_text), schema + ", kept string" * with_text)
+    carried = F.struct(*more).alias("carried") if more else F.lit(None).cast("int").alias("carried")  # no name can clash inside
+    rows = _keyed(docs, carried)
+    both = rows.join(keep_bitmaps(docs, min_chars, min_docs), ["id", "salt"], "left").select("doc_id", "carried", "text", "keep")
+    schema = T.StructType(both.select("doc_id", "carried").schema.fields)
+    schema = schema.add("n_lines", "long").add("n_dropped", "long").add("kept_sha256", "string")
+    done = both.mapInArrow(_apply(with_text), schema.add("kept", "string") if with_text else schema)
+    found = ["n_lines", "n_dropped", "kept_sha256", *(["kept"] if with_text else [])]
+    return done.select("doc_id", *[F.col("carried")[c].alias(c) for c in more], *found)
