@@ -40,9 +40,9 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
     weights_left = F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing))
     total = F.sum("source_size").over(everything) * share
     level = (total - before) / weights_left
-    table = table.withColumn("level", level)
+    table = table.withColumn("level", level).withColumn("place", F.row_number().over(order))
     # The first source that is not clamped sets the level of all that follow.
-    free = F.min(F.when(F.col("ratio") > F.col("level"), F.struct("ratio", "level"))).over(everything)
+    free = F.min(F.when(F.col("ratio") > F.col("level"), F.struct("place", "ratio", "level"))).over(everything)
     target = F.when(free.isNull() | (F.col("ratio") < free["ratio"]), F.col("cap")).otherwise(F.col("weight") * free["level"])
     return table.select("source", "source_size", target.alias("target"))
 
