@@ -15,6 +15,7 @@ from slabwise.llm.mixing import mix
 from slabwise.llm.ngram_join import ngram_join
 from slabwise.llm.packing import pack
 from slabwise.llm.substring_dedup import substring_dedup
+from slabwise.llm.suffix_array import suffix_array_matches
 from slabwise.llm.url_filters import url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,7 +138,7 @@ l AS (
   SELECT *, (1.5::DOUBLE * (SELECT sum(source_size) FROM s)
       - (sum(cap) OVER (ORDER BY ratio, source NULLS LAST ROWS UNBOUNDED PRECEDING) - cap))
     / sum(weight) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM r),
-f AS (SELECT ratio AS free_ratio, level AS free_level FROM l WHERE ratio > level ORDER BY ratio, level LIMIT 1),
+f AS (SELECT ratio AS free_ratio, level AS free_level FROM l WHERE ratio > level ORDER BY ratio, source NULLS LAST LIMIT 1),
 t AS (
   SELECT source, source_size, CASE WHEN free_ratio IS NULL OR ratio < free_ratio THEN cap ELSE weight * free_level END AS target
   FROM l LEFT JOIN f ON true),
@@ -158,3 +159,8 @@ def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages"))
+
+
+@_query
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_array_matches(table(spark, sf_dir, "documents"), length=50)
