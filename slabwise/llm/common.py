@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from slabwise.session import ship_package
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 #: Stands for a null doc_id in comparisons: rows without one come last.
 NO_ID = 2**63 - 1
@@ -41,12 +42,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def documents(df: DataFrame, *more: Column) -> DataFrame:
-    """``doc_id``, ``text`` and the given columns only, so that no other name can clash.
+def prepare(spark: SparkSession) -> None:
+    """Make a session ready for passes over texts in Python.
 
-    The package goes to the executors too, where it need not be installed.
+    The package goes to the executors, where it need not be installed.  Batches of rows are
+    bounded by bytes, since texts may be long; a bound the session has set already stays.
     """
-    ship_package(df.sparkSession)
+    ship_package(spark)
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, str(4 << 20))
+
+
+def documents(df: DataFrame, *more: Column) -> DataFrame:
+    """``doc_id``, ``text`` and the given columns only, so that no other name can clash."""
+    prepare(df.sparkSession)
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
 
 

@@ -20,8 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slabwise.llm.common import documents
-from slabwise.session import ship_package
+from slabwise.llm.common import documents, prepare
 
 MOST = 4
 DIMENSIONS = 1 << 13
@@ -159,7 +158,7 @@ def train(docs: DataFrame) -> Model | None:
 
 def predict(docs: DataFrame, model: Model | None, *keep: str) -> DataFrame:
     """The columns ``keep`` and ``lang_pred`` and ``score`` of every row, from its whole ``text`` alone."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     rows = docs.select(F.struct(*keep).alias("row"), F.col("text").cast("string").alias("text"))  # no name can clash inside
     schema = T.StructType([rows.schema["row"]]).add("lang_pred", "string").add("score", "double")
     return rows.mapInArrow(_predict(pickle.dumps(model)), schema).select("row.*", "lang_pred", "score")
