@@ -10,8 +10,8 @@ from slabwise.session import task_count
 
 # Slabs generated per row before the rows are spread over the cluster.
 GRID_BLOCK = 16_384
-# Fixed value: bits in one bitmap of Spark's bitmap functions.
-BITMAP_BITS = 32_768
+# Bits of one word of the density checks.
+WORD_BITS = 64
 
 
 def _fold_product(values: Column) -> Column:
@@ -147,28 +147,31 @@ def dense_check(cells: DataFrame, dims: list[str]) -> DataFrame:
     return checked.withColumn("dense", dense)
 
 
+def _words(rows: DataFrame, place: Column, *more: Column) -> DataFrame:
+    """Places as words of 64 bits: ``_word``, ``_bits`` and further aggregates.
+
+    Words are numbers, so they merge map-side in a hash aggregate, without a sort.
+    """
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (place % WORD_BITS).cast("int"))
+    return rows.groupBy(integer_div(place, WORD_BITS).alias("_word")).agg(F.bit_or(bit).alias("_bits"), *more)
+
+
 def dense_check_box(cells: DataFrame, schema: ArraySchema) -> DataFrame:
-    """The same check against a declared box, exchanging bitmaps instead of cells.
+    """The same check against a declared box, exchanging words of bits instead of cells.
 
-    Cells set bits by row-major offset, 32,768 to a bitmap, and bitmaps merge
-    map-side.  Stored arrays keep neighbours together, so a task sends about one
-    bit per cell.  For cells in no order use :func:`dense_check`.
+    Cells set bits by row-major offset, 64 to a word, and words merge map-side.
+    Stored arrays keep neighbours together, so a task sends one row per 64 cells.
     """
     dims, shape = schema.dim_names, schema.shape
     inside = F.lit(True)
     for dim, size in zip(dims, shape, strict=True):
         inside = inside & F.col(dim).between(0, size - 1)
-    place = F.when(inside, linearize([F.col(d) for d in dims], shape) + 1)  # bitmaps count from 1
-    bits = cells.select(place.alias("_place"))
-    bitmaps = bits.groupBy(F.bitmap_bucket_number("_place").alias("_bucket")).agg(
-        F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("_place"))).alias("_set"),
-        F.count("_place").alias("_in"),
-        F.count(F.lit(1)).alias("_all"),
-    )
+    placed = cells.select(F.when(inside, linearize([F.col(d) for d in dims], shape)).alias("_place"))
+    words = _words(placed, F.col("_place"), F.count("_place").alias("_in"), F.count(F.lit(1)).alias("_all"))
     total = F.lit(schema.cell_count).cast("bigint")
-    sums = bitmaps.agg(
+    sums = words.agg(
         F.coalesce(F.sum("_all"), F.lit(0)).cast("bigint").alias("cells"),
-        F.coalesce(F.sum(F.when(F.col("_bucket").isNotNull(), F.col("_set"))), F.lit(0)).cast("bigint").alias("distinct_cells"),
+        F.coalesce(F.sum(F.bit_count("_bits")), F.lit(0)).cast("bigint").alias("distinct_cells"),
         F.coalesce(F.sum(F.col("_all") - F.col("_in")), F.lit(0)).cast("bigint").alias("outside"),
     ).withColumn("box_cells", total)
     dense = (F.col("cells") == total) & (F.col("distinct_cells") == total) & (F.col("outside") == 0)
@@ -178,29 +181,23 @@ def dense_check_box(cells: DataFrame, schema: ArraySchema) -> DataFrame:
 def holes(cells: DataFrame, dim: str) -> DataFrame:
     """Missing coordinates of a one-dimensional array, 0 to its largest coordinate.
 
-    Present coordinates become bitmaps of 32,768 bits that merge map-side, so
-    about one bit per coordinate is exchanged and copies cost nothing.  Only
-    bitmaps that lack a bit are expanded.
+    Present coordinates become words of 64 bits that merge map-side, so copies
+    cost nothing and sparse coordinates one row each at most.  Only words that
+    lack a bit are expanded.  A negative or null coordinate fails by name.
     """
     coord = F.col(dim).cast("bigint")
-    bit = F.bitmap_bit_position(coord + 1)  # bitmaps count from 1
-    present = cells.groupBy(integer_div(coord, BITMAP_BITS).alias("_part")).agg(
-        F.bitmap_construct_agg(bit).alias("_bits")
-    )
-    top = cells.agg(F.max(coord).alias("_last"))
-    parts = top.select("_last", (integer_div(F.col("_last"), BITMAP_BITS) + 1).alias("_parts"))
-    start = F.col("_part") * BITMAP_BITS
-    expected = _spread_range(parts, "_parts", "_part").select(
-        "_part", F.least(F.lit(BITMAP_BITS).cast("bigint"), F.col("_last") + 1 - start).alias("_size")
+    wrong = F.raise_error(F.concat(F.lit(f"{dim} is negative or null: "), F.coalesce(coord.cast("string"), F.lit("null"))))
+    rows = cells.select(F.when(F.coalesce(coord >= 0, F.lit(False)), coord).otherwise(wrong).alias("_coord"))
+    present = _words(rows, F.col("_coord"))
+    top = rows.agg(F.max("_coord").alias("_last"))
+    parts = top.select("_last", (integer_div(F.col("_last"), WORD_BITS) + 1).alias("_words"))
+    start = F.col("_word") * WORD_BITS
+    expected = _spread_range(parts, "_words", "_word").select(
+        "_word", F.least(F.lit(WORD_BITS).cast("bigint"), F.col("_last") + 1 - start).alias("_size")
     )
-    found = F.coalesce(F.bitmap_count("_bits"), F.lit(0))
-    short = expected.join(present, "_part", "left").where(found < F.col("_size"))
-
-    def unset(place):
-        byte = F.substring(F.col("_bits"), (place / 8).cast("int") + 1, 1)
-        value = F.conv(F.hex(byte), 16, 10).cast("int")
-        return F.col("_bits").isNull() | (F.call_function("getbit", value, place % 8) == 0)
-
+    found = F.coalesce(F.bit_count("_bits"), F.lit(0))
+    short = expected.join(present, "_word", "left").where(found < F.col("_size"))
     places = F.sequence(F.lit(0), F.col("_size").cast("int") - 1)
-    missing = short.select("_part", F.explode(F.filter(places, unset)).alias("_place"))
+    bits = F.coalesce("_bits", F.lit(0).cast("bigint"))
+    missing = short.select("_word", F.explode(F.filter(places, lambda p: F.getbit(bits, p) == 0)).alias("_place"))
     return missing.select((start + F.col("_place")).alias(dim))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from slabwise.functions.text import c_number, c_numbers, sanitize_name
 
-# Limits of the text dump and the texts that mark them.
+# Limits that a text dump may be given, and the text that marks the last one.
 OUTER_LIMIT = 500
 INNER_LIMIT = 2000
 FRAME_BYTES_LIMIT = 128 * 1024 * 1024
@@ -59,13 +59,15 @@ def dump_frames(
     values: str,
     shape,
     type_bytes: int,
-    outer_limit: int | None = OUTER_LIMIT,
-    inner_limit: int | None = INNER_LIMIT,
+    outer_limit: int | None = None,
+    inner_limit: int | None = None,
+    frame_limit: int | None = None,
 ) -> DataFrame:
     """One line per outer element, its values separated by spaces.
 
-    The limits are the feature of the dump: ``None`` lifts them.  A frame larger
-    than 128 MiB gives a notice instead of values.
+    Everything is shown.  On request, only the first ``outer_limit`` elements,
+    the first ``inner_limit`` values of each, or a notice instead of frames of
+    more than ``frame_limit`` bytes.
     """
     size = type_bytes
     for extent in shape:
@@ -73,7 +75,7 @@ def dump_frames(
     element = frames.schema[values].dataType.elementType
     number = F.col(dim).cast("bigint")
     kept = frames if outer_limit is None else frames.where(F.col(dim) < outer_limit)
-    if size > FRAME_BYTES_LIMIT:
+    if frame_limit is not None and size > frame_limit:
         return kept.select(number.alias("record"), F.lit(TOO_LARGE).alias("line"))
     shown = F.col(values) if inner_limit is None else F.slice(F.col(values), 1, inner_limit)
     if isinstance(element, (T.FloatType, T.DoubleType)):

@@ -25,6 +25,7 @@ def unroll(
     Outer dimensions come first, the inside dimensions of ``shape`` last.  With
     inclusive inside bounds ``lo``/``hi`` the array is sliced to the run that
     covers the box before it is exploded, so cells outside are never made.
+    An array of another length than ``shape`` fails by name; a null one has no cells.
     """
     rank = len(shape)
     dims = dims or [f"unnamed{len(outer) + i}" for i in range(rank)]
@@ -39,6 +40,8 @@ def unroll(
         first, last = first * size + low, last * size + high
     whole = first == 0 and last == prod(shape) - 1
     source = F.col(values) if whole else F.slice(F.col(values), first + 1, last - first + 1)
+    wrong = F.concat(F.lit(f"{values} does not have {prod(shape)} values but "), F.size(values))
+    source = F.when(F.size(values) != prod(shape), F.raise_error(wrong)).otherwise(source)
 
     names = [*outer, "_at", attr]
     cells = df.select(*outer, F.posexplode(source)).toDF(*names)
@@ -141,18 +144,22 @@ def scalar_array(df: DataFrame, dim: str = "unnamed0") -> DataFrame:
 def pack_slabs(cells: DataFrame, schema: ArraySchema, checked: bool = True) -> DataFrame:
     """Cells to slabs: one row-major value list per (slab, attribute).
 
-    A slab has at most as many cells as its chunk, which bounds its list.
-    ``checked`` enforces that for any input: cells are first counted per slab
-    (one row per slab and task travels) and a slab with more cells than
-    coordinates fails the job by name before anything is collected, so a
-    coordinate repeated without end never piles up.  Repeats within the bound
-    are found on the packed list.  Where the counts are too many to broadcast,
-    the join on the slab origin is also the exchange that packing needs.
+    A slab has exactly as many cells as its clipped chunk.  ``checked`` enforces
+    that for any input: cells are first counted per slab (one row per slab and
+    task travels), and a slab with more or fewer cells than coordinates fails the
+    job by name before anything is collected, so a coordinate repeated without
+    end never piles up and a missing cell never shifts the others.  Repeats
+    within the bound are found on the packed list.  A coordinate that is null,
+    negative or behind the box fails by its own name.  Slabs without any cell are
+    no rows.  Where the counts are too many to broadcast, the join on the slab
+    origin is also the exchange that packing needs.
 
     Pass ``checked=False`` only for cells that a scan or ``unroll`` made.
     """
     dims, shape, chunks = schema.dim_names, schema.shape, schema.chunks
     origins = [f"origin_{d}" for d in dims]
+    if checked:
+        cells = _inside(cells, dims, shape)
     placed = cells.select(
         *[slab_origin(F.col(d), c).alias(o) for d, c, o in zip(dims, chunks, origins)],
         linearize([F.col(d) for d in dims], shape).alias("_lin"),
@@ -168,12 +175,19 @@ def pack_frames(frames: DataFrame, values: str, schema: ArraySchema, checked: bo
 
     The first dimension of ``schema`` numbers the frames, the others lie inside
     ``values``.  Frames stay arrays all the way: next to packing cells, one row
-    and one coordinate travel per frame instead of per cell.
+    and one coordinate travel per frame instead of per cell.  ``checked`` refuses,
+    each by name, frames outside the box, null or of another length, repeated or
+    missing in a slab.
     """
     outer, *inside = schema.dims
     if any(d.step != d.size for d in inside):
         raise BadBounds("inside dimensions are never split")
     origin = f"origin_{outer.name}"
+    if checked:
+        length = prod(d.size for d in inside)
+        wrong = F.concat(F.lit(f"{values} does not have {length} values in frame "), F.col(outer.name).cast("string"))
+        right = F.coalesce(F.size(values) == length, F.lit(False))
+        frames = _inside(frames, [outer.name], [outer.size]).withColumn(values, F.when(right, F.col(values)).otherwise(F.raise_error(wrong)))
     placed = frames.select(
         slab_origin(F.col(outer.name), outer.step).alias(origin),
         F.col(outer.name).cast("bigint").alias("_lin"),
@@ -187,15 +201,27 @@ def pack_frames(frames: DataFrame, values: str, schema: ArraySchema, checked: bo
     return _slab_rows(packed, schema, [flat])
 
 
+def _inside(rows: DataFrame, dims: list[str], shape) -> DataFrame:
+    """The same rows; a coordinate outside the box fails by name."""
+    checked = {}
+    for dim, size in zip(dims, shape, strict=True):
+        shown = F.coalesce(F.col(dim).cast("string"), F.lit("null"))
+        outside = F.raise_error(F.concat(F.lit(f"{dim} outside 0..{size - 1}: "), shown))
+        checked[dim] = F.when(F.coalesce(F.col(dim).between(0, size - 1), F.lit(False)), F.col(dim)).otherwise(outside)
+    return rows.withColumns(checked)
+
+
 def _collect_ordered(placed: DataFrame, origins: list[str], payload: list[str], room) -> DataFrame:
-    """``_cells`` per slab in ``_lin`` order; ``room`` bounds its size if given."""
+    """``_cells`` per slab in ``_lin`` order; ``room`` is its size if given."""
     label = F.concat_ws(",", *[F.col(o).cast("string") for o in origins])
     ordered = F.array_sort(F.collect_list(F.struct("_lin", *payload)))
     if room is None:
         return placed.groupBy(*origins).agg(ordered.alias("_cells"))
     overfull = F.raise_error(F.concat(F.lit("duplicate cells: too many in slab "), label))
     counts = placed.groupBy(*origins).agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.select(*origins, F.when(F.col("_n") <= room, F.col("_n")).otherwise(overfull).alias("_room"))
+    short = F.raise_error(F.concat(F.lit("missing cells: too few in slab "), label))
+    exact = F.when(F.col("_n") == room, F.col("_n")).when(F.col("_n") < room, short).otherwise(overfull)
+    counts = counts.select(*origins, exact.alias("_room"))
     grouped = (
         placed.join(counts, origins)
         .groupBy(*origins)

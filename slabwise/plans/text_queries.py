@@ -75,5 +75,4 @@ def _dump_records(spark, sf_dir):
     """,
 )
 def _dump_frames(spark, sf_dir):
-    """Every frame; the outer limit of the text dump is lifted."""
-    return dump_frames(frames(spark, sf_dir), "unnamed0", "value", FRAME, 4, outer_limit=None)
+    return dump_frames(frames(spark, sf_dir), "unnamed0", "value", FRAME, 4)

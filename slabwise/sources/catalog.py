@@ -19,8 +19,9 @@ from slabwise.sources.files import RangedFile
 from slabwise.sources.fits import units
 from slabwise.sources.hdf5 import Hdf5File, describe
 
-# Fixed value: units listed per FITS file.
-MAX_UNITS = 10
+# The suffixes that the scans read, in either case.
+FITS_FILES = "*.{fits,fit,fts,FITS,FIT,FTS}"
+HDF5_FILES = "*.{h5,hdf5,hdf,he5,H5,HDF5,HDF,HE5}"
 BATCH_ROWS = 4096
 # Levels of an HDF5 file listed before its groups are spread.
 UPPER_LEVELS = 2
@@ -75,7 +76,7 @@ def _per_file(files: DataFrame, rows_of, schema: str) -> DataFrame:
     return spread.mapInArrow(read, schema)
 
 
-def hdf5_catalog(spark: SparkSession, path: str, pattern: str = "*.h5") -> DataFrame:
+def hdf5_catalog(spark: SparkSession, path: str, pattern: str = HDF5_FILES) -> DataFrame:
     """Every group and dataset of every HDF5 file of a folder.
 
     One pass lists the upper levels of each file; the groups found there are
@@ -160,15 +161,15 @@ def _leaf_types(element, prefix: str = ""):
     return out
 
 
-def fits_catalog(spark: SparkSession, path: str, pattern: str = "*.fits", max_units: int = MAX_UNITS) -> DataFrame:
-    """The first units of every FITS file, with shape, value type and footprint."""
+def fits_catalog(spark: SparkSession, path: str, pattern: str = FITS_FILES, max_units: int | None = None) -> DataFrame:
+    """The units of every FITS file (or the first ``max_units``), with shape, value type and footprint."""
     def rows(name, file):
         return _fits_rows(name, file, max_units)
 
     return _per_file(list_files(spark, path, pattern), rows, FITS_SCHEMA)
 
 
-def _fits_rows(path: str, file: RangedFile, max_units: int):
+def _fits_rows(path: str, file: RangedFile, max_units: int | None):
     for unit in units(file, max_units):
         image = unit.kind == "IMAGE" and bool(unit.axes)
         kind = unit.value_type if image else None
@@ -198,7 +199,7 @@ def _fits_rows(path: str, file: RangedFile, max_units: int):
         }
 
 
-def fits_header(spark: SparkSession, path: str, pattern: str = "*.fits", hdu: int | None = 0) -> DataFrame:
+def fits_header(spark: SparkSession, path: str, pattern: str = FITS_FILES, hdu: int | None = 0) -> DataFrame:
     """Header cards of one unit (default: the primary one) or, with ``None``, of all."""
     def rows(name, file):
         for unit in units(file, None if hdu is None else hdu + 1):

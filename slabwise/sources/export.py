@@ -6,7 +6,7 @@ from math import prod
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slabwise.operators.dump import INNER_LIMIT, OUTER_LIMIT, dump_frames, dump_records
+from slabwise.operators.dump import dump_frames, dump_records
 from slabwise.operators.restructure import array_member_to_cols, flatten_compound
 from slabwise.sources.scan import load_hdf5, probe
 
@@ -20,13 +20,13 @@ def frames_of_slabs(slabs: DataFrame, dim: str, attr: str, frame_cells: int) ->
 
 
 def dump_dataset(
-    spark: SparkSession, path: str, dataset: str, outer_limit: int | None = OUTER_LIMIT,
-    inner_limit: int | None = INNER_LIMIT,
+    spark: SparkSession, path: str, dataset: str, outer_limit: int | None = None,
+    inner_limit: int | None = None, frame_limit: int | None = None,
 ) -> DataFrame:
     """Lines ``(record, line)`` of a dataset of one file.
 
     A 1-D compound gives one line per record, a 1-D array of arrays one line per
-    frame; other shapes give a notice.
+    frame; other shapes give a notice.  The limits are those of ``dump_frames``.
     """
     schema, element = probe("hdf5_array", {"path": path, "dataset": dataset}, lambda a: (a.schema, a.element))
     outer = [d for d in schema.dims if not d.inside]
@@ -42,7 +42,7 @@ def dump_dataset(
         slabs = load_hdf5(spark, path, dataset, layout="slabs", hi=hi)
         attr = schema.attrs[0].name
         frames = frames_of_slabs(slabs, outer[0].name, attr, prod(element.shape))
-        return dump_frames(frames, outer[0].name, attr, element.shape, element.base.size, outer_limit, inner_limit)
+        return dump_frames(frames, outer[0].name, attr, element.shape, element.base.size, outer_limit, inner_limit, frame_limit)
     notice = f"// Skipping {dataset}: only 1-d arrays of compound type or of arrays can be dumped"
     return spark.range(1).select(F.lit(-1).cast("bigint").alias("record"), F.lit(notice).alias("line"))
 

@@ -154,8 +154,11 @@ class Hdf5File:
     def __init__(self, file: RangedFile):
         self.file = file
         # The superblock lies at 0 or, behind a user block, at 512 and its doublings.
-        places = [0, *[512 << i for i in range(12)]]
-        start = next((p for p in places if p + 96 <= file.size and file.read(p, 8) == SIGNATURE), None)
+        start = 0
+        while start + 96 <= file.size and file.read(start, 8) != SIGNATURE:
+            start = start * 2 or 512
+        if start + 96 > file.size:
+            start = None
         if start is None:
             raise CorruptFile(f"{file.path}: not an HDF5 file")
         head = bytes(file.read(start, 24))

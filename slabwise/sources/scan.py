@@ -19,6 +19,7 @@ comma-separated inclusive bounds in dimension order, ``*`` for open;
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from math import prod
 
@@ -49,8 +50,7 @@ from slabwise.sources.hdf5 import Hdf5Dataset
 SPLIT_BYTES = 64 * 1024 * 1024
 OPEN_COST = 4 * 1024 * 1024  # bytes one could read while a file is opened
 BATCH_CELLS = 256 * 1024
-# Up to this many files the driver sizes splits from headers, beyond it from file sizes.
-HEADERS_ON_DRIVER = 32
+HEADER_THREADS = 32
 FORMATS = {"fits_image": FitsImage, "hdf5_array": Hdf5Dataset}
 PUSHDOWN_CONF = "spark.sql.python.filterPushdown.enabled"
 
@@ -228,20 +228,32 @@ class ArrayReader(DataSourceReader):
 
 
 def plan_splits(form: str, paths: list[tuple[str, int]], options: dict, extra=()) -> list[Splits]:
-    """Tasks of about equal bytes: large files in parts, small files together."""
+    """Tasks of about equal bytes: large files in parts, small files together.
+
+    Parts of a file larger than a split come from its header, however many such
+    files there are: the headers are read side by side.  Small files are not opened.
+    """
     target = int(options.get("splitbytes", SPLIT_BYTES))
+
+    def parts_of(item: tuple[str, int]) -> int:
+        path, size = item
+        if size <= target:
+            return 1
+        with RangedFile(path) as file:
+            array = FORMATS[form](file, options)
+            window = _window(array, options, extra)
+            if window is None:
+                return 0
+            low, high, _, counts = window
+            data = prod(b - a + 1 for a, b in zip(low, high)) * array.record.itemsize
+            return max(1, min(-(-size // target), prod(counts), -(-data // target)))
+
     tasks, shared, filled = [], [], 0
-    for path, size in paths:
-        parts = -(-size // target)
-        if parts > 1 and len(paths) <= HEADERS_ON_DRIVER:
-            with RangedFile(path) as file:
-                array = FORMATS[form](file, options)
-                window = _window(array, options, extra)
-                if window is None:
-                    continue
-                low, high, _, counts = window
-                data = prod(b - a + 1 for a, b in zip(low, high)) * array.record.itemsize
-                parts = min(parts, prod(counts), -(-data // target))
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        sized = list(zip(paths, pool.map(parts_of, paths), strict=True))
+    for (path, size), parts in sized:
+        if not parts:
+            continue
         if parts > 1:
             tasks += [[(path, i, parts)] for i in range(parts)]
             continue

@@ -26,7 +26,7 @@ from slabwise.operators import (
     write_lines,
 )
 from slabwise.operators.chunks import _spread_range
-from slabwise.operators.dump import TOO_LARGE
+from slabwise.operators.dump import FRAME_BYTES_LIMIT, TOO_LARGE
 
 
 def box(spark, shape):
@@ -65,8 +65,38 @@ def test_pack_rejects_repeated_cells(spark):
     moved = box(spark, (4,)).withColumn("d0", F.when(F.col("d0") == 3, 2).otherwise(F.col("d0")))
     with pytest.raises(Exception, match="duplicate cells: repeated in slab 2"):
         pack_slabs(moved, described((4,), (2,))).collect()
-    kept = pack_slabs(box(spark, (4,)).where("d0 != 3"), described((4,), (2,))).orderBy("slab_no").collect()
-    assert [(r.slab_no, r.v) for r in kept] == [(0, [1, 4]), (1, [7])]
+
+
+@pytest.mark.parametrize(
+    ("where", "change", "message"),
+    [
+        ("d0 != 1", "d0", "missing cells: too few in slab 0"),
+        ("true", "d0 - 1", "d0 outside 0..3: -1"),
+        ("true", "d0 + 1", "d0 outside 0..3: 4"),
+        ("true", "nullif(d0, 2)", "d0 outside 0..3: null"),
+    ],
+)
+def test_pack_rejects_holes_and_cells_outside(spark, where, change, message):
+    cells = box(spark, (4,)).where(where).withColumn("d0", F.expr(change).cast("bigint"))
+    with pytest.raises(Exception, match=message.replace(".", "[.]")):
+        pack_slabs(cells, described((4,), (2,))).collect()
+
+
+def test_pack_leaves_out_slabs_without_cells(spark):
+    kept = pack_slabs(box(spark, (4,)).where("d0 > 1"), described((4,), (2,))).collect()
+    assert [(r.slab_no, len(r.v)) for r in kept] == [(1, 2)]
+
+
+def test_pack_frames_and_unroll_reject_wrong_lengths(spark):
+    schema = ArraySchema("a", (Attr("v", "int64"),), (Dim("d0", 2, 2), Dim("d1", 2, inside=True)))
+    for short in ("array(1L)", "cast(null as array<bigint>)", "array(1L, 2L, 3L)"):
+        frames = spark.range(2).selectExpr("id as d0", f"if(id = 1, {short}, array(1L, 2L)) as v")
+        with pytest.raises(Exception, match="v does not have 2 values in frame 1"):
+            pack_frames(frames, "v", schema).collect()
+    with pytest.raises(Exception, match="v does not have 4 values but 5"):
+        unroll(spark.sql("select 0L as d0, array(1, 2, 3, 4, 5) as v"), ["d0"], "v", (2, 2), "x").collect()
+    with pytest.raises(Exception, match="missing cells: too few in slab 0"):
+        pack_frames(spark.sql("select 0L as d0, array(1L, 2L) as v"), "v", schema).collect()
 
 
 def test_pack_frames_equals_packed_cells(spark):
@@ -152,6 +182,12 @@ def test_first_n(spark):
     assert sorted(r.v for r in first_n_elements(cells, schema, 10).collect()) == [i * 3 + 1 for i in range(10)]
 
 
+@pytest.mark.parametrize("bad", ["-1L", "cast(null as bigint)"])
+def test_holes_reject_what_is_no_coordinate(spark, bad):
+    with pytest.raises(Exception, match="id is negative or null"):
+        holes(spark.sql(f"select explode(array({bad}, 1L, 2L)) as id"), "id").collect()
+
+
 def test_dense_check_and_holes(spark):
     dense = box(spark, (4, 3))
     assert dense_check(dense, ["d0", "d1"]).first().dense is True
@@ -195,11 +231,12 @@ def test_dump_texts(spark):
     assert [r.line for r in lines] == ["Data for /d", '#0: {7, 1.5, "x"}', '#1: {-2, 1.23457e+06, "y"}']
 
     frames = spark.range(600).select("id", F.array(*[F.col("id") * 0 + i for i in range(4)]).alias("a"))
-    limited = dump_frames(frames, "id", "a", (2, 2), 4, inner_limit=3)
+    limited = dump_frames(frames, "id", "a", (2, 2), 4, outer_limit=500, inner_limit=3)
     assert limited.count() == 500
     assert limited.where("record = 0").first().line == "0: {array [2, 2], 16} is 0 1 2 <limit 3 reached>"
-    assert dump_frames(frames, "id", "a", (2, 2), 4, outer_limit=None).count() == 600
-    big = dump_frames(frames, "id", "a", (8192, 8192), 4)
+    assert dump_frames(frames, "id", "a", (2, 2), 4).count() == 600
+    assert dump_frames(frames, "id", "a", (8192, 8192), 4).first().line == "0: {array [8192, 8192], 268435456} is 0 1 2 3"
+    big = dump_frames(frames, "id", "a", (8192, 8192), 4, frame_limit=FRAME_BYTES_LIMIT)
     assert big.first().line == TOO_LARGE
 
 

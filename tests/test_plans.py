@@ -95,3 +95,9 @@ def test_redistribute_splits_a_hot_key(spark, tmp_path):
     stored = spark.read.parquet(str(tmp_path / "out"))
     hot_files = stored.where("origin_0 = 0").select(F.input_file_name()).distinct().count()
     assert hot_files > 1 and stored.count() == 1_000_000
+
+
+@pytest.mark.parametrize("name", ["dense_check_box", "array_holes"])
+def test_density_needs_no_sort(spark, name):
+    text = plan(QUERIES[name](spark, SF_DIR))
+    assert "SortAggregate" not in text and "bit_or" in text
