@@ -48,8 +48,8 @@ def subarray_slabs(slabs: DataFrame, schema: ArraySchema, lo, hi) -> DataFrame:
             touching = touching.where(F.col(f"origin_{dim}") <= high)
         if low is not None:
             touching = touching.where(F.col(f"last_{dim}") >= low)
-    cells = unpack_slabs(touching, schema.dim_names, schema.attr_names)
-    return subarray(cells, schema.dim_names, lo, hi)
+    cells = unpack_slabs(touching, schema.slowest_first, schema.attr_names)
+    return subarray(cells.select(*schema.dim_names, *schema.attr_names), schema.dim_names, lo, hi)
 
 
 def stats_by_dim(cells: DataFrame, dims: list[str], attr: str) -> DataFrame:
@@ -70,13 +70,14 @@ def stdev_by_dim(cells: DataFrame, dims: list[str], attr: str) -> DataFrame:
     return cells.groupBy(*dims).agg(F.stddev_samp(attr).alias("stdev"))
 
 
-def first_n_elements(cells: DataFrame, schema: ArraySchema, n: int, first_fastest: bool = False) -> DataFrame:
-    """The first ``n`` cells in file order; images move their first dimension fastest.
+def first_n_elements(cells: DataFrame, schema: ArraySchema, n: int, first_fastest: bool | None = None) -> DataFrame:
+    """The first ``n`` cells in file order, by default that of the description.
 
     No sort: the offset is arithmetic, and the bound on the slowest dimension is
     a bare comparison that prunes files and row groups.
     """
-    dims = schema.dims[::-1] if first_fastest else schema.dims
+    reverse = schema.first_fastest if first_fastest is None else first_fastest
+    dims = schema.dims[::-1] if reverse else schema.dims
     names, shape = [d.name for d in dims], [d.size for d in dims]
     offset = linearize([F.col(d) for d in names], shape)
     slowest = (n - 1) // prod(shape[1:])

@@ -73,6 +73,7 @@ class ArraySchema:
     name: str
     attrs: tuple[Attr, ...]
     dims: tuple[Dim, ...]
+    first_fastest: bool = False  # how cells lie in a slab: by default the last dimension moves fastest
 
     @property
     def rank(self) -> int:
@@ -90,6 +91,11 @@ class ArraySchema:
     def dim_names(self) -> list[str]:
         return [d.name for d in self.dims]
 
+    @property
+    def slowest_first(self) -> list[str]:
+        """Dimension names in the order in which cells lie in a slab."""
+        return self.dim_names[::-1] if self.first_fastest else self.dim_names
+
     @property
     def attr_names(self) -> list[str]:
         return [a.name for a in self.attrs]
@@ -124,6 +130,7 @@ class ArraySchema:
             raw["name"],
             tuple(Attr(**a) for a in raw["attrs"]),
             tuple(Dim(**d) for d in raw["dims"]),
+            raw.get("first_fastest", False),
         )
 
     def attach(self, df: DataFrame) -> DataFrame:

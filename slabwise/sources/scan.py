@@ -20,7 +20,7 @@ comma-separated inclusive bounds in dimension order, ``*`` for open;
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from math import prod
 
 import numpy as np
@@ -437,7 +437,8 @@ def load_hdf5(spark: SparkSession, path: str, dataset: str, **options) -> DataFr
 
 def describe_fits(path: str, hdu: int = 0) -> ArraySchema:
     """Array description of an image unit, from the (first) file's header."""
-    return probe("fits_image", {"path": path, "hdu": hdu}, lambda a: a.schema.planned())
+    planned = probe("fits_image", {"path": path, "hdu": hdu}, lambda a: a.schema.planned())
+    return replace(planned, first_fastest=True)
 
 
 def describe_hdf5(path: str, dataset: str) -> ArraySchema:
@@ -445,6 +446,19 @@ def describe_hdf5(path: str, dataset: str) -> ArraySchema:
     return probe("hdf5_array", {"path": path, "dataset": dataset}, lambda a: a.schema)
 
 
+def describe_slabs(form: str, path: str, options: dict) -> ArraySchema:
+    """The description that the slabs of a scan of one file follow: the chunks they are read by."""
+    if len(list_paths(path, FORMATS[form].suffixes)) != 1:
+        raise ArrayError(f"{path}: several files are not one array; store them one by one")
+
+    def described(array) -> ArraySchema:
+        steps = {d.name: d.step for d in array.file_dims}
+        chunked = array.schema.with_chunks([steps[n] for n in array.schema.dim_names])
+        return replace(chunked, first_fastest=form == "fits_image")
+
+    return probe(form, {**options, "path": path}, described)
+
+
 def scan_listed(files: DataFrame, form: str, sample: str, options: dict) -> DataFrame:
     """Cells of the files of a ``(path, length)`` DataFrame, batch or stream.
 

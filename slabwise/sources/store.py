@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import ArrayType
 
 from slabwise.schema import ArraySchema
-from slabwise.sources.scan import describe_fits, describe_hdf5, load_fits, load_hdf5
+from slabwise.sources.scan import describe_slabs, load_fits, load_hdf5
 
 # A slab row may hold a mebibyte of cells, so the Parquet writer must look at
 # its buffers after few rows; by default it first looks after a hundred.
@@ -41,8 +41,11 @@ def open_array(spark: SparkSession, path: str) -> tuple[DataFrame, ArraySchema]:
 
 
 def store_fits(spark: SparkSession, target: str, path: str, hdu: int = 0, layout: str = "cells") -> ArraySchema:
-    """Load an image unit into ``target``, replacing what was there."""
-    schema = describe_fits(path, hdu)
+    """Load an image unit of one file into ``target``, replacing what was there.
+
+    The description kept with it has the chunks and the cell order of its slabs.
+    """
+    schema = describe_slabs("fits_image", path, {"hdu": hdu})
     store_array(load_fits(spark, path, hdu, layout=layout), target, schema, mode="overwrite")
     return schema
 
@@ -50,7 +53,7 @@ def store_fits(spark: SparkSession, target: str, path: str, hdu: int = 0, layout
 def store_hdf5(
     spark: SparkSession, target: str, path: str, dataset: str, layout: str = "cells", mode: str = "errorifexists"
 ) -> ArraySchema:
-    """Load a dataset and keep it under ``target``."""
-    schema = describe_hdf5(path, dataset)
+    """Load a dataset of one file and keep it under ``target``, as ``store_fits`` does."""
+    schema = describe_slabs("hdf5_array", path, {"dataset": dataset})
     store_array(load_hdf5(spark, path, dataset, layout=layout), target, schema, mode=mode)
     return schema

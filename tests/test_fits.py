@@ -4,9 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from slabwise import CorruptFile, UnsupportedType
+from slabwise import ArrayError, CorruptFile, UnsupportedType
 from slabwise.plans import fits_bytes
-from slabwise.operators import first_n_elements, unpack_slabs
+from slabwise.operators import first_n_elements, slab_grid, subarray_slabs, unpack_slabs
 from slabwise.sources import (
     describe_fits,
     fits_catalog,
@@ -182,6 +182,34 @@ def test_slabs_stored_and_unpacked(spark, tmp_path):
     assert cells_of(back, ["dim1", "dim0"]) == {(y, x): float(data[y, x]) for y, x in np.ndindex(30, 20)}
 
 
+def grid_of(spark, schema):
+    """Slab numbers and origins that a description promises."""
+    row = spark.createDataFrame([(list(schema.shape), list(schema.chunks))], "dims array<bigint>, chunks array<bigint>")
+    return sorted((r.slab_no, *r[1:1 + schema.rank]) for r in slab_grid(row, schema.rank).collect())
+
+
+@pytest.mark.parametrize("shape", [(3, 4), (30, 20), (700, 2000)])
+def test_stored_slabs_are_described(spark, tmp_path, shape):
+    data = np.arange(np.prod(shape), dtype="i4").reshape(shape)
+    path = write(tmp_path, "a.fits", fits_bytes.image(data, 32, first=True))
+    store_fits(spark, str(tmp_path / "out"), path, layout="slabs")
+    slabs, schema = open_array(spark, str(tmp_path / "out"))
+    assert schema.dim_names == ["dim0", "dim1"] and schema.shape == shape[::-1]
+    assert sorted((r.slab_no, r.origin_dim0, r.origin_dim1) for r in slabs.collect()) == grid_of(spark, schema)
+    lo, hi = (1, 1), (min(12, shape[1] - 1), min(11, shape[0] - 1))
+    cells = subarray_slabs(slabs, schema, lo, hi).collect()
+    want = {(x, y): int(data[y, x]) for x in range(lo[0], hi[0] + 1) for y in range(lo[1], hi[1] + 1)}
+    assert {(r.dim0, r.dim1): r.unknown for r in cells} == want and len(cells) == len(want)
+    assert [r.unknown for r in first_n_elements(load_fits(spark, path), schema, 5).orderBy("unknown").collect()] == [0, 1, 2, 3, 4]
+
+
+def test_folders_are_not_one_array(spark, tmp_path):
+    for name in ("a.fits", "b.fits"):
+        write(tmp_path, name, fits_bytes.image(np.zeros((3, 2), "i2"), 16, first=True))
+    with pytest.raises(ArrayError, match="several files are not one array"):
+        store_fits(spark, str(tmp_path / "out"), str(tmp_path))
+
+
 def test_first_elements_in_file_order(spark, tmp_path):
     data = np.arange(30 * 20, dtype="i4").reshape(30, 20)
     path = write(tmp_path, "a.fits", fits_bytes.image(data, 32, first=True))

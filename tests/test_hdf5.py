@@ -7,13 +7,14 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from slabwise import UnsupportedType
-from slabwise.operators import array_member_to_cols, flatten_compound, vlen_unwrap
+from slabwise import ArrayError, UnsupportedType
+from slabwise.operators import array_member_to_cols, flatten_compound, slab_grid, subarray_slabs, vlen_unwrap
 from slabwise.plans import hdf5_bytes as h5
 from slabwise.schema import UNLIMITED
-from slabwise.sources import dump_dataset, hdf5_catalog, load_hdf5
-from slabwise.sources.files import RangedFile
+from slabwise.sources import dump_dataset, hdf5_catalog, load_hdf5, open_array, store_hdf5
+from slabwise.sources.files import RangedFile, list_paths
 from slabwise.sources.hdf5 import Hdf5Dataset, Hdf5File
+from slabwise.sources.scan import plan_splits
 
 
 def write(folder, name, build):
@@ -339,3 +340,35 @@ def test_broken_files(spark, tmp_path):
         load_hdf5(spark, path, "/x", lo=(0, 0)).count()
     with RangedFile(path) as file, pytest.raises(UnsupportedType, match="soft link"):
         Hdf5File(file).header(2**64 - 1)
+
+
+def test_stored_slabs_follow_the_file_chunks(spark, tmp_path):
+    data = np.arange(64 * 16, dtype="<i4").reshape(64, 16)
+    path = write(tmp_path, "a.h5", lambda f: f.dataset("/x", h5.int_type(4), data.shape, data, chunk=(20, 8)))
+    store_hdf5(spark, str(tmp_path / "out"), path, "/x", layout="slabs")
+    slabs, schema = open_array(spark, str(tmp_path / "out"))
+    assert schema.chunks == (20, 8) and not schema.first_fastest
+    row = spark.createDataFrame([(list(schema.shape), list(schema.chunks))], "dims array<bigint>, chunks array<bigint>")
+    grid = sorted(tuple(r)[:3] for r in slab_grid(row, 2).collect())
+    assert sorted((r.slab_no, r.origin_unnamed0, r.origin_unnamed1) for r in slabs.collect()) == grid
+    cells = subarray_slabs(slabs, schema, (19, 7), (41, 9)).collect()
+    assert {(r.unnamed0, r.unnamed1): r.int1 for r in cells} == {(y, x): int(data[y, x]) for y in range(19, 42) for x in range(7, 10)}
+    write(tmp_path, "b.h5", lambda f: f.dataset("/x", h5.int_type(4), data.shape, data))
+    with pytest.raises(ArrayError, match="several files"):
+        store_hdf5(spark, str(tmp_path / "both"), str(tmp_path), "/x")
+
+
+def test_a_large_user_block_and_more_files_than_threads(spark, tmp_path):
+    data = np.arange(10, dtype="<i4")
+    file = h5.FileBuilder()
+    file.dataset("/x", h5.int_type(4), data.shape, data)
+    body = file.build()
+    (tmp_path / "far.h5").write_bytes(bytes(1 << 23) + body)
+    with RangedFile(str(tmp_path / "far.h5")) as opened:
+        assert Hdf5File(opened).base in (0, 1 << 23)
+    for count in (2, 33):
+        folder = tmp_path / str(count)
+        folder.mkdir()
+        for n in range(count):
+            (folder / f"{n:03}.h5").write_bytes(body + bytes(1 << 16))
+        assert len(plan_splits("hdf5_array", list_paths(str(folder), (".h5",)), {"dataset": "/x", "splitbytes": 1000})) == count
