@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slabwise.llm.common import NO_ID, documents
+from slabwise.llm.common import NO_ID, cut, documents
 
 #: What is stripped at both ends of a line.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -186,7 +186,8 @@ def _keyed(docs: DataFrame, *more: Column) -> DataFrame:
 def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """``id``, ``salt`` and ``keep`` of every document that loses lines; see ``keep_mask``."""
     rows = _keyed(docs)
-    found = rows.select("id", "salt", "text").mapInArrow(_occurrences(min_chars), "k1 long, k2 long, id long, salt long, lines array<int>")
+    # Read twice, and once more to find the ranges; the lines are hashed once.
+    found = cut(rows.select("id", "salt", "text").mapInArrow(_occurrences(min_chars), "k1 long, k2 long, id long, salt long, lines array<int>"))
     partial = found.select("k1", "k2", "id").mapInArrow(_combine(min_docs), "k1 long, k2 long, id long")
     # A hash has as many rows as there are tasks, times min_docs, at most: hot lines are small here.
     ranged = partial.repartitionByRange("k1").sortWithinPartitions("k1", "k2", F.desc("id"))
