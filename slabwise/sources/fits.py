@@ -163,6 +163,10 @@ def units(file: RangedFile, limit: int | None = None):
         number, start = number + 1, unit.next_start
 
 
+#: Bytes read at once for a box with gaps.
+SPAN_BYTES = 32 * 1024 * 1024
+
+
 class FitsImage:
     """An image unit as an array: axis 1 is ``dim0`` and moves fastest."""
 
@@ -216,14 +220,24 @@ class FitsImage:
 
 
 def read_contiguous(file: RangedFile, start: int, dtype: np.dtype, shape, lo, extent) -> np.ndarray:
-    """A box of a row-major array stored in one piece, read run by run."""
+    """A box of a row-major array stored in one piece.
+
+    The span that covers the box is read at once and sliced; one longer than
+    ``SPAN_BYTES`` is read run by run.
+    """
     rank = len(shape)
+    strides = [prod(shape[i + 1 :]) for i in range(rank)]
+    first = sum(a * s for a, s in zip(lo, strides))
+    cells = sum((n - 1) * s for n, s in zip(extent, strides)) + 1
+    if cells * dtype.itemsize <= SPAN_BYTES:
+        data = np.frombuffer(file.read(start + first * dtype.itemsize, cells * dtype.itemsize), dtype)
+        box = np.lib.stride_tricks.as_strided(data, extent, [s * dtype.itemsize for s in strides])
+        return box.reshape(-1)
     split = rank
     while split > 0 and extent[split - 1] == shape[split - 1]:
         split -= 1
     split = max(split - 1, 0)  # dimensions from here on form one run
     run = prod(extent[split:])
-    strides = [prod(shape[i + 1 :]) for i in range(rank)]
     pieces = []
     for index in np.ndindex(*extent[:split]):
         offset = sum((lo[i] + index[i]) * strides[i] for i in range(split))

@@ -156,7 +156,23 @@ def _read_slabs(array, path, part, parts, options, extra):
     numbers = range(total * part // parts, total * (part + 1) // parts)
     if numbers:
         array.prepare(origin_of(numbers[0]), origin_of(numbers[-1]))
-    held, held_cells = [], 0
+    heads, sizes, columns_held, held_cells = [], [], [[] for _ in columns], 0
+
+    def flush():
+        """What is held as batches: columns are joined once, not chunk by chunk."""
+        values = [pa.concat_arrays(parts) for parts in columns_held]
+        if slabs:
+            ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype("i4"))
+            arrays = [pa.array(np.array(h, "i8")) for h in zip(*heads, strict=True)]
+            arrays += [pa.ListArray.from_arrays(ends, v) for v in values]
+        else:
+            arrays = [pa.array(np.concatenate(c)) for c in zip(*heads, strict=True)] + values
+        rows = len(sizes) if slabs else sum(sizes)
+        if with_path:
+            arrays.append(pa.array([path], pa.string()).take(pa.array(np.zeros(rows, "i4"))))
+        whole = pa.Table.from_arrays(arrays, names=spark_schema(array, options).names)
+        yield from whole.to_batches(max_chunksize=1024 if slabs else BATCH_CELLS)
+
     for number in numbers:
         origin = origin_of(number)
         # Read only the part of the slab that the bounds touch.
@@ -169,29 +185,18 @@ def _read_slabs(array, path, part, parts, options, extra):
             slab_no = sum(
                 origin[order[k]] // steps[order[k]] * w for k, w in enumerate(weights)
             )
-            heads = [slab_no, *[start[p] for p in order], *[stop[p] for p in order]]
-            arrays = [pa.array([h], pa.int64()) for h in heads]
-            arrays += [pa.ListArray.from_arrays(pa.array([0, cells], pa.int32()), v) for v in values]
+            heads.append([slab_no, *[start[p] for p in order], *[stop[p] for p in order]])
         else:
-            arrays = [pa.array(c) for c in _coordinates(start, extent, order)] + values
-        if with_path:
-            rows = 1 if slabs else cells
-            arrays.append(pa.array([path], pa.string()).take(pa.array(np.zeros(rows, "i4"))))
-        held.append(arrays)
+            heads.append(_coordinates(start, extent, order))
+        sizes.append(cells)
+        for parts_held, value in zip(columns_held, values, strict=True):
+            parts_held.append(value)
         held_cells += cells
         if held_cells >= BATCH_CELLS:
-            yield from _batches(held, array, options)
-            held, held_cells = [], 0
-    if held:
-        yield from _batches(held, array, options)
-
-
-def _batches(held, array, options):
-    names = spark_schema(array, options).names
-    tables = [pa.Table.from_arrays(arrays, names=names) for arrays in held]
-    whole = pa.concat_tables(tables).combine_chunks()
-    rows = 1024 if options.get("layout", "cells") == "slabs" else BATCH_CELLS
-    yield from whole.to_batches(max_chunksize=rows)
+            yield from flush()
+            heads, sizes, columns_held, held_cells = [], [], [[] for _ in columns], 0
+    if sizes:
+        yield from flush()
 
 
 def _slab_weights(schema, steps: dict) -> list[int]:
