@@ -83,6 +83,8 @@ def _frames_of(table: pa.Table, column: str) -> np.ndarray:
 
 def _fits_file(table: pa.Table) -> bytes:
     label = table.column("label").to_numpy().astype("i4")
+    if len(label) and not 0 <= label.min() <= label.max() < 1 << 15:
+        raise ArrayError("label does not fit both 16-bit images")
     return (
         fits_bytes.primary()
         + fits_bytes.image(_frames_of(table, "embedding"), -32)
@@ -117,7 +119,10 @@ def _part_file(table: pa.Table) -> bytes:
     rows = np.zeros(table.num_rows, PART_LAYOUT)
     for name in ("p_partkey", "p_size", "p_retailprice"):
         rows[name] = table.column(name).to_numpy()
-    rows["p_brand"] = [b.encode() for b in table.column("p_brand").to_pylist()]
+    brands = [b.encode() for b in table.column("p_brand").to_pylist()]
+    if max(map(len, brands), default=0) > PART_LAYOUT["p_brand"].itemsize:
+        raise ArrayError(f"p_brand has more than {PART_LAYOUT['p_brand'].itemsize} bytes")
+    rows["p_brand"] = brands
     rows["p_kind"] = [KINDS.get(t, KINDS["OTHER"]) for t in table.column("p_type").to_pylist()]
     messages = {
         "p_partkey": h5.int_type(8),
