@@ -17,7 +17,7 @@ from slabwise.schema import UNLIMITED, UnsupportedType
 from slabwise.session import ship_package, task_count
 from slabwise.sources.files import RangedFile
 from slabwise.sources.fits import units
-from slabwise.sources.hdf5 import Hdf5File, describe
+from slabwise.sources.hdf5 import KNOWN_FILTERS, Hdf5File, describe
 
 # The suffixes that the scans read, in either case.
 FITS_FILES = "*.{fits,fit,fts,FITS,FIT,FTS}"
@@ -124,7 +124,7 @@ def _hdf5_row(path: str, name: str, head) -> dict:
         head.element.spark()
     except UnsupportedType:
         return row
-    row["supported"] = True
+    row["supported"] = KNOWN_FILTERS.issuperset(head.filters)
     row["attrs"] = [
         {"name": n, "type": t.type_name, "ddl_type": t.ddl_name, "bytes": t.size} for n, t in _leaf_types(head.element)
     ]

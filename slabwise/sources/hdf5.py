@@ -37,8 +37,9 @@ from slabwise.sources.fits import read_contiguous
 # Fixed values of the format.
 SIGNATURE = b"\x89HDF\r\n\x1a\n"
 MSG_DATASPACE, MSG_DATATYPE, MSG_FILL, MSG_LAYOUT = 0x01, 0x03, 0x05, 0x08
-MSG_FILTERS, MSG_CONTINUATION, MSG_SYMBOL_TABLE = 0x0B, 0x10, 0x11
+MSG_EXTERNAL, MSG_FILTERS, MSG_CONTINUATION, MSG_SYMBOL_TABLE = 0x07, 0x0B, 0x10, 0x11
 FILTER_DEFLATE, FILTER_SHUFFLE = 1, 2
+KNOWN_FILTERS = {FILTER_DEFLATE, FILTER_SHUFFLE}
 STRING_PADDING = {0: "nullterm", 1: "nullpad", 2: "spacepad"}
 
 # A task decodes at most this much of a dataset at once.
@@ -208,6 +209,8 @@ class Hdf5File:
                     head.filters = parse_filters(body)
                 elif kind == MSG_FILL:
                     head.fill = parse_fill(body)
+                elif kind == MSG_EXTERNAL:
+                    raise UnsupportedType(f"{self.file.path}: data in external files")
         return head
 
     # Groups
@@ -353,6 +356,9 @@ def parse_type(data: bytes, at: int) -> tuple[ElementType, int]:
     kind = ElementType(code, size, order=">" if bits & 1 else "<")
     name = kind.class_name
     if name == "INTEGER":
+        offset, precision = struct.unpack_from("<HH", data, at)
+        if (offset, precision) != (0, 8 * size):
+            raise UnsupportedType(f"integer of {precision} bits from bit {offset} of {size} bytes")
         kind.signed = bool(bits & 8)
         return kind, at + 4
     if name == "FLOAT":
@@ -636,5 +642,8 @@ def _trim(values: pa.Array, padding: str) -> pa.Array:
     """Fixed text without its padding (numpy has dropped trailing zero bytes)."""
     if padding == "nullterm":
         values = pc.list_element(pc.split_pattern(values, b"\0", max_splits=1), 0)
-    text = pc.cast(values, pa.string())
+    try:
+        text = pc.cast(values, pa.string())
+    except pa.ArrowInvalid:  # not UTF-8: odd bytes become replacement characters
+        text = pa.array([v if v is None else v.decode("utf-8", "replace") for v in values.to_pylist()], pa.string())
     return pc.utf8_rtrim(text, " ") if padding == "spacepad" else text

@@ -12,6 +12,7 @@ from slabwise.operators import array_member_to_cols, flatten_compound, slab_grid
 from slabwise.plans import hdf5_bytes as h5
 from slabwise.schema import UNLIMITED
 from slabwise.sources import dump_dataset, hdf5_catalog, load_hdf5, open_array, store_hdf5
+from slabwise.sources.catalog import _hdf5_row
 from slabwise.sources.files import RangedFile, list_paths
 from slabwise.sources.hdf5 import Hdf5Dataset, Hdf5File
 from slabwise.sources.scan import plan_splits
@@ -372,3 +373,23 @@ def test_a_large_user_block_and_more_files_than_threads(spark, tmp_path):
         for n in range(count):
             (folder / f"{n:03}.h5").write_bytes(body + bytes(1 << 16))
         assert len(plan_splits("hdf5_array", list_paths(str(folder), (".h5",)), {"dataset": "/x", "splitbytes": 1000})) == count
+
+
+def test_what_cannot_be_read_is_not_listed_as_supported(spark, tmp_path):
+    odd = struct.pack("<BBBBIHH", 0x10, 8, 0, 0, 4, 0, 12)  # 12 of 32 bits
+    data = np.arange(4, dtype="<i4")
+    path = write(tmp_path, "a.h5", lambda f: (f.dataset("/odd", odd, (4,), data), f.dataset("/x", h5.int_type(4), (4,), data, chunk=(2,), deflate=True)))
+    listed = {r.path: r.supported for r in hdf5_catalog(spark, path).collect()}
+    assert listed["/x"] is True and not listed["/odd"]
+    with RangedFile(path) as file:
+        head = Hdf5File(file).find("/x")
+        head.filters = [4]
+        assert _hdf5_row(path, "/x", head)["supported"] is False
+        with pytest.raises(UnsupportedType, match="12 bits"):
+            Hdf5File(file).find("/odd")
+
+
+def test_text_that_is_not_utf8(spark, tmp_path):
+    texts = np.array([b"ok", b"a\xffb", b""], "S4")
+    path = write(tmp_path, "a.h5", lambda f: f.dataset("/s", h5.compound_type(4, [("t", 0, h5.string_type(4, padding=1))]), (3,), texts))
+    assert [r.t for r in load_hdf5(spark, path, "/s").orderBy("unnamed0").collect()] == ["ok", "a�b", ""]
