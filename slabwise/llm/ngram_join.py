@@ -1,6 +1,7 @@
 """N-gram Jaccard join with rare-first prefix filtering.
 
 1. Documents with equal shingle sets are one class; its smallest document stands for it.
+   Texts are read where they lie; only hashes travel, and the texts of candidates.
 2. Shingles are ordered rare first by a table of counters of fixed size, summed over all
    documents.  Any common order gives right results; this one keeps posting lists short.
 3. Two sets that reach the threshold share a shingle of their prefixes.  Prefix rows of
@@ -20,10 +21,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from slabwise.llm.common import NO_ID, cut, documents, text_keys
+from slabwise.llm.common import NO_ID, cut, documents
 from slabwise.llm.components import connected_components
 from slabwise.llm.words import Words, mix, pieces, window_hashes
 
@@ -34,6 +35,8 @@ SEGMENTS = 64
 BLOCK = 4096
 #: Partners that one copy of a document is verified against.
 PARTNERS = 256
+#: Bits of the map that finds candidates' texts without an exchange: 1 MB.
+FILTER_BITS = 1 << 23
 _ROWS = 2048
 _BITS = np.uint64(53)
 
@@ -62,6 +65,16 @@ def _small_pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield from pieces(batch.slice(low, _ROWS))
 
 
+def _set_keys(value: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+    """128 bits of every set, from the sets one behind the other and their sizes."""
+    sums, ends = [], np.cumsum(n)
+    for salt in (1, 2):
+        total = np.zeros(len(value) + 1, np.uint64)
+        np.cumsum(mix(value + np.uint64(salt << 60)), out=total[1:])
+        sums.append((total[ends] - total[ends - n]).view(np.int64))
+    return sums
+
+
 def _signatures(size: int):
     """Per document: set size and 128 bits of the set."""
 
@@ -70,13 +83,8 @@ def _signatures(size: int):
             for batch in _small_pieces(whole):
                 row, value = shingle_sets(batch, size)
                 n = np.bincount(row, minlength=batch.num_rows)
-                sums = []
-                for salt in (1, 2):
-                    total = np.zeros(len(value) + 1, np.uint64)
-                    np.cumsum(mix(value + np.uint64(salt << 60)), out=total[1:])
-                    ends = np.cumsum(n)
-                    sums.append((total[ends] - total[ends - n]).view(np.int64))
-                yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "salt": batch.column("salt"), "n": n, "s1": sums[0], "s2": sums[1]})
+                s1, s2 = _set_keys(value, n)
+                yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "n": n, "s1": s1, "s2": s2})
 
     return run
 
@@ -124,10 +132,13 @@ def frequency_levels(texts: DataFrame, size: int, counters: int = COUNTERS) -> n
 
 
 def _prefixes(size: int, percent: int, levels):
-    """Prefix rows: shingle, document, set size, place in the rare-first order."""
+    """Prefix rows: shingle, document, set size, place in the rare-first order.
+
+    Of equal sets a task passes on the first only (it remembers 128 bits of each).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = levels.value
+        table, seen = levels.value, set()
         for whole in batches:
             for batch in _small_pieces(whole):
                 row, value = shingle_sets(batch, size)
@@ -138,7 +149,12 @@ def _prefixes(size: int, percent: int, levels):
                 value = value[order]  # rows stay in order
                 n = np.bincount(row, minlength=batch.num_rows)
                 place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-                keep = place <= (n - (n * percent + 99) // 100)[row]
+                new = np.zeros(batch.num_rows, bool)
+                for i, key in enumerate(zip(*(x.tolist() for x in _set_keys(value, n)), strict=True)):
+                    if key not in seen:
+                        seen.add(key)
+                        new[i] = True
+                keep = (place <= (n - (n * percent + 99) // 100)[row]) & new[row]
                 yield pa.RecordBatch.from_pydict(
                     {
                         "token": value[keep].view(np.int64),
@@ -274,8 +290,30 @@ def _verify(size: int, percent: int):
     return run
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def _only(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows with an id among the distinct ``ids``, found before any exchange as far as possible.
+
+    A bitmap of ``FILTER_BITS`` hashed ids is broadcast (a fixed size); the join that
+    follows is exact, however full the bitmap is.
+    """
+    place = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
+    maps = ids.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    at = F.bitmap_bit_position("place")
+    byte = F.conv(F.hex(F.substring("bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    near = (
+        rows.withColumn("place", place)
+        .join(F.broadcast(maps), F.bitmap_bucket_number("place") == F.col("bucket"))
+        .where(F.getbit(byte, (at % 8).cast("int")) == 1)
+        .select(*rows.columns)
+    )
+    # Not a semi-join: that would be moved below the map, next to all texts.
+    return near.join(ids, "id")
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
     """The links among candidate pairs.  A document with many partners is split into parts."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    texts = _only(rows, ids)
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("parts"))
     dealt = pairs.join(parts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "b")
     partners = dealt.join(texts.withColumnRenamed("id", "b"), "b").select("a", "part", "b", "text")
@@ -302,23 +340,23 @@ def ngram_join(docs: DataFrame, size: int = 5, percent: int = 80, counters: int
     if not 1 <= percent <= 100 or size < 1:
         raise ValueError("percent must be 1 to 100 and size at least 1")
     spark = docs.sparkSession
-    h1, _ = text_keys("text")
-    rows = documents(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), h1.alias("salt"), "text")
-    signed = cut(rows.mapInArrow(_signatures(size), "id long, salt long, n long, s1 long, s2 long"))
+    rows = documents(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text")
+    signed = cut(rows.mapInArrow(_signatures(size), "id long, n long, s1 long, s2 long"))
     filled = signed.where("n > 0")
-    classes = filled.groupBy("s1", "s2", "n").agg(F.min(F.struct("id", "salt")).alias("x"))
-    chosen = classes.select("x.id", "x.salt").distinct()
-    texts = rows.join(chosen, ["id", "salt"], "left_semi").select("id", "text")
+    classes = filled.groupBy("s1", "s2", "n").agg(F.min("id").alias("first_id"))
     levels = spark.sparkContext.broadcast(frequency_levels(rows, size, counters))
 
-    prefix = texts.mapInArrow(_prefixes(size, percent, levels), "token long, id long, n int, pos int")
-    # Exact texts repeated under one id would be partners of themselves only.
-    counts = prefix.groupBy("token").agg(F.count("*").alias("c")).where("c > 1")
-    postings = cut(prefix.join(counts, "token"))
+    prefix = rows.mapInArrow(_prefixes(size, percent, levels), "token long, id long, n int, pos int")
+    listed = F.count("*").over(Window.partitionBy("token")).cast("int")
+    shared = prefix.withColumn("c", listed).where("c > 1")
+    members = filled.join(classes, ["s1", "s2", "n"]).select("id", "first_id").distinct()
+    # c counts copies of other tasks too; it only bounds the blocks of round two.
+    standing = shared.join(members, "id").groupBy("token", F.col("first_id").alias("id"), "n").agg(F.min("pos").alias("pos"), F.max("c").alias("c"))
+    postings = cut(standing)
 
     ordered = postings.repartition("token").sortWithinPartitions("token", "n", "id")
     tried = cut(ordered.mapInArrow(_along(percent), _PAIR).distinct())
-    links = cut(_verified(tried, texts, size, percent))
+    links = cut(_verified(tried, rows, size, percent))
     settled = connected_components(links)
 
     comp = F.coalesce("component", "id").alias("comp")
@@ -333,14 +371,28 @@ def ngram_join(docs: DataFrame, size: int = 5, percent: int = 80, counters: int
     )
     dealt = cells.repartition("token", "left", "right").sortWithinPartitions("token", "left", "right")
     open_pairs = dealt.mapInArrow(_cells(percent), _PAIR).distinct().join(tried, ["a", "b"], "left_anti")
-    more = _verified(cut(open_pairs), texts, size, percent)
+    more = _verified(cut(open_pairs), rows, size, percent)
 
-    members = filled.join(classes, ["s1", "s2", "n"]).select(F.col("id").alias("a"), F.col("x.id").alias("b")).where("a <> b")
     chains = settled.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    final = connected_components(chains.unionByName(more).unionByName(members))
+    final = connected_components(chains.unionByName(more).unionByName(members.where("id <> first_id").toDF("a", "b")))
     found = signed.join(final.withColumnRenamed("node", "id"), "id", "left")
     return found.select(
         F.nullif("id", F.lit(NO_ID)).alias("doc_id"),
         F.col("n").alias("n_shingles"),
         F.nullif(F.coalesce("component", "id"), F.lit(NO_ID)).alias("component_id"),
     )
+
+
+def ngram_groups(docs: DataFrame, size: int = 5, percent: int = 80, **options) -> DataFrame:
+    """The rows of ``docs`` that stay if one document of each group of ``ngram_join`` stays:
+    the one with the smallest doc_id.
+
+    All columns are kept.  Rows repeated under one id with one text stay once.  Rows without
+    a doc_id cannot be told apart and all stay.
+    """
+    groups = ngram_join(docs, size, percent, **options)
+    staying = groups.where("doc_id = component_id").select("doc_id").distinct()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text", F.isnull("text")).alias("hash"), F.struct("*").alias("row"))
+    copy = F.row_number().over(Window.partitionBy("doc_id", "hash").orderBy("hash"))
+    kept = rows.join(staying, "doc_id", "left_semi").withColumn("copy", copy).where("copy = 1").select("row.*")
+    return kept.unionByName(rows.where("doc_id is null").select("row.*"))
