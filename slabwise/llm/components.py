@@ -1,11 +1,17 @@
-"""Connected components by alternating stars, with every step cut off from its history."""
+"""Connected components: forests within tasks, then alternating stars, cut off from their history."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slabwise.llm.common import cut
+from slabwise.llm.common import cut, prepare
+
+#: Nodes that a task connects before it passes them on.
+FOREST_NODES = 1_000_000
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -23,6 +29,29 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return joined.unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
 
 
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of one task as stars: every node with the smallest it is connected to here."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = x = root[up]
+        return x
+
+    def stars() -> pa.RecordBatch:
+        found = [(x, r) for x in root if (r := find(x)) != x]
+        return pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([r for _, r in found], pa.int64())})
+
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+            low, high = sorted((find(a), find(b)))
+            root[high] = low
+        if len(root) > FOREST_NODES:  # what is passed on here connects with the rest later
+            yield stars()
+            root.clear()
+    yield stars()
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """``node`` and the smallest node of its component, for every node of ``edges(a, b)``.
 
@@ -30,7 +59,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Rounds grow with the logarithm of the longest path.  A round is a handful of joins on
     the node, whose hot keys adaptive execution splits; only two numbers reach the driver.
     """
-    state, seen = cut(edges.select("a", "b").where("a <> b").distinct()), None
+    prepare(edges.sparkSession)
+    tasks = max(1, edges.sparkSession.sparkContext.defaultParallelism)
+    links = edges.select("a", "b").where("a <> b").coalesce(tasks)
+    state, seen = cut(links.mapInArrow(_forest, "a long, b long").distinct()), None
     while True:
         state = cut(_small_star(_large_star(state)))
         now = state.agg(F.count("*").alias("n"), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 40))).alias("h")).first()

@@ -10,7 +10,8 @@
    the first.  This settles groups of near copies in linear work.
 5. Round two tries all pairs of a posting list whose sides are not connected yet, within
    cells of a bounded number of rows, under the length and the positional filter.
-6. Candidates, each pair once, meet their texts, pass the suffix filter and are verified.
+6. Candidates, each pair once, pass the suffix filter by the profiles of their sets; those
+   left meet their texts and are verified.
 
 Links, and the members of classes, end in connected components.
 """
@@ -35,6 +36,8 @@ SEGMENTS = 64
 BLOCK = 4096
 #: Partners that one copy of a document is verified against.
 PARTNERS = 256
+#: Parts of a set whose sizes bound its distance to another.
+PROFILE = 64
 #: Bits of the map that finds candidates' texts without an exchange: 1 MB.
 FILTER_BITS = 1 << 23
 _ROWS = 2048
@@ -75,8 +78,19 @@ def _set_keys(value: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
     return sums
 
 
+def _profiles(row: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
+    """Per set the sizes of its ``PROFILE`` parts by hash, 255 at most, as rows of bytes.
+
+    The sum of the differences of two profiles is at most the number of shingles that only
+    one of the sets has: the suffix filter's bound, with fixed pivots.
+    """
+    part = value >> np.uint64(53 - PROFILE.bit_length() + 1)
+    counts = np.bincount(row * PROFILE + part.astype(np.int64), minlength=n * PROFILE)
+    return np.minimum(counts, 255).astype(np.uint8).reshape(n, PROFILE)
+
+
 def _signatures(size: int):
-    """Per document: set size and 128 bits of the set."""
+    """Per document: set size, 128 bits of the set and its profile."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -84,7 +98,8 @@ def _signatures(size: int):
                 row, value = shingle_sets(batch, size)
                 n = np.bincount(row, minlength=batch.num_rows)
                 s1, s2 = _set_keys(value, n)
-                yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "n": n, "s1": s1, "s2": s2})
+                profiles = pa.array([p.tobytes() for p in _profiles(row, value, batch.num_rows)], pa.binary())
+                yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "n": n, "s1": s1, "s2": s2, "profile": profiles})
 
     return run
 
@@ -213,41 +228,37 @@ def _along(percent: int):
 def _cells(percent: int):
     """One cell at a time: pairs of its two sides (or within its one) that are not connected yet."""
 
-    def flush(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-        rows = pa.Table.from_batches(parts)
-        own, left = (rows[c].to_numpy() for c in ("own", "left"))
-        comp, ids, n, pos = (rows[c].to_numpy().astype(np.int64) for c in ("comp", "id", "n", "pos"))
-        one = bool((own == left).all() and rows["left"][0].as_py() == rows["right"][0].as_py())
+    names = ("token", "left", "right", "own", "comp", "id", "n", "pos")
+
+    def cell(rows: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        _, left, right, own, comp, ids, n, pos = rows
+        if (comp == comp[0]).all():
+            return []
+        one = left[0] == right[0]
         kinds, counts = np.unique(comp, return_counts=True)
         largest = kinds[counts.argmax()]
-        a, b = [], []
+        found = []
         # Two sides that differ: one of them at least is not of the largest component.
         for i in np.flatnonzero(comp != largest):
             ok = (comp != comp[i]) & _possible(n, pos, n[i], pos[i], percent)
             if not one:
                 ok &= own != own[i]
-            a.append(ids[ok])
-            b.append(np.full(int(ok.sum()), ids[i]))
-        return _pairs(np.concatenate(a) if a else ids[:0], np.concatenate(b) if b else ids[:0])
+            if ok.any():
+                found.append((ids[ok], np.full(int(ok.sum()), ids[i])))
+        return found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        key = None
+        held = np.zeros((len(names), 0), np.int64)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "left", "right")]
-            change = np.append(False, np.logical_or.reduce([c[1:] != c[:-1] for c in columns]))
-            cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
-            for low, high in zip(cuts, cuts[1:], strict=False):
-                now = tuple(c[low] for c in columns)
-                if now != key and held:
-                    yield flush(held)
-                    held = []
-                key = now
-                held.append(batch.slice(low, high - low))
-        if held:
-            yield flush(held)
+            rows = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in names])
+            rows = np.concatenate([held, rows], axis=1)
+            starts = np.flatnonzero(np.append(True, (rows[:3, 1:] != rows[:3, :-1]).any(axis=0))) if rows.shape[1] else np.zeros(1, np.int64)
+            found = [x for low, high in zip(starts, starts[1:], strict=False) for x in cell(rows[:, low:high])]
+            held = rows[:, starts[-1] :]
+            if found:
+                yield _pairs(np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found]))
+        if held.shape[1] and (found := cell(held)):
+            yield _pairs(np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found]))
 
     return run
 
@@ -257,11 +268,6 @@ def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     need = -(-(percent * (len(x) + len(y))) // (100 + percent))
     if need > min(len(x), len(y)):
         return False
-    # Suffix filter: cut the hash range at fixed pivots; the parts' sizes bound the difference.
-    cuts = np.arange(1, 16, dtype=np.uint64) << np.uint64(49)
-    parts = np.diff(np.searchsorted(x, cuts)) - np.diff(np.searchsorted(y, cuts))
-    if len(x) + len(y) - 2 * need < np.abs(parts).sum():
-        return False
     return len(np.intersect1d(x, y, assume_unique=True)) >= need
 
 
@@ -290,6 +296,30 @@ def _verify(size: int, percent: int):
     return run
 
 
+def _suffix_filter(percent: int):
+    """Pairs whose profiles leave the threshold in reach."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, PROFILE).astype(np.int64) for c in ("x", "y"))
+            n = sum(batch.column(c).to_numpy(zero_copy_only=False) for c in ("n", "m"))
+            need = -(-(percent * n) // (100 + percent))
+            keep = np.abs(x - y).sum(axis=1) <= n - 2 * need
+            if keep.any():
+                yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    return run
+
+
+def _in_reach(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that pass the suffix filter; ``sets`` has ``id``, ``n`` and ``profile``."""
+    with_a = pairs.join(sets.select(F.col("id").alias("a"), "n", F.col("profile").alias("x")), "a")
+    with_b = with_a.join(sets.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("profile").alias("y")), "b")
+    return with_b.mapInArrow(_suffix_filter(percent), _PAIR).distinct()
+
+
 def _only(rows: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows with an id among the distinct ``ids``, found before any exchange as far as possible.
 
@@ -341,7 +371,7 @@ def ngram_join(docs: DataFrame, size: int = 5, percent: int = 80, counters: int
         raise ValueError("percent must be 1 to 100 and size at least 1")
     spark = docs.sparkSession
     rows = documents(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text")
-    signed = cut(rows.mapInArrow(_signatures(size), "id long, n long, s1 long, s2 long"))
+    signed = cut(rows.mapInArrow(_signatures(size), "id long, n long, s1 long, s2 long, profile binary"))
     filled = signed.where("n > 0")
     classes = filled.groupBy("s1", "s2", "n").agg(F.min("id").alias("first_id"))
     levels = spark.sparkContext.broadcast(frequency_levels(rows, size, counters))
@@ -356,7 +386,8 @@ def ngram_join(docs: DataFrame, size: int = 5, percent: int = 80, counters: int
 
     ordered = postings.repartition("token").sortWithinPartitions("token", "n", "id")
     tried = cut(ordered.mapInArrow(_along(percent), _PAIR).distinct())
-    links = cut(_verified(tried, rows, size, percent))
+    sets = filled.join(classes.select(F.col("first_id").alias("id"), "s1", "s2", "n"), ["id", "s1", "s2", "n"], "left_semi").select("id", "n", "profile")
+    links = cut(_verified(cut(_in_reach(tried, sets, percent)), rows, size, percent))
     settled = connected_components(links)
 
     comp = F.coalesce("component", "id").alias("comp")
@@ -371,7 +402,7 @@ def ngram_join(docs: DataFrame, size: int = 5, percent: int = 80, counters: int
     )
     dealt = cells.repartition("token", "left", "right").sortWithinPartitions("token", "left", "right")
     open_pairs = dealt.mapInArrow(_cells(percent), _PAIR).distinct().join(tried, ["a", "b"], "left_anti")
-    more = _verified(cut(open_pairs), rows, size, percent)
+    more = _verified(cut(_in_reach(open_pairs, sets, percent)), rows, size, percent)
 
     chains = settled.select(F.col("node").alias("a"), F.col("component").alias("b"))
     final = connected_components(chains.unionByName(more).unionByName(members.where("id <> first_id").toDF("a", "b")))
