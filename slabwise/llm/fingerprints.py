@@ -6,8 +6,8 @@ term, and the sorted terms of a subset are hashed to one value.  A fingerprint i
 of these values.  Two texts are alike in the share of subsets that agree, among those in
 which either has a term.
 
-Subsets come in three densities, each cut into ``SUBSETS`` disjoint subsets: a 64th, a
-256th and a 1024th of the lexicon.  The density at which the longer text has about one
+Subsets come in three densities, ``SUBSETS`` disjoint subsets of each: a 64th, a 256th and
+a 1024th of the lexicon.  The density at which the longer text has about one
 term in a subset is the one compared, so long texts are not all or nothing.
 """
 
@@ -22,7 +22,7 @@ LEAST_SHARE = 0.001
 MOST_SHARE = 0.1
 #: One subset is this part of the lexicon, per density.
 PARTS = (64, 256, 1024)
-SUBSETS = 64
+SUBSETS = 32
 #: Ranges of ids that texts are dealt to, per shuffle partition.
 RANGES = 3
 
@@ -33,14 +33,29 @@ def terms(text: Column | str) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))
 
 
+def _subset(level: int, term: Column | str) -> Column:
+    """The subset of a density that a term belongs to; only the first ``SUBSETS`` are drawn."""
+    return F.pmod(F.xxhash64(F.lit(level), term), F.lit(PARTS[level]))
+
+
+def _drawn(term: str) -> Column:
+    """Whether any subset has the term; the others are never looked at."""
+    found = F.lit(False)
+    for level in range(len(PARTS)):
+        found = found | (_subset(level, term) < SUBSETS)
+    return found
+
+
 def lexicon(texts: DataFrame, least: float = LEAST_SHARE, most: float = MOST_SHARE) -> DataFrame:
-    """Terms in at least ``least`` and at most ``most`` of all texts, and in two at least.
+    """Terms in at least ``least`` and at most ``most`` of all texts, and in two at least, as
+    far as a subset draws them.
 
     It has at most (distinct terms per text, on average) / ``least`` rows, whatever the
     number of texts: a quarter of a million for texts of 250 distinct words.
     """
     rows = texts.count()
-    counts = texts.select(F.explode(terms("text")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    found = texts.select(F.explode(terms("text")).alias("term")).where(_drawn("term"))
+    counts = found.groupBy("term").agg(F.count("*").alias("df"))
     return counts.where(F.col("df").between(max(2, rows * least), rows * most)).select("term")
 
 
@@ -80,19 +95,20 @@ def edited(text: Column, following: Column) -> Column:
 
 def _subset_values(side_terms: DataFrame) -> DataFrame:
     """Rows (range, n, side, term, info) to one row per text: its subset values and ``info``."""
-    draws = [_named(level=F.lit(k), subset=F.pmod(F.xxhash64(F.lit(k), "term"), F.lit(parts))) for k, parts in enumerate(PARTS)]
+    draws = [_named(level=F.lit(k), subset=_subset(k, "term")) for k in range(len(PARTS))]
     own = _named(level=F.lit(-1), subset=F.lit(0).cast("long"))
     drawn = F.when(F.col("term") == "", F.array(own)).otherwise(F.filter(F.array(*draws), lambda d: d["subset"] < SUBSETS))
-    exploded = side_terms.select("range", "n", "side", "term", "info", F.explode(drawn).alias("d")).select("*", "d.level", "d.subset").drop("d")
+    numbered = side_terms.select("range", "n", "side", F.xxhash64("term").alias("term"), "info", F.explode(drawn).alias("d"))
+    exploded = numbered.select("*", "d.level", "d.subset").drop("d")
     hashed = exploded.groupBy("range", "n", "side", "level", "subset").agg(
-        F.sort_array(F.collect_set("term")).alias("terms"), F.max("info").alias("info")
+        F.sort_array(F.collect_list("term")).alias("terms"), F.max("info").alias("info")
     )
     value = F.xxhash64("terms").bitwiseAND(F.lit(0xFFFFFFFF))
     values = hashed.select("*", F.struct("level", "subset", value.alias("value")).alias("v"), F.size("terms").alias("size"))
     real = F.col("level") >= 0
     return values.groupBy("range", "n").agg(
         *[F.sort_array(F.collect_list(F.when(real & (F.col("side") == side), F.col("v")))).alias(name) for side, name in ((0, "own"), (1, "changed"))],
-        *[F.coalesce(F.sum(F.when((F.col("level") == 0) & (F.col("side") == side), F.col("size"))), F.lit(0)).alias(f"n_{name}") for side, name in ((0, "own"), (1, "changed"))],
+        *[(F.coalesce(F.sum(F.when((F.col("level") == 0) & (F.col("side") == side), F.col("size"))), F.lit(0)) * (PARTS[0] // SUBSETS)).alias(f"n_{name}") for side, name in ((0, "own"), (1, "changed"))],
         F.max("info").alias("info"),
     )
 
@@ -153,6 +169,7 @@ def fingerprint_edits(docs: DataFrame, least: float = LEAST_SHARE, most: float =
     )
     # The empty word is no word: it stands for the text itself and carries what is known of it.
     narrow = exploded.select("range", "n", "side", "term", F.when(F.col("term") == "", F.col("info")).alias("info"))
+    narrow = narrow.where((F.col("term") == "") | _drawn("term"))
     words = lexicon(docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")), least, most)
     known = words.unionByName(docs.sparkSession.range(1).select(F.lit("").alias("term")))
     found = _subset_values(narrow.join(F.broadcast(known), "term"))
