@@ -2,11 +2,10 @@
 
 Suffixes start at content-selected minimisers: every run of ``length`` words holds one, at
 the same place in every copy of the run.  Suffixes whose first gram stands in one document
-only cannot be part of a repeat and go.  The others are dealt by their first gram, sorted
-by the words that follow, and each is compared with the nearest suffix before it that is of
-another document; a second pass sorts them by the words that precede.  Matches are extended
-to the left and right word by word as far as the next minimiser can lie, and matches that
-overlap on one diagonal of two documents are joined to one of full length.
+only cannot be part of a repeat and go.  Every window of ``length`` words around one of the
+others is dealt by its hash, and each document is matched with the next lower id that has
+the same window: equal windows are a class with neighbours of its own, whatever words lie
+around them.  Matches that overlap on one diagonal of two documents are joined to one.
 """
 
 from __future__ import annotations
@@ -25,8 +24,8 @@ from slabwise.llm.words import Words, minimisers, pieces, window_hashes
 GRAM = 13
 
 _MARKS = "key long, id long, at long, state byte"
-_SUFFIXES = "key long, id long, at int, after binary, before binary"
-_MATCHES = "id long, at int, partner long, partner_at int, n int"
+_WINDOWS = "key long, id long, at int"
+_MATCHES = "id long, partner long, shift int, at int"
 
 
 def _grams(gram: int, length: int):
@@ -46,96 +45,94 @@ def _grams(gram: int, length: int):
     return lambda batches: settle(run(batches))
 
 
-def _contexts(marks: np.ndarray, at: np.ndarray, limit: np.ndarray, step: int, width: int) -> pa.Array:
-    """The marks of up to ``width`` words from ``at`` on (step 1) or back (step -1), as bytes that sort."""
-    room = np.clip((limit - at) * step, 0, width)
-    offsets = np.concatenate([[0], np.cumsum(room)])
-    inner = np.arange(offsets[-1]) - np.repeat(offsets[:-1], room)
-    values = marks[np.repeat(at, room) + step * inner].astype(">u4")
-    return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer((offsets * 4).astype(np.int32)), pa.py_buffer(values.tobytes())])
-
-
-def _suffixes(gram: int, length: int):
-    """The suffixes at given starts, with the words around them as 32-bit marks."""
+def _windows(gram: int, length: int):
+    """Hashes of the windows of ``length`` words that hold a gram at one of the given starts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in pieces(whole):
                 words = Words(batch.column("text"))
                 hashes = words.hashes()
-                marks = hashes.astype(np.uint32)
                 found = batch.column("starts")
                 row = np.repeat(np.arange(batch.num_rows), found.value_lengths().to_numpy(zero_copy_only=False))
                 at = found.flatten().to_numpy(zero_copy_only=False) + words.first[row]
                 room = at + gram <= words.first[row + 1]  # rows that share an id may be shorter
                 row, at = row[room], at[room]
-                if len(at):
+                steps = np.zeros(len(words) + 1, np.int64)
+                np.add.at(steps, np.maximum(at - (length - gram), words.first[row]), 1)
+                np.add.at(steps, at + 1, -1)
+                starts = np.flatnonzero(np.cumsum(steps[:-1]) > 0)
+                starts = starts[starts + length <= words.ends()[starts]]
+                if len(starts):
+                    row = words.rows()[starts]
                     yield pa.RecordBatch.from_pydict(
                         {
-                            "key": window_hashes(hashes, gram, at).view(np.int64),
+                            "key": window_hashes(hashes, length, starts).view(np.int64),
                             "id": batch.column("id").take(pa.array(row)),
-                            "at": (at - words.first[row]).astype(np.int32),
-                            "after": _contexts(marks, at + gram, words.first[row + 1], 1, length - gram),
-                            "before": _contexts(marks, at - 1, words.first[row] - 1, -1, length - gram),
+                            "at": (starts - words.first[row]).astype(np.int32),
                         }
                     )
 
     return run
 
 
-def _common(a: bytes, b: bytes) -> int:
-    """Words in which two contexts agree from the start."""
-    n = min(len(a), len(b)) // 4
-    x, y = np.frombuffer(a, np.uint32, n), np.frombuffer(b, np.uint32, n)
-    differ = np.flatnonzero(x != y)
-    return int(differ[0]) if len(differ) else n
-
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows by window, id and place: each with a row of the next lower id that has the window.
 
-def _neighbours(gram: int, length: int):
-    """Rows in suffix order: each with the nearest before it of another document."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = last = other = None  # other: the nearest row before of a document unlike last's
-        for batch in batches:
-            out = []
-            columns = (batch.column(c).to_pylist() for c in ("key", "id", "at", "after", "before"))
-            for now, *row in zip(*columns, strict=True):
-                if now != key:
-                    key, last, other = now, row, None
-                    continue
-                if row[0] != last[0]:
-                    other = last
-                last = row
-                if other is not None:
-                    left = _common(row[3], other[3])
-                    n = left + gram + _common(row[2], other[2])
-                    if n >= length:
-                        a, b = sorted((row[:2], other[:2]))
-                        out.append((b[0], b[1] - left, a[0], a[1] - left, n))
-            if out:
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32())
-                arrays = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, ["id", "at", "partner", "partner_at", "n"])
+    The k-th place in a document meets the k-th place in the other, or the last one.  Places
+    of a window's first document beyond those of the second meet the second's last.
+    """
 
-    return run
+    def pairs(key, doc, at, opening: bool, done: bool):
+        starts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])))
+        sizes = np.diff(np.append(starts, len(key)))
+        follows = np.append(False, key[starts[1:]] == key[starts[:-1]])
+        first = ~follows
+        first[0] = opening
+        later = np.flatnonzero(follows)
+        if not done:
+            later = later[later < len(starts) - 1]
+        rows, others = [], []
+        for own, other, low in ((later, later - 1, 0), (later[first[later - 1]] - 1, later[first[later - 1]], 1)):
+            skip = sizes[other] * low  # places that have met one already
+            n = np.maximum(sizes[own] - skip, 0)
+            rank = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - skip, n)
+            rows.append(np.repeat(starts[own], n) + rank)
+            others.append(np.repeat(starts[other], n) + np.minimum(rank, np.repeat(sizes[other] - 1, n)))
+        upper, lower = np.concatenate([rows[0], others[1]]), np.concatenate([others[0], rows[1]])
+        out = pa.RecordBatch.from_pydict({"id": doc[upper], "partner": doc[lower], "shift": at[upper] - at[lower], "at": at[upper]})
+        hold = max(0, len(starts) - 2)
+        return out, starts[hold], bool(first[hold])
+
+    held, opening = None, True
+    for batch in batches:
+        if batch.num_rows:
+            columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "id", "at")]
+            held = columns if held is None else [np.concatenate(x) for x in zip(held, columns, strict=True)]
+            out, low, opening = pairs(*held, opening, False)
+            held = [c[low:] for c in held]
+            yield out
+    if held is not None:
+        # Of what is held, only the last document of a window has not met the one before.
+        yield pairs(*held, opening, True)[0]
 
 
 def _joined(matches: DataFrame) -> DataFrame:
     """Overlapping matches on one diagonal as one."""
-    diagonal = Window.partitionBy("id", "partner", "shift").orderBy("at", "n")
-    reach = F.max(F.col("at") + F.col("n")).over(diagonal.rowsBetween(Window.unboundedPreceding, -1))
-    opens = F.when(F.col("at") <= reach, 0).otherwise(1)
-    runs = matches.withColumn("shift", F.col("at") - F.col("partner_at")).withColumn("opens", opens)
+    diagonal = Window.partitionBy("id", "partner", "shift").orderBy("at", "end")
+    reach = F.max("end").over(diagonal.rowsBetween(Window.unboundedPreceding, -1))
+    runs = matches.withColumn("opens", F.when(F.col("at") <= reach, 0).otherwise(1))
     runs = runs.withColumn("run", F.sum("opens").over(diagonal.rowsBetween(Window.unboundedPreceding, 0)))
-    return runs.groupBy("id", "partner", "shift", "run").agg(F.min("at").alias("at"), F.max(F.col("at") + F.col("n")).alias("end"))
+    return runs.groupBy("id", "partner", "shift", "run").agg(F.min("at").alias("at"), F.max("end").alias("end")).drop("run")
 
 
 def suffix_array_matches(docs: DataFrame, length: int = 50, gram: int = GRAM) -> DataFrame:
     """Runs of ``length`` words or more that two documents share.
 
     Returns rows ``doc_id``, ``start``, ``n_words``, ``partner_id`` and ``partner_start``
-    (in words from 0): the run of the document with the larger id and its neighbour in the
-    suffix order.  A run that many documents share is a chain of neighbours, not all pairs.
+    (in words from 0): the run of the document with the larger id and its neighbour, the
+    next lower id with the same ``length`` words.  A run that many documents share is a chain
+    of neighbours, not all pairs.
     Documents that share no such run do not appear.
 
     Of documents with equal texts the smallest id takes part; every other one is a match
@@ -155,12 +152,9 @@ def suffix_array_matches(docs: DataFrame, length: int = 50, gram: int = GRAM) ->
     place = F.when(F.col("state") == SETTLED, F.xxhash64("key", "id", "at")).otherwise(F.col("key"))
     shared = marks.repartition(place).sortWithinPartitions("key", F.desc("state"), "id").mapInArrow(in_several(["key"], "id"), _MARKS)
     starts = shared.groupBy("id").agg(F.collect_set(F.col("at").cast("int")).alias("starts"))
-    suffixes = texts.join(starts, "id").mapInArrow(_suffixes(gram, length), _SUFFIXES).repartition("key")
-    compared = [
-        suffixes.sortWithinPartitions("key", *order, "id", "at").mapInArrow(_neighbours(gram, length), _MATCHES)
-        for order in (("after", "before"), ("before", "after"))
-    ]
-    matches = _joined(compared[0].unionByName(compared[1]).distinct())
+    windows = texts.join(starts, "id").mapInArrow(_windows(gram, length), _WINDOWS)
+    pairs = windows.repartition("key").sortWithinPartitions("key", "id", "at").mapInArrow(_neighbours, _MATCHES)
+    matches = _joined(pairs.withColumn("end", F.col("at") + length))
     found = matches.select("id", F.col("at").alias("start"), (F.col("end") - F.col("at")).alias("n_words"), "partner", (F.col("at") - F.col("shift")).alias("partner_start"))
 
     whole = rows.select("id", "h1", "h2", word_count("text").cast("int").alias("n_words")).where(F.col("n_words") >= length)

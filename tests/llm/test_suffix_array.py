@@ -73,3 +73,23 @@ def test_odd_rows(frame, messy):
     got = suffix_array_matches(frame(messy), 50).collect()
     assert {(r.doc_id, r.partner_id) for r in got if r.partner_id == 3} >= {(8, 3)}
     assert suffix_array_matches(frame([])).collect() == []
+
+
+def test_runs_between_many_heads_and_tails(frame):
+    rng = random.Random(2)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    heads, body, tails = [words(5) for _ in range(10)], words(40), [words(5) for _ in range(10)]
+    rows = [(i, " ".join(words(3) + rng.choice(heads) + body + rng.choice(tails) + words(3))) for i in range(300)]
+    got = suffix_array_matches(frame(rows), 50).collect()
+    check_matches(got, rows, 50)
+    assert spans(got) == brute(rows, 50)
+
+
+def test_places_in_one_document_all_count(frame):
+    rng = random.Random(3)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passage = words(55)
+    rows = [(i, " ".join(sum((words(4) + passage for _ in range(n)), []))) for i, n in enumerate((3, 1, 2, 1))]
+    got = suffix_array_matches(frame(rows), 50).collect()
+    check_matches(got, rows, 50)
+    assert spans(got) == brute(rows, 50)
