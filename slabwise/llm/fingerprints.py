@@ -1,7 +1,9 @@
 """I-Match fingerprints, in DataFrame functions only.
 
-The lexicon holds the terms whose document frequency lies in a band.  Every text keeps
-its distinct lexicon terms; randomised subsets of the lexicon are drawn by a hash of the
+The lexicon holds the terms whose document frequency lies in a band.  Copies and near
+copies count as one text there: of the texts that share their outermost shingles, by a hash,
+one is counted, so a text that is copied however often keeps its terms.  Every text keeps its
+distinct lexicon terms; randomised subsets of the lexicon are drawn by a hash of the
 term, and the sorted terms of a subset are hashed to one value.  A fingerprint is the list
 of these values.  Two texts are alike in the share of subsets that agree, among those in
 which either has a term.
@@ -16,13 +18,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from slabwise.llm.common import WORD
+from slabwise.llm.common import WORD, cut
 
 LEAST_SHARE = 0.001
 MOST_SHARE = 0.1
 #: One subset is this part of the lexicon, per density.
 PARTS = (64, 256, 1024)
 SUBSETS = 32
+#: Words in a run by which near copies are known.
+SHINGLE = 3
 #: Ranges of ids that texts are dealt to, per shuffle partition.
 RANGES = 3
 
@@ -38,7 +42,7 @@ def _subset(level: int, term: Column | str) -> Column:
     return F.pmod(F.xxhash64(F.lit(level), term), F.lit(PARTS[level]))
 
 
-def _drawn(term: str) -> Column:
+def _drawn(term: Column | str) -> Column:
     """Whether any subset has the term; the others are never looked at."""
     found = F.lit(False)
     for level in range(len(PARTS)):
@@ -46,17 +50,33 @@ def _drawn(term: str) -> Column:
     return found
 
 
+def _sketched(texts: DataFrame) -> DataFrame:
+    """``text`` with ``sketch``: the least and the largest hash of its runs of ``SHINGLE`` words.
+
+    It is the same for copies, and for most near copies; unlike texts that share a phrase
+    seldom share both.
+    """
+    words = texts.select("text", F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)).alias("words"))
+    run = F.transform("words", lambda w, i: F.xxhash64(w, *[F.get(F.col("words"), i + k) for k in range(1, SHINGLE)]))
+    whole = F.slice(run, F.lit(1), F.greatest(F.lit(1), F.size("words") - (SHINGLE - 1)))
+    runs = words.select("text", whole.alias("runs"))
+    return runs.select("text", F.coalesce(F.xxhash64(F.array_min("runs"), F.array_max("runs")), F.xxhash64("text")).alias("sketch"))
+
+
 def lexicon(texts: DataFrame, least: float = LEAST_SHARE, most: float = MOST_SHARE) -> DataFrame:
-    """Terms in at least ``least`` and at most ``most`` of all texts, and in two at least, as
-    far as a subset draws them.
+    """Terms in at least ``least`` and at most ``most`` of the texts that count, and in two of
+    them at least, as far as a subset draws them.  Of texts with one sketch one counts.
 
     It has at most (distinct terms per text, on average) / ``least`` rows, whatever the
     number of texts: a quarter of a million for texts of 250 distinct words.
     """
-    rows = texts.count()
-    found = texts.select(F.explode(terms("text")).alias("term")).where(_drawn("term"))
-    counts = found.groupBy("term").agg(F.count("*").alias("df"))
-    return counts.where(F.col("df").between(max(2, rows * least), rows * most)).select("term")
+    once = _sketched(texts).groupBy("sketch").agg(F.max("text").alias("text"))
+    # The empty word is no word: it counts the texts.
+    found = once.select(F.explode(F.array_append(F.filter(terms("text"), _drawn), "")).alias("term"))
+    counts = cut(found.groupBy("term").agg(F.count("*").alias("df")).where("df > 1 or term = ''"))
+    row = counts.where("term = ''").first()
+    rows = row["df"] if row else 0
+    return counts.where((F.col("term") != "") & F.col("df").between(max(2, rows * least), rows * most)).select("term")
 
 
 def _ranges(ids: DataFrame) -> list[int]:

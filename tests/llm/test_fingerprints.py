@@ -54,3 +54,15 @@ def test_lexicon_is_a_band(frame):
     assert got == {"half", "rare"}
     assert sorted(frame([(1, "B a  b\tA")]).select(terms("text").alias("t")).first().t) == ["a", "b"]
     assert frame([(1, None)]).select(F.size(F.coalesce(terms("text"), F.array())).alias("n")).first().n == 0
+
+
+def test_copies_and_near_copies_keep_their_terms(frame, prose):
+    texts = [t for t in prose(5, n=200, words=300) if len(t) > 400]
+    words = [f"own{k} shared{k % 40}" for k in range(60)]
+    copies = [" ".join(words)] * 40 + [" ".join([*words[:k], f"edit{k}", *words[k + 1 :]]) for k in range(40)]
+    rows = [*enumerate(texts + copies)]
+    known = {r.term for r in lexicon(frame(rows).select("text"), least=0.001, most=0.1).collect()}
+    assert sum(f"own{k}" in known for k in range(60)) > 20  # one of two is drawn
+    got = {r.doc_id: r for r in fingerprint_edits(frame(rows)).collect()}
+    near = [got[k].near_next for k in range(len(texts) + 42, len(rows))]
+    assert sum(near) / len(near) > 0.7 and sum(got[k].near_edited for k in range(len(texts) + 1, len(rows))) / 79 > 0.2
