@@ -4,13 +4,14 @@ The lexicon holds the terms whose document frequency lies in a band.  Copies and
 copies count as one text there: of the texts that share their outermost shingles, by a hash,
 one is counted, so a text that is copied however often keeps its terms.  Every text keeps its
 distinct lexicon terms; randomised subsets of the lexicon are drawn by a hash of the
-term, and the sorted terms of a subset are hashed to one value.  A fingerprint is the list
+term, and the hashes of the terms in a subset are joined to one value by exclusive or.  A fingerprint is the list
 of these values.  Two texts are alike in the share of subsets that agree, among those in
 which either has a term.
 
 Subsets come in three densities, ``SUBSETS`` disjoint subsets of each: a 64th, a 256th and
-a 1024th of the lexicon.  The density at which the longer text has about one
-term in a subset is the one compared, so long texts are not all or nothing.
+a 1024th of the lexicon.  Those of the first cover the whole lexicon.  The density at which
+the longer text has about one term in a subset is the one compared, so long texts are not
+all or nothing; if neither text has a term there, a denser one is.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ LEAST_SHARE = 0.001
 MOST_SHARE = 0.1
 #: One subset is this part of the lexicon, per density.
 PARTS = (64, 256, 1024)
-SUBSETS = 32
+SUBSETS = 64
 #: Words in a run by which near copies are known.
 SHINGLE = 3
 #: Ranges of ids that texts are dealt to, per shuffle partition.
@@ -42,14 +43,6 @@ def _subset(level: int, term: Column | str) -> Column:
     return F.pmod(F.xxhash64(F.lit(level), term), F.lit(PARTS[level]))
 
 
-def _drawn(term: Column | str) -> Column:
-    """Whether any subset has the term; the others are never looked at."""
-    found = F.lit(False)
-    for level in range(len(PARTS)):
-        found = found | (_subset(level, term) < SUBSETS)
-    return found
-
-
 def _sketched(texts: DataFrame) -> DataFrame:
     """``text`` with ``sketch``: the least and the largest hash of its runs of ``SHINGLE`` words.
 
@@ -60,19 +53,19 @@ def _sketched(texts: DataFrame) -> DataFrame:
     run = F.transform("words", lambda w, i: F.xxhash64(w, *[F.get(F.col("words"), i + k) for k in range(1, SHINGLE)]))
     whole = F.slice(run, F.lit(1), F.greatest(F.lit(1), F.size("words") - (SHINGLE - 1)))
     runs = words.select("text", whole.alias("runs"))
-    return runs.select("text", F.coalesce(F.xxhash64(F.array_min("runs"), F.array_max("runs")), F.xxhash64("text")).alias("sketch"))
+    return runs.select("text", F.xxhash64(F.array_min("runs"), F.array_max("runs")).alias("sketch"))
 
 
 def lexicon(texts: DataFrame, least: float = LEAST_SHARE, most: float = MOST_SHARE) -> DataFrame:
     """Terms in at least ``least`` and at most ``most`` of the texts that count, and in two of
-    them at least, as far as a subset draws them.  Of texts with one sketch one counts.
+    them at least.  Of texts with one sketch one counts.
 
     It has at most (distinct terms per text, on average) / ``least`` rows, whatever the
     number of texts: a quarter of a million for texts of 250 distinct words.
     """
     once = _sketched(texts).groupBy("sketch").agg(F.max("text").alias("text"))
     # The empty word is no word: it counts the texts.
-    found = once.select(F.explode(F.array_append(F.filter(terms("text"), _drawn), "")).alias("term"))
+    found = once.select(F.explode(F.array_append(terms("text"), "")).alias("term"))
     counts = cut(found.groupBy("term").agg(F.count("*").alias("df")).where("df > 1 or term = ''"))
     row = counts.where("term = ''").first()
     rows = row["df"] if row else 0
@@ -121,14 +114,14 @@ def _subset_values(side_terms: DataFrame) -> DataFrame:
     numbered = side_terms.select("range", "n", "side", F.xxhash64("term").alias("term"), "info", F.explode(drawn).alias("d"))
     exploded = numbered.select("*", "d.level", "d.subset").drop("d")
     hashed = exploded.groupBy("range", "n", "side", "level", "subset").agg(
-        F.sort_array(F.collect_list("term")).alias("terms"), F.max("info").alias("info")
+        F.bit_xor("term").alias("x"), F.count("*").alias("size"), F.max("info").alias("info")
     )
-    value = F.xxhash64("terms").bitwiseAND(F.lit(0xFFFFFFFF))
-    values = hashed.select("*", F.struct("level", "subset", value.alias("value")).alias("v"), F.size("terms").alias("size"))
+    value = F.xxhash64("x").bitwiseAND(F.lit(0xFFFFFFFF))
+    values = hashed.select("*", F.struct("level", "subset", value.alias("value")).alias("v"))
     real = F.col("level") >= 0
     return values.groupBy("range", "n").agg(
         *[F.sort_array(F.collect_list(F.when(real & (F.col("side") == side), F.col("v")))).alias(name) for side, name in ((0, "own"), (1, "changed"))],
-        *[(F.coalesce(F.sum(F.when((F.col("level") == 0) & (F.col("side") == side), F.col("size"))), F.lit(0)) * (PARTS[0] // SUBSETS)).alias(f"n_{name}") for side, name in ((0, "own"), (1, "changed"))],
+        *[F.coalesce(F.sum(F.when((F.col("level") == 0) & (F.col("side") == side), F.col("size"))), F.lit(0)).alias(f"n_{name}") for side, name in ((0, "own"), (1, "changed"))],
         F.max("info").alias("info"),
     )
 
@@ -144,7 +137,10 @@ def _likeness(a: Column, n_a: Column, b: Column, n_b: Column) -> Column:
     level = F.lit(len(PARTS) - 1)
     for k in range(len(PARTS) - 2, -1, -1):
         level = F.when(n <= PARTS[k], F.lit(k)).otherwise(level)
-    compared = [F.filter(x, lambda v: (v["level"] == level) | (v["level"] == 9)) for x in (a, b)]
+    # The first density has all terms; a sparser one may have none of either text.
+    held = F.filter(F.concat(a, b), lambda v: v["level"] <= level)
+    level = F.array_max(F.transform(held, lambda v: v["level"]))
+    compared = [F.filter(x, lambda v: (v["level"] == F.coalesce(level, F.lit(9))) | (v["level"] == 9)) for x in (a, b)]
     places = [F.transform(x, lambda v: v["level"] * 10_000 + v["subset"]) for x in compared]
     either = F.array_size(F.array_union(*places))
     return F.coalesce(F.array_size(F.array_intersect(*compared)) / F.nullif(either, F.lit(0)), F.lit(0.0)).cast("double")
@@ -189,7 +185,6 @@ def fingerprint_edits(docs: DataFrame, least: float = LEAST_SHARE, most: float =
     )
     # The empty word is no word: it stands for the text itself and carries what is known of it.
     narrow = exploded.select("range", "n", "side", "term", F.when(F.col("term") == "", F.col("info")).alias("info"))
-    narrow = narrow.where((F.col("term") == "") | _drawn("term"))
     words = lexicon(docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")), least, most)
     known = words.unionByName(docs.sparkSession.range(1).select(F.lit("").alias("term")))
     found = _subset_values(narrow.join(F.broadcast(known), "term"))

@@ -2,7 +2,7 @@ import hashlib
 
 import pytest
 
-from slabwise.llm.fingerprints import fingerprint_edits, lexicon, terms
+from slabwise.llm.fingerprints import _likeness, fingerprint_edits, lexicon, terms
 from pyspark.sql import functions as F
 
 
@@ -66,3 +66,23 @@ def test_copies_and_near_copies_keep_their_terms(frame, prose):
     got = {r.doc_id: r for r in fingerprint_edits(frame(rows)).collect()}
     near = [got[k].near_next for k in range(len(texts) + 42, len(rows))]
     assert sum(near) / len(near) > 0.7 and sum(got[k].near_edited for k in range(len(texts) + 1, len(rows))) / 79 > 0.2
+
+
+def test_short_equal_texts_are_alike(frame):
+    rows = [(2 * i + k, " ".join(f"t{(i + j) % 50}" for j in range(1 + i % 3))) for i in range(100) for k in range(2)]
+    got = {r.doc_id: r for r in fingerprint_edits(frame(rows), least=0.0, most=1.0).collect()}
+    assert all(got[2 * i + 1].near_next == 1.0 and got[2 * i + 1].fingerprint == got[2 * i].fingerprint for i in range(100))
+
+
+def test_every_term_of_the_lexicon_is_looked_at(frame):
+    rows = [(2 * i + k, f"same words here {'x' if k else 'y'}{i}") for i in range(60) for k in range(2)]
+    rows += [(1000 + i, f"{a}{i}") for i in range(60) for a in "xy"]
+    got = {r.doc_id: r for r in fingerprint_edits(frame(rows), least=0.0, most=1.0).collect()}
+    assert all(got[2 * i + 1].near_next < 1 for i in range(60))
+
+
+def test_a_sparse_density_without_terms_gives_way(spark):
+    v = lambda level, subset: (level, subset, 7)
+    schema = "a array<struct<level int, subset bigint, value bigint>>, b array<struct<level int, subset bigint, value bigint>>, n bigint"
+    df = spark.createDataFrame([([v(0, 1), v(0, 2)], [v(0, 1), v(0, 3)], 100), ([v(0, 1), v(1, 2)], [v(0, 1), v(1, 2)], 100)], schema)
+    assert [r.x for r in df.select(_likeness(F.col("a"), F.col("n"), F.col("b"), F.col("n")).alias("x")).collect()] == [1 / 3, 1.0]
