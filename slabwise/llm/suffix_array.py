@@ -6,6 +6,8 @@ only cannot be part of a repeat and go.  Every window of ``length`` words around
 others is dealt by its hash, and each document is matched with the next lower id that has
 the same window: equal windows are a class with neighbours of its own, whatever words lie
 around them.  Matches that overlap on one diagonal of two documents are joined to one.
+Where the words beside a joined match agree, since the neighbours change within a run, the
+two texts are compared word by word and the match becomes the maximal one.
 """
 
 from __future__ import annotations
@@ -14,18 +16,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from slabwise.llm.common import NO_ID, documents, text_keys, word_count
+from slabwise.llm.common import NO_ID, cut, documents, text_keys, word_count
 from slabwise.llm.streams import SETTLED, combine, in_several
 from slabwise.llm.words import Words, minimisers, pieces, window_hashes
 
 GRAM = 13
 
 _MARKS = "key long, id long, at long, state byte"
-_WINDOWS = "key long, id long, at int"
-_MATCHES = "id long, partner long, shift int, at int"
+_WINDOWS = "key long, id long, at int, beside long"
+_MATCHES = "id long, partner long, shift int, at int, left boolean, right boolean"
+_RUNS = "id long, partner long, shift int, at int, end int"
 
 
 def _grams(gram: int, length: int):
@@ -46,7 +49,10 @@ def _grams(gram: int, length: int):
 
 
 def _windows(gram: int, length: int):
-    """Hashes of the windows of ``length`` words that hold a gram at one of the given starts."""
+    """Hashes of the windows of ``length`` words that hold a gram at one of the given starts.
+
+    ``beside`` has 32 bits each of the words before and behind, 0 where the text ends.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -65,11 +71,15 @@ def _windows(gram: int, length: int):
                 starts = starts[starts + length <= words.ends()[starts]]
                 if len(starts):
                     row = words.rows()[starts]
+                    marks = np.concatenate([hashes >> np.uint64(32) | np.uint64(1), np.zeros(1, np.uint64)])
+                    left = np.where(starts > words.first[row], marks[starts - 1], np.uint64(0))
+                    right = np.where(starts + length < words.first[row + 1], marks[starts + length], np.uint64(0))
                     yield pa.RecordBatch.from_pydict(
                         {
                             "key": window_hashes(hashes, length, starts).view(np.int64),
                             "id": batch.column("id").take(pa.array(row)),
                             "at": (starts - words.first[row]).astype(np.int32),
+                            "beside": (left << np.uint64(32) | right).view(np.int64),
                         }
                     )
 
@@ -80,10 +90,11 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows by window, id and place: each with a row of the next lower id that has the window.
 
     The k-th place in a document meets the k-th place in the other, or the last one.  Places
-    of a window's first document beyond those of the second meet the second's last.
+    of a window's first document beyond those of the second meet the second's last.  ``left`` and
+    ``right`` tell whether the words beside agree as well.
     """
 
-    def pairs(key, doc, at, opening: bool, done: bool):
+    def pairs(key, doc, at, beside, opening: bool, done: bool):
         starts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])))
         sizes = np.diff(np.append(starts, len(key)))
         follows = np.append(False, key[starts[1:]] == key[starts[:-1]])
@@ -100,14 +111,16 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows.append(np.repeat(starts[own], n) + rank)
             others.append(np.repeat(starts[other], n) + np.minimum(rank, np.repeat(sizes[other] - 1, n)))
         upper, lower = np.concatenate([rows[0], others[1]]), np.concatenate([others[0], rows[1]])
-        out = pa.RecordBatch.from_pydict({"id": doc[upper], "partner": doc[lower], "shift": at[upper] - at[lower], "at": at[upper]})
+        sides = [(beside.view(np.uint64) >> np.uint64(k)).astype(np.uint32) for k in (32, 0)]
+        left, right = ((x[upper] == x[lower]) & (x[upper] > 0) for x in sides)
+        out = pa.RecordBatch.from_pydict({"id": doc[upper], "partner": doc[lower], "shift": at[upper] - at[lower], "at": at[upper], "left": left, "right": right})
         hold = max(0, len(starts) - 2)
         return out, starts[hold], bool(first[hold])
 
     held, opening = None, True
     for batch in batches:
         if batch.num_rows:
-            columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "id", "at")]
+            columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "id", "at", "beside")]
             held = columns if held is None else [np.concatenate(x) for x in zip(held, columns, strict=True)]
             out, low, opening = pairs(*held, opening, False)
             held = [c[low:] for c in held]
@@ -117,13 +130,51 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pairs(*held, opening, True)[0]
 
 
-def _joined(matches: DataFrame) -> DataFrame:
+def _joined(matches: DataFrame, *more: Column) -> DataFrame:
     """Overlapping matches on one diagonal as one."""
     diagonal = Window.partitionBy("id", "partner", "shift").orderBy("at", "end")
     reach = F.max("end").over(diagonal.rowsBetween(Window.unboundedPreceding, -1))
     runs = matches.withColumn("opens", F.when(F.col("at") <= reach, 0).otherwise(1))
     runs = runs.withColumn("run", F.sum("opens").over(diagonal.rowsBetween(Window.unboundedPreceding, 0)))
-    return runs.groupBy("id", "partner", "shift", "run").agg(F.min("at").alias("at"), F.max("end").alias("end")).drop("run")
+    return runs.groupBy("id", "partner", "shift", "run").agg(F.min("at").alias("at"), F.max("end").alias("end"), *more).drop("run")
+
+
+def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of two texts as far as the words agree; runs that other rows of these ids hold go."""
+    for whole in batches:
+        out = []
+        for k in range(whole.num_rows):
+            row = whole.slice(k, 1)
+            words = Words(pa.concat_arrays([row.column("text"), row.column("partner_text")]))
+            hashes = words.hashes()
+            a, b = hashes[: words.first[1]], hashes[words.first[1] :]
+            ids = (row.column("id")[0].as_py(), row.column("partner")[0].as_py())
+            last = None
+            for x in sorted(row.column("runs")[0].as_py(), key=lambda x: x["shift"]):
+                shift, at, end = x["shift"], x["at"], x["end"]
+                low, high = max(0, shift), min(len(a), len(b) + shift)
+                if not low <= at < end <= high:
+                    continue
+                if shift != last:
+                    differ = low + np.flatnonzero(a[low:high] != b[low - shift : high - shift])
+                    edges, last = np.concatenate([[low - 1], differ, [high]]), shift
+                n = int(np.searchsorted(edges, at))
+                if end <= edges[n]:
+                    out.append((*ids, shift, int(edges[n - 1]) + 1, int(edges[n])))
+        if out:
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+            arrays = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, ["id", "partner", "shift", "at", "end"])
+
+
+def _maximal(runs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Runs from ``_joined`` with ``left`` and ``right``, extended where these say that more may agree."""
+    columns = ["id", "partner", "shift", "at", "end"]
+    closed, more = runs.where("not left and not right").select(columns), runs.where("left or right").select(columns)
+    pairs = more.groupBy("id", "partner").agg(F.collect_list(F.struct("shift", "at", "end")).alias("runs"))
+    others = texts.select(F.col("id").alias("partner"), F.col("text").alias("partner_text"))
+    longer = pairs.join(texts.select("id", "text"), "id").join(others, "partner").mapInArrow(_extended, _RUNS)
+    return closed.unionByName(_joined(more.unionByName(longer)))
 
 
 def suffix_array_matches(docs: DataFrame, length: int = 50, gram: int = GRAM) -> DataFrame:
@@ -132,7 +183,8 @@ def suffix_array_matches(docs: DataFrame, length: int = 50, gram: int = GRAM) ->
     Returns rows ``doc_id``, ``start``, ``n_words``, ``partner_id`` and ``partner_start``
     (in words from 0): the run of the document with the larger id and its neighbour, the
     next lower id with the same ``length`` words.  A run that many documents share is a chain
-    of neighbours, not all pairs.
+    of neighbours, not all pairs.  Every match is maximal: the words before it differ, and so
+    do the words behind it, or a text ends.
     Documents that share no such run do not appear.
 
     Of documents with equal texts the smallest id takes part; every other one is a match
@@ -154,7 +206,8 @@ def suffix_array_matches(docs: DataFrame, length: int = 50, gram: int = GRAM) ->
     starts = shared.groupBy("id").agg(F.collect_set(F.col("at").cast("int")).alias("starts"))
     windows = texts.join(starts, "id").mapInArrow(_windows(gram, length), _WINDOWS)
     pairs = windows.repartition("key").sortWithinPartitions("key", "id", "at").mapInArrow(_neighbours, _MATCHES)
-    matches = _joined(pairs.withColumn("end", F.col("at") + length))
+    ends = F.min_by("left", "at").alias("left"), F.max_by("right", "at").alias("right")
+    matches = _maximal(cut(_joined(pairs.withColumn("end", F.col("at") + length), *ends)), texts)
     found = matches.select("id", F.col("at").alias("start"), (F.col("end") - F.col("at")).alias("n_words"), "partner", (F.col("at") - F.col("shift")).alias("partner_start"))
 
     whole = rows.select("id", "h1", "h2", word_count("text").cast("int").alias("n_words")).where(F.col("n_words") >= length)

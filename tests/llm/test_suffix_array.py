@@ -93,3 +93,20 @@ def test_places_in_one_document_all_count(frame):
     got = suffix_array_matches(frame(rows), 50).collect()
     check_matches(got, rows, 50)
     assert spans(got) == brute(rows, 50)
+
+
+@pytest.mark.parametrize("n", [3, 12])
+def test_matches_of_many_documents_are_maximal(frame, n):
+    rng = random.Random(4)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passage = words(300)
+    rows = [(i, " ".join(words(5 + i) + passage[(i % 4) * 40 : 300 - (i % 3) * 30] + words(7))) for i in range(n)]
+    rows += [(100 + i, " ".join([*passage[:120], f"edit{i}", *passage[121:]])) for i in range(n)]
+    own, got = tokens(rows), suffix_array_matches(frame(rows), 50).collect()
+    check_matches(got, rows, 50)
+    assert spans(got) == brute(rows, 50)
+    assert len({(r.doc_id, r.partner_id, r.start, r.partner_start) for r in got}) == len(got)
+    for r in got:
+        a, b, ends = own[r.doc_id], own[r.partner_id], (r.start + r.n_words, r.partner_start + r.n_words)
+        assert min(r.start, r.partner_start) == 0 or a[r.start - 1] != b[r.partner_start - 1]
+        assert ends[0] == len(a) or ends[1] == len(b) or a[ends[0]] != b[ends[1]]
