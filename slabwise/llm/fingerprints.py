@@ -134,16 +134,18 @@ def _or_whole(values: Column, text_hash: Column) -> Column:
 
 def _likeness(a: Column, n_a: Column, b: Column, n_b: Column) -> Column:
     n = F.greatest(n_a, n_b)
-    level = F.lit(len(PARTS) - 1)
-    for k in range(len(PARTS) - 2, -1, -1):
-        level = F.when(n <= PARTS[k], F.lit(k)).otherwise(level)
+
+    def agreed(k: int) -> Column:
+        compared = [F.filter(x, lambda v: (v["level"] == k) | (v["level"] == 9)) for x in (a, b)]
+        places = [F.transform(x, lambda v: v["level"] * 10_000 + v["subset"]) for x in compared]
+        return F.array_size(F.array_intersect(*compared)) / F.nullif(F.array_size(F.array_union(*places)), F.lit(0))
+
     # The first density has all terms; a sparser one may have none of either text.
-    held = F.filter(F.concat(a, b), lambda v: v["level"] <= level)
-    level = F.array_max(F.transform(held, lambda v: v["level"]))
-    compared = [F.filter(x, lambda v: (v["level"] == F.coalesce(level, F.lit(9))) | (v["level"] == 9)) for x in (a, b)]
-    places = [F.transform(x, lambda v: v["level"] * 10_000 + v["subset"]) for x in compared]
-    either = F.array_size(F.array_union(*places))
-    return F.coalesce(F.array_size(F.array_intersect(*compared)) / F.nullif(either, F.lit(0)), F.lit(0.0)).cast("double")
+    ratios = [agreed(k) for k in range(len(PARTS))]
+    found = F.coalesce(*ratios[::-1])
+    for k in range(len(PARTS) - 2, -1, -1):
+        found = F.when(n <= PARTS[k], F.coalesce(*ratios[k::-1])).otherwise(found)
+    return F.coalesce(found, F.lit(0.0)).cast("double")
 
 
 def _text(values: Column) -> Column:
