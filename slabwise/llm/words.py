@@ -13,7 +13,9 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
+_BLOCK_BITS = 16
+_BLOCK = 1 << _BLOCK_BITS
 GOLDEN = 0x9E3779B97F4A7C15
 
 _IS_WORD = np.ones(256, bool)
@@ -37,19 +39,37 @@ def _base(seed: int) -> int:
 
 
 @lru_cache(maxsize=8)
-def _powers(seed: int, inverse: bool, log2: int) -> np.ndarray:
+def _block_powers(seed: int, inverse: bool) -> tuple[np.ndarray, int]:
+    """The powers 0 to ``_BLOCK`` - 1 of the base, and the next one."""
     base = pow(_base(seed), -1, 2**64) if inverse else _base(seed)
-    out = np.full(1 << log2, base, np.uint64)
+    out = np.full(_BLOCK, base, np.uint64)
     out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+    return np.cumprod(out, dtype=np.uint64), pow(base, _BLOCK, 2**64)
 
 
 def _range_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int) -> np.ndarray:
-    """A 64-bit hash of ``values[start:end]`` for every pair: polynomial prefix sums."""
-    log2 = max(10, int(len(values)).bit_length())
+    """A 64-bit hash of ``values[start:end]`` for every pair: polynomial prefix sums.
+
+    Powers come block by block, so what a worker keeps does not follow its longest text.
+    """
     total = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * _powers(seed, False, log2)[: len(values)], out=total[1:])
-    return mix((total[end] - total[start]) * _powers(seed, True, log2)[start])
+    (powers, step), (back, back_step) = _block_powers(seed, False), _block_powers(seed, True)
+    blocks = range(0, max(len(values), 1), _BLOCK)
+    factor = 1
+    for low in blocks:
+        part = values[low : low + _BLOCK]
+        np.multiply(part, powers[: len(part)], out=total[low + 1 : low + 1 + len(part)])
+        if factor != 1:
+            total[low + 1 : low + 1 + len(part)] *= np.uint64(factor)
+        factor = factor * step % 2**64
+    np.cumsum(total, out=total)
+    out = total[end]
+    out -= total[start]
+    out *= back[start & (_BLOCK - 1)]
+    if len(blocks) > 1:
+        factors = np.array([pow(back_step, k, 2**64) for k in range(len(blocks) + 1)], np.uint64)
+        out *= factors[start >> _BLOCK_BITS]
+    return mix(out)
 
 
 @lru_cache(maxsize=4)
