@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from slabwise.llm.alignment import align_tokens
 from slabwise.llm.common import table
 from slabwise.llm.exact_dedup import exact_dedup
 from slabwise.llm.line_dedup import line_dedup
 from slabwise.llm.fingerprints import fingerprint_edits
+from slabwise.llm.kneser_ney import score_texts
 from slabwise.llm.language_id import identify
+from slabwise.llm.lexical_search import lexical_search
 from slabwise.llm.mixing import mix
 from slabwise.llm.ngram_join import ngram_join
 from slabwise.llm.packing import pack
@@ -164,3 +167,79 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_array_matches(table(spark, sf_dir, "documents"), length=50)
+
+
+@_query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=10)
+
+
+SQL["op11_lexical_search"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+c AS (SELECT count(*) FILTER (len(ts) > 0) AS nn, CAST(sum(len(ts)) AS BIGINT) AS ll FROM d),
+p AS (SELECT r, doc_id, len(ts) AS n, term, count(*) AS tf FROM (SELECT r, doc_id, ts, unnest(ts) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * nn + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM p, c GROUP BY term, nn),
+i AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+s AS (
+  SELECT item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + ((90 * n * nn) // ll))))) AS BIGINT) AS score
+  FROM i JOIN w USING (term) JOIN p USING (term), c GROUP BY item_id, r, doc_id)
+SELECT * FROM (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+  FROM s WHERE score > 0) WHERE rank <= 10
+"""
+
+
+@_query
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
+#: A blank stands for the end of a text, and the empty string for what opens it; crc32 comes from its polynomial.
+SQL["op13_lm_scoring"] = r"""
+WITH crc AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+    ORDER BY i) AS t FROM (SELECT unnest(range(256)) AS i)),
+d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(xor(list_reduce(list_prepend(4294967295::BIGINT,
+      list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))),
+      lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295) % 7 = 2, false) AS held_out,
+    list_append(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x20\x09-\x0D]+'), ' ') AS ws FROM documents, crc),
+t AS (SELECT r, doc_id, held_out, unnest(list_prepend('', ws[:-2])) AS v, unnest(ws) AS w FROM d),
+u AS (SELECT w, count(*) AS c FROM t WHERE NOT held_out GROUP BY w),
+s AS (SELECT coalesce(sum(c), 0) AS nn, count(*) AS vv FROM u),
+b AS (SELECT v, w, count(*) AS c FROM t WHERE NOT held_out GROUP BY v, w),
+a AS (SELECT w, count(*) AS c FROM b GROUP BY w),
+k AS (
+  SELECT 2 AS o, count(*) FILTER (c = 1) AS n1, count(*) FILTER (c = 2) AS n2, count(*) FILTER (c = 3) AS n3, count(*) FILTER (c = 4) AS n4 FROM b
+  UNION ALL SELECT 1, count(*) FILTER (c = 1), count(*) FILTER (c = 2), count(*) FILTER (c = 3), count(*) FILTER (c = 4) FROM a),
+e AS (
+  SELECT o, 1 - 2 * y * n2 / n1 AS d1, 2 - 3 * y * n3 / n2 AS d2, 3 - 4 * y * n4 / n3 AS d3
+  FROM (SELECT *, n1 / CAST(n1 + 2 * n2 AS DOUBLE) AS y FROM k WHERE least(n1, n2, n3, n4) > 0)),
+f AS (
+  SELECT k.o, CASE WHEN ok THEN d1 ELSE 0.5 END AS d1, CASE WHEN ok THEN d2 ELSE 1.0 END AS d2, CASE WHEN ok THEN d3 ELSE 1.5 END AS d3
+  FROM k LEFT JOIN (SELECT *, d1 > 0 AND d1 <= 1 AND d2 > 0 AND d2 <= 2 AND d3 > 0 AND d3 <= 3 AS ok FROM e) x ON k.o = x.o),
+g AS (SELECT (d1 * count(*) FILTER (c = 1) + d2 * count(*) FILTER (c = 2) + d3 * count(*) FILTER (c > 2)) / sum(c) AS unseen, sum(c) AS pairs
+  FROM a, f WHERE o = 1 GROUP BY d1, d2, d3),
+q AS (SELECT w, (c - CASE c WHEN 1 THEN d1 WHEN 2 THEN d2 ELSE d3 END) / pairs + unseen / (vv + 1) AS p FROM a, f, g, s WHERE o = 1),
+h AS (SELECT v, sum(c) AS total, (d1 * count(*) FILTER (c = 1) + d2 * count(*) FILTER (c = 2) + d3 * count(*) FILTER (c > 2)) AS freed
+  FROM b, f WHERE o = 2 GROUP BY v, d1, d2, d3),
+x AS (
+  SELECT t.r, t.doc_id, t.held_out, u.c, coalesce(q.p, unseen / (vv + 1)) AS p1, h.total, h.freed,
+    coalesce(b.c - CASE b.c WHEN 1 THEN d1 WHEN 2 THEN d2 ELSE d3 END, 0) AS part
+  FROM t JOIN f ON o = 2 CROSS JOIN g CROSS JOIN s LEFT JOIN u ON u.w = t.w LEFT JOIN q ON q.w = t.w
+  LEFT JOIN h ON h.v = t.v LEFT JOIN b ON b.v = t.v AND b.w = t.w)
+SELECT doc_id, held_out, count(*) AS n_tokens, count(c) AS n_known, CAST(nn AS BIGINT) AS train_tokens,
+  round(sum(log10((coalesce(c, 0) + 1) / CAST(nn + vv + 1 AS DOUBLE))), 6) AS base_score,
+  round(sum(log10(CASE WHEN total IS NULL THEN p1 ELSE p1 * (freed / total) + part / total END)), 6) AS score
+FROM x, s GROUP BY r, doc_id, held_out, nn
+"""

@@ -152,8 +152,8 @@ def minimisers(words: Words, word_hashes: np.ndarray, gram: int, window: int) ->
     return chosen, hashes[chosen]
 
 
-def pieces(batch: pa.RecordBatch, text: str = "text", limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows with at most ``limit`` bytes of text, one row at least."""
+def pieces(batch: pa.RecordBatch, text: str = "text", limit: int = PIECE_BYTES, rows: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of at most ``rows`` rows with at most ``limit`` bytes of text, one row at least."""
     import pyarrow.compute as pc
 
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
@@ -161,6 +161,7 @@ def pieces(batch: pa.RecordBatch, text: str = "text", limit: int = PIECE_BYTES)
     while low < batch.num_rows:
         done = total[low - 1] if low else 0
         high = max(low + 1, int(np.searchsorted(total, done + limit, side="right")))
+        high = min(high, low + rows) if rows else high
         yield batch.slice(low, high - low)
         low = high
 
