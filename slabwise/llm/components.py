@@ -52,22 +52,37 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield stars()
 
 
+def _star_rounds(edges: DataFrame) -> DataFrame:
+    """Links of every node to the smallest of its component, by alternating stars."""
+    state, seen = cut(edges.where("a <> b").distinct()), None
+    while True:
+        now = state.agg(F.count("*").alias("n"), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 40))).alias("h")).first()
+        if now == seen or not now["n"]:
+            return state
+        seen = now
+        state = cut(_small_star(_large_star(state)))
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """``node`` and the smallest node of its component, for every node of ``edges(a, b)``.
 
     A link from a node to itself adds nothing; nodes without another link have no row.
-    Rounds grow with the logarithm of the longest path.  A round is a handful of joins on
-    the node, whose hot keys adaptive execution splits; only two numbers reach the driver.
+    Tasks join their links to forests, and once more where all links of a node meet: then
+    nearly every node has one link, to a root.  Only roots that are linked among themselves
+    go through the rounds of stars, whose number grows with the logarithm of the longest
+    path; only two numbers a round reach the driver.
     """
     prepare(edges.sparkSession)
     tasks = max(1, edges.sparkSession.sparkContext.defaultParallelism)
     links = edges.select("a", "b").where("a <> b").coalesce(tasks)
-    state, seen = cut(links.mapInArrow(_forest, "a long, b long").distinct()), None
-    while True:
-        state = cut(_small_star(_large_star(state)))
-        now = state.agg(F.count("*").alias("n"), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 40))).alias("h")).first()
-        if now == seen:
-            break
-        seen = now
-    roots = state.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("component"))
-    return state.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
+    met = links.mapInArrow(_forest, "a long, b long").repartition("a").mapInArrow(_forest, "a long, b long")
+    # A node has more than one link only where a task passed forests on before its end.
+    stars = met.groupBy("a").agg(F.array_sort(F.collect_set("b")).alias("bs"))
+    held = cut(stars.select("a", F.col("bs")[0].alias("b"), F.slice("bs", F.lit(2), F.size("bs")).alias("more")))
+    roots = held.select(F.col("b").alias("root")).distinct()
+    upper = held.join(roots, F.col("a") == F.col("root"), "left_semi").select("a", "b")
+    top = _star_rounds(upper.unionByName(held.select(F.explode("more").alias("a"), "b"))).toDF("root", "component")
+    found = held.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
+        roots.join(held.select("a"), F.col("a") == F.col("root"), "left_anti").select(F.col("root").alias("node"), "root")
+    )
+    return found.join(top, "root", "left").select("node", F.coalesce("component", "root").alias("component"))

@@ -388,7 +388,10 @@ def ngram_join(docs: DataFrame, size: int = 5, percent: int = 80, counters: int
     tried = cut(ordered.mapInArrow(_along(percent), _PAIR).distinct())
     sets = filled.join(classes.select(F.col("first_id").alias("id"), "s1", "s2", "n"), ["id", "s1", "s2", "n"], "left_semi").select("id", "n", "profile")
     links = cut(_verified(cut(_in_reach(tried, sets, percent)), rows, size, percent))
-    settled = connected_components(links)
+    # A class is known by its first id; an id with several texts links their classes.
+    first = members.groupBy("id").agg(F.min("first_id").alias("rep"))
+    same = members.join(first, "id").where("first_id <> rep").select(F.col("first_id").alias("a"), F.col("rep").alias("b"))
+    settled = cut(connected_components(links.unionByName(same)))
 
     comp = F.coalesce("component", "id").alias("comp")
     labelled = postings.join(settled.withColumnRenamed("node", "id"), "id", "left").select("token", "id", "n", "pos", "c", comp)
@@ -404,13 +407,17 @@ def ngram_join(docs: DataFrame, size: int = 5, percent: int = 80, counters: int
     open_pairs = dealt.mapInArrow(_cells(percent), _PAIR).distinct().join(tried, ["a", "b"], "left_anti")
     more = _verified(cut(_in_reach(open_pairs, sets, percent)), rows, size, percent)
 
-    chains = settled.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    final = connected_components(chains.unionByName(more).unionByName(members.where("id <> first_id").toDF("a", "b")))
-    found = signed.join(final.withColumnRenamed("node", "id"), "id", "left")
+    # What round two finds links whole components; the rest keeps the one it has.
+    for side in ("a", "b"):
+        known = settled.select(F.col("node").alias(side), F.col("component").alias("c"))
+        more = more.join(known, side, "left").withColumn(side, F.coalesce("c", side)).drop("c")
+    top = connected_components(more).select(F.col("node").alias("component"), F.col("component").alias("top"))
+    by_rep = signed.join(first, "id", "left").withColumn("node", F.coalesce("rep", "id"))
+    found = by_rep.join(settled, "node", "left").withColumn("component", F.coalesce("component", "node")).join(top, "component", "left")
     return found.select(
         F.nullif("id", F.lit(NO_ID)).alias("doc_id"),
         F.col("n").alias("n_shingles"),
-        F.nullif(F.coalesce("component", "id"), F.lit(NO_ID)).alias("component_id"),
+        F.nullif(F.coalesce("top", "component"), F.lit(NO_ID)).alias("component_id"),
     )
 
 
