@@ -8,8 +8,10 @@
    shingles that only one document has are dropped: they meet nothing.
 4. Round one tries, along each posting list, every document with the one before and with
    the first.  This settles groups of near copies in linear work.
-5. Round two tries all pairs of a posting list whose sides are not connected yet, within
-   cells of a bounded number of rows, under the length and the positional filter.
+5. Round two tries, along each posting list, the document with most links so far with all
+   that are not connected to it: copies of one text are closer to it than to each other.
+   Round three tries all pairs of a posting list whose sides are still not connected, within
+   cells of a bounded number of rows, under the length, the positional and the suffix filter.
 6. Candidates, each pair once, pass the suffix filter by the profiles of their sets; those
    left meet their texts and are verified.
 
@@ -32,7 +34,7 @@ from slabwise.llm.words import Words, mix, pieces, window_hashes
 #: Counters of the frequency table (one byte each where it is used), and its parts.
 COUNTERS = 1 << 23
 SEGMENTS = 64
-#: Rows of one block of a posting list in round two; pairs of blocks are cells.
+#: Rows of one block of a posting list in round three; pairs of blocks are cells.
 BLOCK = 4096
 #: Partners that one copy of a document is verified against.
 PARTNERS = 256
@@ -225,12 +227,41 @@ def _along(percent: int):
     return run
 
 
+def _to_hubs(percent: int):
+    """Rows sorted by shingle, the hub of each list first: the hub with all not connected to it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, hub = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            token, *rest = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("token", "id", "n", "pos", "comp"))
+            rows = np.stack(rest)
+            new = np.append(token[0] != last, token[1:] != token[:-1])
+            heads = np.concatenate([(rows[:, 0] if hub is None else hub)[:, None], rows[:, new]], axis=1)
+            first = heads[:, np.cumsum(new)]
+            use = (first[3] != rows[3]) & _possible(first[1], first[2], rows[1], rows[2], percent)
+            last, hub = token[-1], first[:, -1].copy()
+            yield _pairs(first[0][use], rows[0][use])
+
+    return run
+
+
+def _profile_rows(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, PROFILE).astype(np.int16)
+
+
+def _suffixes_fit(x: np.ndarray, y: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs whose profiles leave the threshold in reach; ``n`` is the sum of both sizes."""
+    return np.abs(x - y).sum(axis=1, dtype=np.int64) <= n - 2 * -(-(percent * n) // (100 + percent))
+
+
 def _cells(percent: int):
     """One cell at a time: pairs of its two sides (or within its one) that are not connected yet."""
 
     names = ("token", "left", "right", "own", "comp", "id", "n", "pos")
 
-    def cell(rows: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    def cell(rows: np.ndarray, profiles: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         _, left, right, own, comp, ids, n, pos = rows
         if (comp == comp[0]).all():
             return []
@@ -243,21 +274,24 @@ def _cells(percent: int):
             ok = (comp != comp[i]) & _possible(n, pos, n[i], pos[i], percent)
             if not one:
                 ok &= own != own[i]
-            if ok.any():
-                found.append((ids[ok], np.full(int(ok.sum()), ids[i])))
+            near = np.flatnonzero(ok)
+            near = near[_suffixes_fit(profiles[near], profiles[i], n[near] + n[i], percent)]
+            if len(near):
+                found.append((ids[near], np.full(len(near), ids[i])))
         return found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((len(names), 0), np.int64)
+        held, kept = np.zeros((len(names), 0), np.int64), np.zeros((0, PROFILE), np.int16)
         for batch in batches:
             rows = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in names])
             rows = np.concatenate([held, rows], axis=1)
+            profiles = np.concatenate([kept, _profile_rows(batch.column("profile"))])
             starts = np.flatnonzero(np.append(True, (rows[:3, 1:] != rows[:3, :-1]).any(axis=0))) if rows.shape[1] else np.zeros(1, np.int64)
-            found = [x for low, high in zip(starts, starts[1:], strict=False) for x in cell(rows[:, low:high])]
-            held = rows[:, starts[-1] :]
+            found = [x for low, high in zip(starts, starts[1:], strict=False) for x in cell(rows[:, low:high], profiles[low:high])]
+            held, kept = rows[:, starts[-1] :], profiles[starts[-1] :]
             if found:
                 yield _pairs(np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found]))
-        if held.shape[1] and (found := cell(held)):
+        if held.shape[1] and (found := cell(held, kept)):
             yield _pairs(np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found]))
 
     return run
@@ -303,10 +337,8 @@ def _suffix_filter(percent: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, PROFILE).astype(np.int64) for c in ("x", "y"))
             n = sum(batch.column(c).to_numpy(zero_copy_only=False) for c in ("n", "m"))
-            need = -(-(percent * n) // (100 + percent))
-            keep = np.abs(x - y).sum(axis=1) <= n - 2 * need
+            keep = _suffixes_fit(_profile_rows(batch.column("x")), _profile_rows(batch.column("y")), n, percent)
             if keep.any():
                 yield batch.select(["a", "b"]).filter(pa.array(keep))
 
@@ -380,7 +412,7 @@ def ngram_join(docs: DataFrame, size: int = 5, percent: int = 80, counters: int
     listed = F.count("*").over(Window.partitionBy("token")).cast("int")
     shared = prefix.withColumn("c", listed).where("c > 1")
     members = filled.join(classes, ["s1", "s2", "n"]).select("id", "first_id").distinct()
-    # c counts copies of other tasks too; it only bounds the blocks of round two.
+    # c counts copies of other tasks too; it only bounds the blocks of round three.
     standing = shared.join(members, "id").groupBy("token", F.col("first_id").alias("id"), "n").agg(F.min("pos").alias("pos"), F.max("c").alias("c"))
     postings = cut(standing)
 
@@ -393,21 +425,33 @@ def ngram_join(docs: DataFrame, size: int = 5, percent: int = 80, counters: int
     same = members.join(first, "id").where("first_id <> rep").select(F.col("first_id").alias("a"), F.col("rep").alias("b"))
     settled = cut(connected_components(links.unionByName(same)))
 
-    comp = F.coalesce("component", "id").alias("comp")
-    labelled = postings.join(settled.withColumnRenamed("node", "id"), "id", "left").select("token", "id", "n", "pos", "c", comp)
+    def labels(components: DataFrame) -> DataFrame:
+        """Postings with their components, without the lists that are connected already."""
+        comp = F.coalesce("component", "id").alias("comp")
+        return postings.join(components.withColumnRenamed("node", "id"), "id", "left").select("token", "id", "n", "pos", "c", comp)
+
+    degrees = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("degree"))
+    ranked = labels(settled).join(degrees, "id", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
+    led = ranked.repartition("token").sortWithinPartitions("token", F.desc("degree"), "id")
+    hubs = cut(led.mapInArrow(_to_hubs(percent), _PAIR).distinct().join(tried, ["a", "b"], "left_anti"))
+    hub_links = _verified(cut(_in_reach(hubs, sets, percent)), rows, size, percent)
+    settled = cut(connected_components(links.unionByName(same).unionByName(hub_links)))
+    tried = tried.unionByName(hubs)
+    labelled = labels(settled)
     mixed = labelled.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
     blocks = F.ceil(F.col("c") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
     cells = (
         labelled.join(mixed, "token", "left_semi")
+        .join(sets.select("id", "profile"), "id")
         .select("*", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-        .select("token", "id", "n", "pos", "comp", "own", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"))
+        .select("token", "id", "n", "pos", "comp", "profile", "own", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"))
     )
     dealt = cells.repartition("token", "left", "right").sortWithinPartitions("token", "left", "right")
     open_pairs = dealt.mapInArrow(_cells(percent), _PAIR).distinct().join(tried, ["a", "b"], "left_anti")
-    more = _verified(cut(_in_reach(open_pairs, sets, percent)), rows, size, percent)
+    more = _verified(cut(open_pairs), rows, size, percent)
 
-    # What round two finds links whole components; the rest keeps the one it has.
+    # What round three finds links whole components; the rest keeps the one it has.
     for side in ("a", "b"):
         known = settled.select(F.col("node").alias(side), F.col("component").alias("c"))
         more = more.join(known, side, "left").withColumn(side, F.coalesce("c", side)).drop("c")
