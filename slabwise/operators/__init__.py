@@ -11,6 +11,7 @@ from slabwise.operators.chunks import (
     slab_grid,
 )
 from slabwise.operators.dump import array_ddl, dump_frames, dump_records, show_schema, write_lines
+from slabwise.operators.pack import pack_frames, pack_slabs
 from slabwise.operators.query import (
     avg_all,
     count_cells,
@@ -27,8 +28,6 @@ from slabwise.operators.restructure import (
     flatten_compound,
     name_attrs,
     name_dims,
-    pack_frames,
-    pack_slabs,
     redistribute,
     scalar_array,
     split_attrs,

@@ -6,8 +6,8 @@ from math import prod
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from slabwise.functions.coords import delinearize, linearize, slab_cell_count, slab_number, slab_origin
-from slabwise.schema import ArrayError, ArraySchema, BadBounds
+from slabwise.functions.coords import delinearize
+from slabwise.schema import ArrayError, BadBounds
 
 
 def unroll(
@@ -141,112 +141,6 @@ def scalar_array(df: DataFrame, dim: str = "unnamed0") -> DataFrame:
     return df.select(F.lit(0).cast("bigint").alias(dim), *df.columns)
 
 
-def pack_slabs(cells: DataFrame, schema: ArraySchema, checked: bool = True) -> DataFrame:
-    """Cells to slabs: one row-major value list per (slab, attribute).
-
-    A slab has exactly as many cells as its clipped chunk.  ``checked`` enforces
-    that for any input: cells are first counted per slab (one row per slab and
-    task travels), and a slab with more or fewer cells than coordinates fails the
-    job by name before anything is collected, so a coordinate repeated without
-    end never piles up and a missing cell never shifts the others.  Repeats
-    within the bound are found on the packed list.  A coordinate that is null,
-    negative or behind the box fails by its own name.  Slabs without any cell are
-    no rows.  Where the counts are too many to broadcast, the join on the slab
-    origin is also the exchange that packing needs.
-
-    Pass ``checked=False`` only for cells that a scan or ``unroll`` made.
-    """
-    dims, shape, chunks = schema.dim_names, schema.shape, schema.chunks
-    origins = [f"origin_{d}" for d in dims]
-    if checked:
-        cells = _inside(cells, dims, shape)
-    placed = cells.select(
-        *[slab_origin(F.col(d), c).alias(o) for d, c, o in zip(dims, chunks, origins)],
-        linearize([F.col(d) for d in dims], shape).alias("_lin"),
-        *schema.attr_names,
-    )
-    room = slab_cell_count([F.col(o) for o in origins], shape, chunks)
-    packed = _collect_ordered(placed, origins, schema.attr_names, room if checked else None)
-    return _slab_rows(packed, schema, [F.col("_cells").getField(a).alias(a) for a in schema.attr_names])
-
-
-def pack_frames(frames: DataFrame, values: str, schema: ArraySchema, checked: bool = True) -> DataFrame:
-    """One-row-per-frame arrays to slabs of several frames.
-
-    The first dimension of ``schema`` numbers the frames, the others lie inside
-    ``values``.  Frames stay arrays all the way: next to packing cells, one row
-    and one coordinate travel per frame instead of per cell.  ``checked`` refuses,
-    each by name, frames outside the box, null or of another length, repeated or
-    missing in a slab.
-    """
-    outer, *inside = schema.dims
-    if any(d.step != d.size for d in inside):
-        raise BadBounds("inside dimensions are never split")
-    origin = f"origin_{outer.name}"
-    if checked:
-        length = prod(d.size for d in inside)
-        wrong = F.concat(F.lit(f"{values} does not have {length} values in frame "), F.col(outer.name).cast("string"))
-        right = F.coalesce(F.size(values) == length, F.lit(False))
-        frames = _inside(frames, [outer.name], [outer.size]).withColumn(values, F.when(right, F.col(values)).otherwise(F.raise_error(wrong)))
-    placed = frames.select(
-        slab_origin(F.col(outer.name), outer.step).alias(origin),
-        F.col(outer.name).cast("bigint").alias("_lin"),
-        F.col(values),
-    )
-    room = slab_cell_count([F.col(origin)], [outer.size], [outer.step])
-    packed = _collect_ordered(placed, [origin], [values], room if checked else None)
-    for dim in inside:
-        packed = packed.withColumn(f"origin_{dim.name}", F.lit(0).cast("bigint"))
-    flat = F.flatten(F.col("_cells").getField(values)).alias(schema.attr_names[0])
-    return _slab_rows(packed, schema, [flat])
-
-
-def _inside(rows: DataFrame, dims: list[str], shape) -> DataFrame:
-    """The same rows; a coordinate outside the box fails by name."""
-    checked = {}
-    for dim, size in zip(dims, shape, strict=True):
-        shown = F.coalesce(F.col(dim).cast("string"), F.lit("null"))
-        outside = F.raise_error(F.concat(F.lit(f"{dim} outside 0..{size - 1}: "), shown))
-        checked[dim] = F.when(F.coalesce(F.col(dim).between(0, size - 1), F.lit(False)), F.col(dim)).otherwise(outside)
-    return rows.withColumns(checked)
-
-
-def _collect_ordered(placed: DataFrame, origins: list[str], payload: list[str], room) -> DataFrame:
-    """``_cells`` per slab in ``_lin`` order; ``room`` is its size if given."""
-    label = F.concat_ws(",", *[F.col(o).cast("string") for o in origins])
-    ordered = F.array_sort(F.collect_list(F.struct("_lin", *payload)))
-    if room is None:
-        return placed.groupBy(*origins).agg(ordered.alias("_cells"))
-    overfull = F.raise_error(F.concat(F.lit("duplicate cells: too many in slab "), label))
-    counts = placed.groupBy(*origins).agg(F.count(F.lit(1)).alias("_n"))
-    short = F.raise_error(F.concat(F.lit("missing cells: too few in slab "), label))
-    exact = F.when(F.col("_n") == room, F.col("_n")).when(F.col("_n") < room, short).otherwise(overfull)
-    counts = counts.select(*origins, exact.alias("_room"))
-    grouped = (
-        placed.join(counts, origins)
-        .groupBy(*origins)
-        .agg(ordered.alias("_cells"), F.max("_room").alias("_room"))
-    )
-    # The count is read here so that its check cannot be optimised away.
-    single = F.size(F.array_distinct(F.col("_cells._lin"))) == F.col("_room")
-    repeated = F.raise_error(F.concat(F.lit("duplicate cells: repeated in slab "), label))
-    return grouped.withColumn("_cells", F.when(single, F.col("_cells")).otherwise(repeated))
-
-
-def _slab_rows(packed: DataFrame, schema: ArraySchema, values: list) -> DataFrame:
-    """Slab layout: number, origins, clipped last coordinates and value lists."""
-    origins = [F.col(f"origin_{d}") for d in schema.dim_names]
-    lasts = [
-        F.least(o + d.step, F.lit(d.size).cast("bigint")) - 1 for o, d in zip(origins, schema.dims)
-    ]
-    return packed.select(
-        slab_number(origins, schema.shape, schema.chunks).alias("slab_no"),
-        *origins,
-        *[last.alias(f"last_{d}") for last, d in zip(lasts, schema.dim_names)],
-        *values,
-    )
-
-
 def unpack_slabs(slabs: DataFrame, dims: list[str], attrs: list[str], keep: list[str] | None = None) -> DataFrame:
     """Slabs back to cells, with the columns ``keep`` repeated.
 
