@@ -28,6 +28,11 @@ def file_system(path: str) -> tuple[fs.FileSystem, str]:
     return system, inner
 
 
+def is_file(path: str) -> bool:
+    system, inner = file_system(path)
+    return system.get_file_info(inner).type == fs.FileType.File
+
+
 def list_paths(path: str, suffixes: tuple[str, ...]) -> list[tuple[str, int]]:
     """``(path, size)`` of a file, of a glob in the last path part, or of a folder."""
     system, inner = file_system(path)

@@ -3,11 +3,14 @@
     register(spark)
     spark.read.format("hdf5_array").option("dataset", "/run/image").load(folder)
 
-The driver lists files and reads one header for the schema.  Large files are cut
-into numbered splits and small ones share a task; a task opens its files, works
-out the slabs of its splits from the headers and reads only their bytes, so
-headers, data and decoding are all spread over the executors.  A listing too
-long for the driver goes through ``scan_listed``.
+The driver reads one header for the schema, whatever the number of files.
+``load_*`` of a folder is two stages: tasks open the headers of the listed files
+and make a table of splits (numbered ranges of a large file's slabs, or several
+small files), and that table is dealt evenly to the tasks that read.  Each opens
+its files, works out the slabs of its splits and reads only their bytes, so
+headers, data and decoding are all spread over the executors.
+``spark.read.format`` must name its tasks on the driver, so it cuts large files
+by their length alone there; tasks find out which slabs that is.
 
 ``spark.readStream.format("hdf5_array")`` follows one file whose dataset grows.
 
@@ -19,7 +22,6 @@ comma-separated inclusive bounds in dimension order, ``*`` for open;
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from math import prod
 
@@ -39,18 +41,18 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from slabwise.functions.coords import integer_div
+from slabwise.functions.types import SPARK_TYPES
 from slabwise.operators.restructure import unpack_slabs
 from slabwise.schema import ArrayError, ArraySchema, BadBounds
 from slabwise.session import ship_package, task_count
-from slabwise.sources.files import RangedFile, list_paths
+from slabwise.sources.files import RangedFile, is_file, list_paths
 from slabwise.sources.fits import FitsImage
 from slabwise.sources.hdf5 import Hdf5Dataset
 
 SPLIT_BYTES = 64 * 1024 * 1024
 OPEN_COST = 4 * 1024 * 1024  # bytes one could read while a file is opened
 BATCH_CELLS = 256 * 1024
-HEADER_THREADS = 32
+HEADERS_PER_TASK = 16  # files whose headers one planning task opens, about
 FORMATS = {"fits_image": FitsImage, "hdf5_array": Hdf5Dataset}
 PUSHDOWN_CONF = "spark.sql.python.filterPushdown.enabled"
 
@@ -232,46 +234,52 @@ class ArrayReader(DataSourceReader):
             yield from read_split(self.form, path, part, parts, self.options, partition.extra)
 
 
-def plan_splits(form: str, paths: list[tuple[str, int]], options: dict, extra=()) -> list[Splits]:
-    """Tasks of about equal bytes: large files in parts, small files together.
-
-    Parts of a file larger than a split come from its header, however many such
-    files there are: the headers are read side by side.  Small files are not opened.
-    """
+def parts_of_file(form: str, path: str, size: int, options: dict, extra=()) -> int:
+    """Into how many splits a file is cut, from its header; 0 if nothing of it is wanted."""
     target = int(options.get("splitbytes", SPLIT_BYTES))
-
-    def parts_of(item: tuple[str, int]) -> int:
-        path, size = item
-        if size <= target:
-            return 1
-        with RangedFile(path) as file:
-            array = FORMATS[form](file, options)
-            window = _window(array, options, extra)
-            if window is None:
-                return 0
-            low, high, _, counts = window
-            data = prod(b - a + 1 for a, b in zip(low, high)) * array.record.itemsize
-            return max(1, min(-(-size // target), prod(counts), -(-data // target)))
-
-    tasks, shared, filled = [], [], 0
-    with ThreadPoolExecutor(HEADER_THREADS) as pool:
-        sized = list(zip(paths, pool.map(parts_of, paths), strict=True))
-    for (path, size), parts in sized:
-        if not parts:
-            continue
+    if size <= target:
+        return 1
+    with RangedFile(path) as file:
+        array = FORMATS[form](file, options)
+        window = _window(array, options, extra)
+        if window is None:
+            return 0
+        low, high, _, counts = window
+        data = prod(b - a + 1 for a, b in zip(low, high)) * array.record.itemsize
+        return max(1, min(-(-size // target), prod(counts), -(-data // target)))
+
+
+def group_pieces(sized, target: int):
+    """Lists of ``(path, part, parts)`` of about ``target`` bytes each, from ``(path, size, parts)``."""
+    shared, filled = [], 0
+    for path, size, parts in sized:
         if parts > 1:
-            tasks += [[(path, i, parts)] for i in range(parts)]
+            yield from ([(path, i, parts)] for i in range(parts))
+        if parts != 1:
             continue
         cost = size + min(OPEN_COST, target)
         if shared and filled + cost > target:
-            tasks.append(shared)
+            yield shared
             shared, filled = [], 0
         shared.append((path, 0, 1))
         filled += cost
     if shared:
-        tasks.append(shared)
+        yield shared
+
+
+def plan_splits(form: str, paths: list[tuple[str, int]], options: dict, extra=()) -> list[Splits]:
+    """Tasks of about equal bytes, made on the driver: large files in parts, small files together.
+
+    The header of a single file says how much of it is wanted.  Of several files only the
+    lengths count: no header is opened here, and a task may find that its part has no slab.
+    """
+    target = int(options.get("splitbytes", SPLIT_BYTES))
+    if len(paths) == 1:
+        sized = [(*paths[0], parts_of_file(form, *paths[0], options, extra))]
+    else:
+        sized = [(path, size, max(1, -(-size // target))) for path, size in paths]
     # Spark would read an empty plan as one unnamed task, so it gets one with no work.
-    return [Splits(pieces, list(extra)) for pieces in tasks or [[]]]
+    return [Splits(pieces, list(extra)) for pieces in list(group_pieces(sized, target)) or [[]]]
 
 
 class GrowingReader(DataSourceStreamReader):
@@ -423,13 +431,44 @@ def _through_slabs(form: str, options: dict) -> bool:
 
 
 def _load_cells(spark: SparkSession, form: str, path: str, options: dict) -> DataFrame:
-    names = options.get("columns", "")
-    probe = {**options, "path": path, "columns": names if isinstance(names, str) else ",".join(names)}
-    if options.get("layout", "cells") != "cells" or not _through_slabs(form, probe):
+    if not is_file(path):
+        return _load_folder(spark, form, path, options)
+    given = _texts({**options, "path": path})
+    if options.get("layout", "cells") != "cells" or not _through_slabs(form, given):
         return _load(spark, form, path, options)
     return _cells(_load(spark, form, path, {**options, "layout": "slabs"}), form)
 
 
+def _texts(options: dict) -> dict[str, str]:
+    """Options as a data source gets them: small names, all values texts."""
+
+    def text(value) -> str:
+        if isinstance(value, (list, tuple)):
+            return ",".join("*" if v is None else str(v) for v in value)
+        return str(value).lower() if isinstance(value, bool) else str(value)
+
+    return {k.lower(): text(v) for k, v in options.items() if v is not None}
+
+
+def listed_files(spark: SparkSession, path: str, form: str) -> DataFrame:
+    """``(path, length)`` of the files of a folder or a glob, by Spark's own listing."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
+    if any(c in path.rstrip("/").rpartition("/")[2] for c in "*?[{"):
+        return files
+    return files.where(F.lower(F.substring_index("path", "/", -1)).rlike("(" + "|".join(s.replace(".", "[.]") for s in FORMATS[form].suffixes) + ")$"))
+
+
+def _load_folder(spark: SparkSession, form: str, path: str, options: dict) -> DataFrame:
+    files, given = listed_files(spark, path, form), _texts(options)
+    target = int(given.get("splitbytes", SPLIT_BYTES))
+    cost = F.col("length") + min(OPEN_COST, target)
+    found = files.agg(F.min("path").alias("sample"), F.sum(cost).alias("bytes"), F.count(F.lit(1)).alias("files")).first()
+    if not found["files"]:
+        raise FileNotFoundError(path)
+    tasks = max(1, -(-found["bytes"] // target))
+    return _planned(files, form, found["sample"], given, tasks, -(-found["files"] // HEADERS_PER_TASK))
+
+
 def load_fits(spark: SparkSession, path: str, hdu: int = 0, **options) -> DataFrame:
     """One image unit of a FITS file, or of all FITS files of a folder."""
     return _load_cells(spark, "fits_image", path, {"hdu": hdu, **options})
@@ -464,29 +503,66 @@ def describe_slabs(form: str, path: str, options: dict) -> ArraySchema:
     return probe(form, {**options, "path": path}, described)
 
 
-def scan_listed(files: DataFrame, form: str, sample: str, options: dict) -> DataFrame:
-    """Cells of the files of a ``(path, length)`` DataFrame, batch or stream.
+_SPLITS = "pieces array<struct<path: string, part: bigint, parts: bigint>>"
 
-    ``sample`` is a file or folder whose first header gives the schema.  Large
-    files become many rows before the shuffle, one per split.
-    """
+
+def _planned(files: DataFrame, form: str, sample: str | None, options: dict, tasks: int, header_tasks: int, cells: StructType | None = None) -> DataFrame:
+    """Cells (or slabs) of listed files: a stage that plans, then one that reads."""
     ship_package(files.sparkSession)
-    options = {k.lower(): str(v) for k, v in options.items()}
-    slabs = _through_slabs(form, {**options, "path": sample})
-    options.update(withpath="true", layout="slabs" if slabs else "cells")
-    schema = file_columns(form, {**options, "path": sample})
+    through = options.get("layout", "cells") == "cells" and (_is_one(cells) if cells else _through_slabs(form, {**options, "path": sample}))
+    options = {**options, "layout": "slabs"} if through else options
+    schema = _given_columns(cells, options) if cells else file_columns(form, {**options, "path": sample})
     target = int(options.get("splitbytes", SPLIT_BYTES))
-    zero = F.lit(0).cast("bigint")
-    parts = F.greatest(integer_div(F.col("length") + (target - 1), target), zero + 1)
-    splits = files.select("path", parts.alias("parts")).select(
-        "path", "parts", F.explode(F.sequence(zero, F.col("parts") - 1)).alias("part")
-    )
+
+    def plan(batches):
+        for batch in batches:
+            sizes = zip(batch.column("path").to_pylist(), batch.column("length").to_pylist())
+            sized = ((path, size, parts_of_file(form, path, size, options)) for path, size in sizes)
+            names = ("path", "part", "parts")
+            rows = [{"pieces": [dict(zip(names, p, strict=True)) for p in pieces]} for pieces in group_pieces(sized, target)]
+            if rows:
+                kind = pa.struct([("path", pa.string()), ("part", pa.int64()), ("parts", pa.int64())])
+                yield pa.RecordBatch.from_pylist(rows, pa.schema([("pieces", pa.list_(kind))]))
 
     def read(batches):
         for batch in batches:
-            for row in batch.to_pylist():
-                yield from read_split(form, row["path"], row["part"], row["parts"], options)
+            for pieces in batch.column("pieces").to_pylist():
+                for piece in pieces:
+                    yield from read_split(form, piece["path"], piece["part"], piece["parts"], options)
+
+    spread = files.repartition(header_tasks, "path") if header_tasks > 1 else files.coalesce(1)
+    # Rows of the table of splits stand for about the same bytes, so they are dealt in turn.
+    scanned = spread.mapInArrow(plan, _SPLITS).repartition(tasks).mapInArrow(read, schema)
+    return _cells(scanned, form) if through else scanned
+
+
+def _is_one(cells: StructType) -> bool:
+    return sum("dim" not in f.metadata for f in cells.fields) == 1
 
-    spread = splits.repartition(task_count(files.sparkSession), "path", "part")
-    scanned = spread.mapInArrow(read, schema)
-    return _cells(scanned, form) if slabs else scanned
+
+def cell_columns(schema: ArraySchema) -> StructType:
+    """Columns of the cells of a described array, for scans without a file to look at."""
+    fields = [StructField(d, LongType(), False, {"dim": True}) for d in schema.dim_names]
+    return StructType(fields + [StructField(a.name, SPARK_TYPES[a.type][0], True) for a in schema.attrs])
+
+
+def _given_columns(cells: StructType, options: dict) -> StructType:
+    """The columns of a scan, as ``spark_schema`` has them, from those of its cells."""
+    dims = [f.name for f in cells.fields if "dim" in f.metadata]
+    slabs = options.get("layout", "cells") == "slabs"
+    heads = ["slab_no", *[f"origin_{d}" for d in dims], *[f"last_{d}" for d in dims]] if slabs else dims
+    fields = [StructField(h, LongType(), False) for h in heads]
+    fields += [StructField(f.name, ArrayType(f.dataType) if slabs else f.dataType, True) for f in cells.fields if f.name not in dims]
+    return StructType(fields + [StructField("source_path", StringType(), False)] * (options.get("withpath") == "true"))
+
+
+def scan_listed(files: DataFrame, form: str, sample: str | None, options: dict, schema: ArraySchema | None = None) -> DataFrame:
+    """Cells of the files of a ``(path, length)`` DataFrame, batch or stream.
+
+    The columns are those of ``schema``, or of the first header of ``sample`` (a file or a
+    folder).  With ``schema`` no file needs to be there yet.  Large files become many rows
+    before the shuffle, one per split.
+    """
+    given = {**_texts(options), "withpath": "true"}
+    tasks = task_count(files.sparkSession)
+    return _planned(files, form, sample, given, tasks, tasks, cell_columns(schema) if schema else None)

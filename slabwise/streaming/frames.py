@@ -6,26 +6,36 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from slabwise.sources.scan import register, scan_listed
+from slabwise.schema import ArraySchema
+from slabwise.sources.scan import FORMATS, register, scan_listed
 
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def _stream_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+def _stream_files(spark: SparkSession, folder: str, pattern: str, max_files: int | None) -> DataFrame:
     """Paths and sizes of files as they appear; contents are not read."""
-    return (
-        spark.readStream.format("binaryFile")
-        .schema(BINARY_FILE)
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", "true")
-        .load(folder)
-        .select("path", "length")
-    )
+    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE).option("recursiveFileLookup", "true")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.option("pathGlobFilter", pattern).load(folder).select("path", "length")
+
+
+def any_suffix(form: str) -> str:
+    """A glob of the suffixes that batch scans read, in small or capital letters."""
+    return "*{" + ",".join(x for s in FORMATS[form].suffixes for x in (s, s.upper())) + "}"
 
 
-def scan_stream(spark: SparkSession, folder: str, form: str, pattern: str, options: dict) -> DataFrame:
-    """Cells of every new file, decoded split by split on the executors."""
-    return scan_listed(_stream_files(spark, folder, pattern), form, folder, options)
+def scan_stream(
+    spark: SparkSession, folder: str, form: str, pattern: str | None, options: dict,
+    schema: ArraySchema | None = None, max_files: int | None = None,
+) -> DataFrame:
+    """Cells of every new file, decoded split by split on the executors.
+
+    With ``schema`` the folder may still be empty; otherwise the first file there gives the
+    columns.  ``max_files`` bounds the files of one batch.
+    """
+    files = _stream_files(spark, folder, pattern or any_suffix(form), max_files)
+    return scan_listed(files, form, folder, options, schema)
 
 
 def follow_hdf5(spark: SparkSession, path: str, dataset: str) -> DataFrame:
@@ -41,23 +51,25 @@ def _start(frames: DataFrame, target: str, checkpoint: str, trigger: dict | None
 
 def ingest_fits(
     spark: SparkSession, folder: str, target: str, checkpoint: str, hdu: int = 0,
-    pattern: str = "*.fits", trigger: dict | None = None, **options,
+    pattern: str | None = None, trigger: dict | None = None, schema: ArraySchema | None = None,
+    max_files: int | None = None, **options,
 ) -> StreamingQuery:
     """Append the cells of every new FITS file to a stored array.
 
     The file log of the checkpoint makes each file count once, also after a
     restart.  The default trigger takes what is there and stops.
     """
-    cells = scan_stream(spark, folder, "fits_image", pattern, {"hdu": hdu, **options})
+    cells = scan_stream(spark, folder, "fits_image", pattern, {"hdu": hdu, **options}, schema, max_files)
     return _start(cells, target, checkpoint, trigger)
 
 
 def ingest_hdf5(
     spark: SparkSession, folder: str, target: str, checkpoint: str, dataset: str,
-    pattern: str = "*.h5", trigger: dict | None = None, **options,
+    pattern: str | None = None, trigger: dict | None = None, schema: ArraySchema | None = None,
+    max_files: int | None = None, **options,
 ) -> StreamingQuery:
     """The same for one dataset of every new HDF5 file."""
-    cells = scan_stream(spark, folder, "hdf5_array", pattern, {"dataset": dataset, **options})
+    cells = scan_stream(spark, folder, "hdf5_array", pattern, {"dataset": dataset, **options}, schema, max_files)
     return _start(cells, target, checkpoint, trigger)
 
 

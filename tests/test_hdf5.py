@@ -372,7 +372,41 @@ def test_a_large_user_block_and_more_files_than_threads(spark, tmp_path):
         folder.mkdir()
         for n in range(count):
             (folder / f"{n:03}.h5").write_bytes(body + bytes(1 << 16))
-        assert len(plan_splits("hdf5_array", list_paths(str(folder), (".h5",)), {"dataset": "/x", "splitbytes": 1000})) == count
+        opened = []
+
+        def header(self, path, *rest, first=RangedFile.__init__):
+            opened.append(path)
+            first(self, path, *rest)
+
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(RangedFile, "__init__", header)
+            cells = load_hdf5(spark, str(folder), "/x", splitBytes=1000, withPath=True)
+            by_length = plan_splits("hdf5_array", list_paths(str(folder), (".h5",)), {"dataset": "/x", "splitbytes": 1000})
+        # The driver opens files for the columns only, and the same one however many there are.
+        assert len(set(opened)) == 1 and len(by_length) > count
+        assert cells.groupBy("source_path").agg(F.sum("int1").alias("s"), F.count("*").alias("n")).distinct().collect()[0][1:] == (45, 10)
+        assert cells.select("source_path").distinct().count() == count
+        direct = spark.read.format("hdf5_array").option("dataset", "/x").option("splitBytes", 1000).load(str(folder))
+        assert direct.agg(F.sum("int1"), F.count("*")).first() == (45 * count, 10 * count)
+
+
+def test_large_files_of_a_folder_are_cut_by_their_headers(spark, tmp_path):
+    data = np.arange(4000 * 6, dtype="<i4").reshape(4000, 2, 3)
+    for n in range(3):
+        write(tmp_path, f"{n}.h5", lambda f, n=n: f.dataset("/x", h5.array_type((2, 3), h5.int_type(4)), (4000,), data + n * 24000, chunk=(100,)))
+    (tmp_path / "notes.txt").write_text("no array")
+    cells = load_hdf5(spark, str(tmp_path), "/x", splitBytes=20_000)
+    assert cells.agg(F.count("*"), F.countDistinct("int1"), F.min("int1"), F.max("int1")).first() == (72000, 72000, 0, 71999)
+    busy = cells.groupBy(F.spark_partition_id()).count()
+    assert busy.count() > 6 and busy.agg(F.max("count")).first()[0] < 20_000
+    window = load_hdf5(spark, str(tmp_path), "/x", splitBytes=20_000, lo=(3990, 1, 0), hi=(None, 1, 0))
+    assert window.count() == 30
+    slabs = load_hdf5(spark, str(tmp_path), "/x", splitBytes=20_000, layout="slabs", withPath=True)
+    assert slabs.agg(F.sum(F.size("int1")), F.countDistinct("source_path")).first() == (72000, 3)
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    with pytest.raises(FileNotFoundError):
+        load_hdf5(spark, str(empty), "/x")
 
 
 def test_what_cannot_be_read_is_not_listed_as_supported(spark, tmp_path):

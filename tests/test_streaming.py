@@ -2,6 +2,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from slabwise.plans import fits_bytes, hdf5_bytes as h5
+from slabwise import ArraySchema, Attr, Dim
 from slabwise.streaming import follow_hdf5, ingest_fits, ingest_frames, ingest_hdf5, window_stats, window_stats_stream
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -92,3 +93,33 @@ def test_frame_ingest_and_stream_windows_equal_batch(spark, tmp_path):
     assert sorted(map(key, closed.collect()), key=str) == expected
     # Only windows behind the watermark are out; the rest is still open.
     assert closed.count() < batch.count()
+
+
+def test_streams_start_on_an_empty_folder_and_go_on(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    schema = ArraySchema("sky", (Attr("unknown", "int32"),), (Dim("dim0", 4), Dim("dim1", 3)))
+    options = {"schema": schema, "max_files": 2}
+
+    def run():
+        ingest_fits(spark, str(source), str(tmp_path / "out"), str(tmp_path / "state"), **options).awaitTermination()
+        return spark.read.schema("dim0 long, dim1 long, unknown int, source_path string").parquet(str(tmp_path / "out"))
+
+    assert run().count() == 0
+    frame = np.arange(12, dtype="i4").reshape(3, 4)
+    for n, suffix in enumerate(("fits", "fit", "FTS", "fits", "txt")):  # the suffixes that batch scans read
+        (source / f"{n}.{suffix}").write_bytes(fits_bytes.image(frame + 100 * n, 32, first=True))
+    cells = run()
+    assert cells.agg(F.count("*"), F.countDistinct("source_path"), F.max("unknown")).first() == (48, 4, 311)
+    assert cells.where("unknown = 311").select("dim0", "dim1").first() == (3, 2)
+    assert run().count() == 48
+
+    h5_source = tmp_path / "h5"
+    h5_source.mkdir()
+    pair = ArraySchema("x", (Attr("int1", "int32"),), (Dim("unnamed0", 10),))
+    ingest_hdf5(spark, str(h5_source), str(tmp_path / "out5"), str(tmp_path / "s5"), "/x", schema=pair).awaitTermination()
+    file = h5.FileBuilder()
+    file.dataset("/x", h5.int_type(4), (10,), np.arange(10, dtype="<i4"), chunk=(4,), limits=(None,))
+    (h5_source / "a.hdf5").write_bytes(file.build())
+    ingest_hdf5(spark, str(h5_source), str(tmp_path / "out5"), str(tmp_path / "s5"), "/x", schema=pair).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out5")).agg(F.sum("int1"), F.count("*")).first() == (45, 10)
