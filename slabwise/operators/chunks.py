@@ -69,7 +69,7 @@ def slab_grid(arrays: DataFrame, rank: int, dims: str = "dims", chunks: str = "c
 
 
 def slab_bytes(cells: Column, type_sizes: list[Column | int]) -> tuple[list[Column], Column]:
-    """Bytes of a slab per attribute and over all attributes."""
+    """Bytes of a slab per attribute and over all attributes; ``cells`` is clipped at the array's edge."""
     sizes = [s if isinstance(s, Column) else F.lit(s) for s in type_sizes]
     per_attr = [cells * s.cast("bigint") for s in sizes]
     total = per_attr[0]
@@ -78,6 +78,15 @@ def slab_bytes(cells: Column, type_sizes: list[Column | int]) -> tuple[list[Colu
     return per_attr, total
 
 
+def buffer_bytes(chunks: Column, type_sizes: list[Column | int]) -> tuple[list[Column], Column]:
+    """Bytes that hold any slab of an array: whole chunks, not clipped at the edge.
+
+    Readers and writers set aside this much per slab; ``slab_bytes`` is what a slab has.
+    ``chunks`` is an ``array<bigint>`` of the chunk lengths.
+    """
+    return slab_bytes(_fold_product(chunks), type_sizes)
+
+
 def array_size(
     arrays: DataFrame, dims: str = "dims", sizes: str = "type_sizes", gcount: str | None = None,
     pcount: str | None = None,
@@ -129,7 +138,9 @@ def dim_bounds(cells: DataFrame, dims: list[str], extendable: bool = False) -> D
 def dense_check(cells: DataFrame, dims: list[str]) -> DataFrame:
     """Cells, distinct coordinates, box size and whether each is present exactly once.
 
-    Copies of a coordinate merge map-side, so a hot coordinate stays small.
+    The box reaches from 0 to the largest coordinates.  A cell with a negative or null
+    coordinate has no place in it, so its array is not dense.  Copies of a coordinate merge
+    map-side, so a hot coordinate stays small.
     """
     merged = cells.groupBy(*[F.col(d).cast("bigint").alias(d) for d in dims]).agg(
         F.count(F.lit(1)).alias("_copies")
@@ -138,13 +149,14 @@ def dense_check(cells: DataFrame, dims: list[str]) -> DataFrame:
         F.coalesce(F.sum("_copies"), F.lit(0)).cast("bigint").alias("cells"),
         F.count(F.lit(1)).alias("distinct_cells"),
         *[F.max(d).alias(f"_hi{i}") for i, d in enumerate(dims)],
+        F.coalesce(F.bool_and(F.least(*[F.coalesce(F.col(d), F.lit(-1)) for d in dims], F.lit(0)) >= 0), F.lit(True)).alias("_placed"),
     )
     box = F.lit(1).cast("bigint")
     for i in range(len(dims)):
         box = box * (F.col(f"_hi{i}") + 1)
-    checked = sums.select("cells", "distinct_cells", F.coalesce(box, F.lit(0)).alias("box_cells"))
-    dense = (F.col("cells") == F.col("distinct_cells")) & (F.col("cells") == F.col("box_cells"))
-    return checked.withColumn("dense", dense)
+    checked = sums.select("cells", "distinct_cells", F.coalesce(box, F.lit(0)).alias("box_cells"), "_placed")
+    dense = (F.col("cells") == F.col("distinct_cells")) & (F.col("cells") == F.col("box_cells")) & F.col("_placed")
+    return checked.withColumn("dense", dense).drop("_placed")
 
 
 def _words(rows: DataFrame, place: Column, *more: Column) -> DataFrame:

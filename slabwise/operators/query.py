@@ -35,12 +35,11 @@ def subarray(cells: DataFrame, dims: list[str], lo, hi, rebase: bool = False) ->
     return sliced
 
 
-def subarray_slabs(slabs: DataFrame, schema: ArraySchema, lo, hi) -> DataFrame:
-    """Cells of stored slabs within inclusive bounds.
+def touching_slabs(slabs: DataFrame, schema: ArraySchema, lo, hi) -> DataFrame:
+    """Slabs that share a cell with the box.
 
     Origin and last coordinates are compared as bare columns with literals, so
-    the predicates reach the Parquet row groups and only slabs that touch the
-    box are read and exploded.
+    the predicates reach the Parquet row groups.
     """
     touching = slabs
     for dim, low, high in zip(schema.dim_names, lo, hi, strict=True):
@@ -48,7 +47,12 @@ def subarray_slabs(slabs: DataFrame, schema: ArraySchema, lo, hi) -> DataFrame:
             touching = touching.where(F.col(f"origin_{dim}") <= high)
         if low is not None:
             touching = touching.where(F.col(f"last_{dim}") >= low)
-    cells = unpack_slabs(touching, schema.slowest_first, schema.attr_names)
+    return touching
+
+
+def subarray_slabs(slabs: DataFrame, schema: ArraySchema, lo, hi) -> DataFrame:
+    """Cells of stored slabs within inclusive bounds; only slabs that touch the box are read and exploded."""
+    cells = unpack_slabs(touching_slabs(slabs, schema, lo, hi), schema.slowest_first, schema.attr_names)
     return subarray(cells.select(*schema.dim_names, *schema.attr_names), schema.dim_names, lo, hi)
 
 

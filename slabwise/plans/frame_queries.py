@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from slabwise.functions import from_wall_clock, to_wall_clock
-from slabwise.operators import align_frames
+from slabwise.operators import align_asof, align_frames
 from slabwise.plans.derived_files import base_name, fits_files, number_of
 from slabwise.plans.registry import query, rounded, table
 from slabwise.session import scratch_dir
@@ -31,6 +31,24 @@ def _align_frames(spark, sf_dir):
     return align_frames([images, data, prices], "unnamed0")
 
 
+@query(
+    "align_asof",
+    """
+    SELECT l.event_id, l.user_id, r.event_id AS found_id, r.value AS found_value,
+           epoch_us(l.ts) - epoch_us(r.ts) AS age
+    FROM (SELECT * FROM events WHERE event_type <> 'error') l
+    ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'error') r ON l.user_id = r.user_id AND l.ts >= r.ts
+    """,
+)
+def _align_asof(spark, sf_dir):
+    """Every frame with the newest error of its user before it."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", "value")
+    errors = events.where("event_type = 'error'").select("user_id", "ts", "event_id", "value")
+    found = align_asof(events.where("event_type <> 'error'"), errors, "ts", "6 hours", by=["user_id"])
+    age = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.col("found.ts").cast("timestamp"))
+    return found.select("event_id", "user_id", F.col("found.event_id").alias("found_id"), F.col("found.value").alias("found_value"), age.alias("age"))
+
+
 @query(
     "frame_time",
     """

@@ -11,9 +11,12 @@ from slabwise.operators import (
     flatten_compound,
     name_attrs,
     name_dims,
+    pack_ragged,
     scalar_array,
     split_attrs,
     unroll,
+    unpack_lists,
+    unpack_ragged,
     unroll_nested,
     vlen_unwrap,
 )
@@ -147,3 +150,40 @@ def _name_dims(spark, sf_dir):
 def _scalar_array(spark, sf_dir):
     """Each supplier's balance as a scalar dataset: one cell at coordinate 0."""
     return scalar_array(table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal"))
+
+
+RAGGED_SQL = "SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_extendedprice) - 1 AS place, l_extendedprice FROM lineitem"
+
+
+def price_lists(spark, sf_dir):
+    """A list of prices per order, orders without lines included."""
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+        F.array_sort(F.collect_list(F.struct("l_linenumber", "l_extendedprice"))).alias("lines")
+    )
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"))
+    return orders.join(lines, "l_orderkey", "left").select("l_orderkey", F.col("lines.l_extendedprice").alias("price"))
+
+
+@query(
+    "ragged_cells",
+    f"SELECT l_orderkey, place AS unnamed1, l_extendedprice AS price FROM ({RAGGED_SQL}) WHERE l_orderkey IN (SELECT o_orderkey FROM orders)",
+)
+def _ragged_cells(spark, sf_dir):
+    """Lists of any length as blocks of a hundred values and offsets, then as cells."""
+    offsets, blocks = pack_ragged(price_lists(spark, sf_dir), "l_orderkey", "price", block=100)
+    return unpack_ragged(offsets, blocks, "l_orderkey", "price", "unnamed1", block=100)
+
+
+@query(
+    "ragged_lists",
+    f"""
+    SELECT o_orderkey AS l_orderkey, coalesce(string_agg(floor(l_extendedprice * 100)::BIGINT::VARCHAR, ' ' ORDER BY place), '') AS prices,
+           count(place) AS length FROM orders LEFT JOIN ({RAGGED_SQL}) ON o_orderkey = l_orderkey GROUP BY o_orderkey
+    """,
+)
+def _ragged_lists(spark, sf_dir):
+    """And back to one list per order, empty ones too."""
+    offsets, blocks = pack_ragged(price_lists(spark, sf_dir), "l_orderkey", "price", block=100)
+    lists = unpack_lists(offsets, blocks, "l_orderkey", "price", block=100).join(offsets, "l_orderkey")
+    text = F.array_join(F.transform("price", lambda v: F.floor(v * 100).cast("string")), " ")
+    return lists.select("l_orderkey", text.alias("prices"), "length")

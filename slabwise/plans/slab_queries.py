@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from slabwise.functions import slab_number, slab_origin, type_bytes
 from slabwise.operators import (
     array_size,
+    box_stats,
+    buffer_bytes,
     dense_check,
     dense_check_box,
     dim_bounds,
@@ -15,12 +17,15 @@ from slabwise.operators import (
     pack_frames,
     pack_slabs,
     redistribute,
+    redistribute_by_curve,
     slab_bytes,
+    slab_curve,
     slab_grid,
     stdev_by_dim,
     subarray_slabs,
     unpack_slabs,
     unroll,
+    with_synopses,
 )
 from slabwise.plans.array_queries import CELLS_SQL, frame_schema, frames
 from slabwise.plans.registry import query, rounded, table
@@ -151,6 +156,26 @@ def _slab_bytes(spark, sf_dir):
     )
 
 
+@query(
+    "slab_buffer_bytes",
+    f"""
+    SELECT id, slab_no, least(100, n0 - i) * least(16, n1 - j) * 12 AS bytes, 6400::BIGINT AS buffer_0,
+           12800::BIGINT AS buffer_1, 19200::BIGINT AS buffer_bytes
+    FROM (SELECT id, n0, n1, i, j, (i // 100) + (j // 16) * ((n0 + 99) // 100) AS slab_no
+          FROM (SELECT *, unnest(range(0, n1, 16)) AS j
+                FROM (SELECT *, unnest(range(0, n0, 100)) AS i FROM ({ARRAYS_SQL}))))
+    """,
+)
+def _slab_buffer_bytes(spark, sf_dir):
+    """What a slab has, clipped at the edge, and what its buffer holds, whole."""
+    grid = slab_grid(part_arrays(spark, sf_dir), 2)
+    per_attr, total = buffer_bytes(F.array(*[F.lit(c).cast("bigint") for c in CHUNK]), [4, 8])
+    return grid.select(
+        "id", "slab_no", slab_bytes(F.col("cells"), [4, 8])[1].alias("bytes"), per_attr[0].alias("buffer_0"),
+        per_attr[1].alias("buffer_1"), total.alias("buffer_bytes"),
+    )
+
+
 @query(
     "array_size",
     f"""
@@ -367,3 +392,80 @@ def _slab_subarray_stdev(spark, sf_dir):
     window = subarray_slabs(slabs, schema, (None, 20), (None, 43))
     window = window.withColumn("value", F.col("value").cast("double"))
     return rounded(stdev_by_dim(window, ["unnamed0"], "value"), "stdev")
+
+
+def stored_synopses(spark, sf_dir, chunks):
+    """The 2-D view as slabs with moments beside them, along the curve; written once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir, chunks)
+    if key not in _stored:
+        schema, path = plane_schema(spark, sf_dir).with_chunks(chunks), scratch_dir(spark, "moments")
+        slabs = with_synopses(pack_slabs(plane(spark, sf_dir), schema), schema)
+        store_array(redistribute_by_curve(slabs, schema), path, schema)
+        _stored[key] = path
+    return _stored[key]
+
+
+@query(
+    "slab_box_stats",
+    f"""
+    SELECT count(*) AS count, round(avg(value), 6) AS avg, round(stddev_samp(value), 6) AS stdev,
+           min(value) AS min, max(value) AS max
+    FROM ({PLANE_SQL}) WHERE unnamed0 >= 37 AND unnamed1 BETWEEN 10 AND 47
+    """,
+)
+def _slab_box_stats(spark, sf_dir):
+    """A box over whole slabs and cut ones: only the cut ones give up their cells."""
+    slabs, schema = open_array(spark, stored_synopses(spark, sf_dir, CHUNK))
+    return rounded(box_stats(slabs, schema, (37, 10), (None, 47), "value"), "avg", "stdev")
+
+
+@query(
+    "slab_frame_stats",
+    f"""
+    SELECT unnamed0, count(*) AS count, round(avg(value), 6) AS avg, round(stddev_samp(value), 6) AS stdev,
+           min(value) AS min, max(value) AS max
+    FROM ({PLANE_SQL}) WHERE unnamed1 >= 20 GROUP BY unnamed0
+    """,
+)
+def _slab_frame_stats(spark, sf_dir):
+    """The same per frame: slabs of one frame and 16 columns each."""
+    slabs, schema = open_array(spark, stored_synopses(spark, sf_dir, (1, 16)))
+    return rounded(box_stats(slabs, schema, (None, 20), (None, None), "value", by=["unnamed0"]), "avg", "stdev")
+
+
+@query(
+    "slab_curve",
+    f"""
+    SELECT slab_no, origin_unnamed0, origin_unnamed1, sum(bit)::BIGINT AS curve FROM (
+        SELECT DISTINCT slab_no, origin_unnamed0, origin_unnamed1, b,
+               ((origin_unnamed1 // 16) >> b & 1) * (1::BIGINT << (b + least(b, w0)))
+               + ((origin_unnamed0 // 100) >> b & 1) * (1::BIGINT << (b + least(b + 1, w1))) AS bit
+        FROM (SELECT *, unnest(range(20)) AS b, 2 AS w1, length(bin(max(unnamed0) OVER () // 100)) AS w0 FROM ({PLANE_SQL})))
+    GROUP BY ALL
+    """,
+)
+def _slab_curve(spark, sf_dir):
+    """Slabs in the order of a Morton curve: bits of both slab indices in turn."""
+    schema = plane_schema(spark, sf_dir)
+    slabs = pack_slabs(plane(spark, sf_dir), schema)
+    return slabs.select("slab_no", "origin_unnamed0", "origin_unnamed1", slab_curve(slabs, schema).alias("curve"))
+
+
+@query(
+    "store_versions",
+    """
+    SELECT 1 AS version, o_orderkey AS unnamed0, o_totalprice AS float1 FROM orders WHERE o_orderkey % 2 = 0
+    UNION ALL SELECT 2, o_orderkey, o_totalprice FROM orders
+    UNION ALL SELECT 3, o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 3 = 0
+    """,
+)
+def _store_versions(spark, sf_dir):
+    """A store, an append and an overwrite; all three versions can be read."""
+    path = scratch_dir(spark, "versions")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("unnamed0"), F.col("o_totalprice").alias("float1"))
+    size = orders.agg(F.max("unnamed0")).first()[0] + 1
+    schema = ArraySchema("prices", (Attr("float1", "double"),), (Dim("unnamed0", size),)).planned()
+    for rows, mode in (("unnamed0 % 2 = 0", "errorifexists"), ("unnamed0 % 2 = 1", "append"), ("unnamed0 % 3 = 0", "overwrite")):
+        store_array(orders.where(rows), path, schema, mode=mode)
+    found = [open_array(spark, path, version)[0].select(F.lit(version).alias("version"), "*") for version in (1, 2, 3)]
+    return found[0].unionByName(found[1]).unionByName(found[2])

@@ -10,9 +10,17 @@ from slabwise.sources.scan import (
     register,
     scan_listed,
 )
-from slabwise.sources.store import open_array, store_array, store_fits, store_hdf5
+from slabwise.sources.store import (
+    array_versions,
+    open_array,
+    store_array,
+    store_fits,
+    store_hdf5,
+    vacuum_array,
+)
 
 __all__ = [
+    "array_versions",
     "describe_fits",
     "describe_hdf5",
     "dump_dataset",
@@ -28,4 +36,5 @@ __all__ = [
     "store_array",
     "store_fits",
     "store_hdf5",
+    "vacuum_array",
 ]
