@@ -10,6 +10,7 @@ all bins are open and none fits, the fullest closes.  Pieces arrive longest firs
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -23,8 +24,11 @@ from slabwise.llm.common import documents
 
 END_ID = 2
 OPEN_BINS = 16_384
-#: Tokens of one packing group: its lengths are what one task holds.
+#: Tokens and documents of one packing group: its lengths are what one task holds.
 GROUP_TOKENS = 16_000_000
+GROUP_ROWS = 100_000
+#: Texts that stand for one id wherever they occur, beside the ranks of the file.
+ADDED = (("<|endoftext|>", 50256),)
 
 
 def default_ranks() -> str:
@@ -35,15 +39,26 @@ def default_ranks() -> str:
 
 
 @lru_cache(maxsize=2)
-def encoder(ranks_path: str):
-    """A function from a text to its ids as little-endian 32-bit bytes."""
+def encoder(ranks_path: str, added: tuple[tuple[str, int], ...] = ADDED):
+    """A function from a text to its ids as little-endian 32-bit bytes.
+
+    Added tokens cut a text; what is between them is encoded by itself.
+    """
     import public_tokenizers
     import tiktoken
 
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     encode = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-    return lambda text: np.array(encode(text), "<u4").tobytes()
+    numbers = {token: np.array([i], "<u4").tobytes() for token, i in added}
+    marks = re.compile("(" + "|".join(map(re.escape, sorted(numbers, key=len, reverse=True))) + ")") if added else None
+
+    def ids(text: str) -> bytes:
+        if not any(token in text for token in numbers):
+            return np.array(encode(text), "<u4").tobytes()
+        return b"".join(numbers.get(part) or np.array(encode(part), "<u4").tobytes() for part in marks.split(text) if part)
+
+    return ids
 
 
 def piece_bounds(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -137,15 +152,18 @@ def pack(docs: DataFrame, capacity: int = 1024, ranks_path: str | None = None, e
 
     Null and empty texts are one piece with ``end_id`` alone.  Repeated rows are packed
     as often as they come, also under one doc_id; a null doc_id stays null.  Only
-    ``doc_id`` and ``text`` are read.  An empty table gives an empty result.  One read of
-    the text lengths sets the number of groups before the packing.
+    ``doc_id`` and ``text`` are read.  An empty table gives an empty result.  Pieces of equal
+    length go by doc_id, piece and checksum, and of bins with equal space the one used last is
+    taken; pieces that are alike in all of this can change places.  Very long texts are encoded
+    whole, one at a time.  ``<|endoftext|>`` in a text is its id, as the tokenizer has it.  One
+    read of the text lengths sets the number of groups before the packing.
     """
     if capacity < 1 or open_bins < 1:
         raise ValueError("capacity and open_bins must be at least 1")
     ranks_path = ranks_path or default_ranks()
     rows = documents(docs)
-    size = rows.select(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
-    groups = max(1, round(size / 4 / group_tokens))  # about four bytes a token
+    size = rows.select(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes"), F.count("*").alias("rows")).first()
+    groups = max(1, round((size["bytes"] / 4 + size["rows"]) / group_tokens), -(-size["rows"] // GROUP_ROWS))  # about four bytes a token
     pieces = rows.mapInArrow(_pieces(ranks_path, capacity, end_id), _PIECES)
     group = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)).alias("group")
     order = ["group", F.desc("length"), "doc_id", "piece", "ids_crc32"]

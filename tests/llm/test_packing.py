@@ -12,9 +12,7 @@ from slabwise.llm.packing import BestFit, default_ranks, encoder, pack, piece_bo
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def test_ids_are_the_tokenizers(spark, tokenizer, messy):
@@ -91,3 +89,11 @@ def test_odd_rows(frame, messy):
     got = pack(frame(messy)).collect()
     assert sum(1 for r in got if r.piece == 0) == len(messy) and sum(r.doc_id == 8 for r in got) == 2
     assert pack(frame([])).collect() == []
+
+
+def test_many_empty_texts_are_several_groups(spark):
+    rows = spark.range(200_000).selectExpr("id as doc_id", "if(id % 2 = 0, '', null) as text")
+    placed = pack(rows, capacity=1024)
+    groups = placed.selectExpr("sequence_id >> 32 as g", "sequence_id").groupBy("g").agg({"sequence_id": "approx_count_distinct"}).collect()
+    assert len(groups) > 1 and placed.count() == 200_000
+    assert placed.select("sequence_id").distinct().count() <= 200
