@@ -216,33 +216,49 @@ def _load(row: dict) -> DigestIndex:
 
 
 def _update(left: pa.Table, right: pa.Table) -> pa.Table:
+    """A bucket after changes: what is live of a digest now, nothing if ``n`` is 0."""
     rows = left.to_pylist()
     index = _load(rows[0]) if rows else DigestIndex()
-    changes = right.sort_by([("n", "descending")]).to_pylist()  # insertions first
+    changes = right.to_pylist()
     bucket = rows[0]["bucket"] if rows else changes[0]["bucket"]
     for change in changes:
-        if change["n"] > 0:
-            index.add(change["digest"], change["first_id"], change["n"])
+        stored = index.keys.get(change["digest"]) if change["digest"] in index.filter else None
+        if not change["n"]:
+            if stored:
+                index.remove(change["digest"], stored[1])
+        elif stored:
+            stored[:] = change["first_id"], change["n"]
         else:
-            index.remove(change["digest"], -change["n"])
+            index.add(change["digest"], change["first_id"], change["n"])
     schema = pa.schema([("bucket", pa.int32()), ("filter", pa.binary()), ("digests", pa.list_(pa.binary())), ("first_ids", pa.list_(pa.int64())), ("ns", pa.list_(pa.int64()))])
     return pa.Table.from_batches([_index_row(bucket, index).cast(schema)] if index.keys else [], schema)
 
 
-def update_index(index: DataFrame, inserted: DataFrame, deleted: DataFrame, buckets: int = 1024) -> DataFrame:
-    """The index after some documents came and others went; ``buckets`` as it was built with.
+def live_rows(docs: DataFrame) -> DataFrame:
+    """The live rows that an index stands for: ``digest``, ``id`` and how often it is there.
+
+    Keep them as a table beside the index: a deletion must know whose row it takes away.
+    """
+    return _digests(docs).groupBy("digest", F.col("first_id").alias("id")).agg(F.sum("n").alias("n"))
+
+
+def update_index(index: DataFrame, rows: DataFrame, inserted: DataFrame, deleted: DataFrame, buckets: int = 1024) -> tuple[DataFrame, DataFrame]:
+    """The index and its live rows after some documents came and then others went.
 
-    Changes are combined per digest first, so a hot text is one change.  The smallest
-    document of a digest is not raised when that document goes: it is a representative
-    then.  Rows deleted that never were inserted are ignored; a bucket without live
-    digests has no row.
+    ``rows`` are the ``live_rows`` of ``index``; ``buckets`` is as it was built with.  A row is
+    taken away by its digest and id, as often as it is deleted: a document that was never
+    inserted, or not with that text, takes nothing from others.  The smallest live document
+    of a digest is found again if that document goes.  Hot texts combine map-side.  A bucket
+    without live digests has no row.  Write both results before the next update.
     """
-    counted = [
-        _built(_digests(docs), buckets).transform(index_keys).withColumn("n", F.lit(sign) * F.col("n"))
-        for docs, sign in ((inserted, 1), (deleted, -1))
-    ]
-    changes = counted[0].unionByName(counted[1]).select(_bucket(buckets), "*")
-    return index.groupBy("bucket").cogroup(changes.groupBy("bucket")).applyInArrow(_update, _INDEX)
+    came, gone = live_rows(inserted), live_rows(deleted).withColumnRenamed("n", "gone")
+    summed = rows.unionByName(came).groupBy("digest", "id").agg(F.sum("n").alias("n"))
+    left = summed.join(gone, ["digest", "id"], "left").withColumn("n", F.col("n") - F.coalesce("gone", F.lit(0))).where("n > 0").drop("gone")
+    touched = came.select("digest").unionByName(gone.select("digest")).distinct()
+    now = left.join(touched, "digest", "left_semi").groupBy("digest").agg(F.min("id").alias("first_id"), F.sum("n").alias("n"))
+    changes = touched.join(now, "digest", "left").select(_bucket(buckets).alias("at"), "digest", "first_id", F.coalesce("n", F.lit(0)).alias("n"))
+    changed = changes.withColumnRenamed("at", "bucket")
+    return index.groupBy("bucket").cogroup(changed.groupBy("bucket")).applyInArrow(_update, _INDEX), left
 
 
 def exact_dedup(docs: DataFrame, buckets: int = 1024) -> DataFrame:

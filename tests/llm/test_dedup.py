@@ -5,7 +5,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
-from slabwise.llm.exact_dedup import CuckooFilter, DigestIndex, build_index, exact_dedup, index_keys, update_index
+from slabwise.llm.exact_dedup import CuckooFilter, DigestIndex, build_index, exact_dedup, index_keys, live_rows, update_index
 from slabwise.llm.line_dedup import BLANKS, keep_bitmaps, keep_mask, line_dedup
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -44,11 +44,33 @@ def test_index_table_with_deletion(frame):
     assert index.count() <= 8
     gone = [(i, f"text {i % 40}") for i in range(100) if i % 40 < 10]
     came = [(200, "new text"), (201, "text 39"), (202, "text 5")]
-    now = index_keys(update_index(index, frame(came), frame(gone), buckets=8)).collect()
+    now = index_keys(update_index(index, live_rows(frame(rows)), frame(came), frame(gone), buckets=8)[0]).collect()
     want = Counter(t for _, t in rows) + Counter(t for _, t in came) - Counter(t for _, t in gone)
     assert {bytes(r.digest): r.n for r in now} == {hashlib.sha256(t.encode()).digest(): n for t, n in want.items()}
 
 
+def test_deletion_takes_only_what_is_there(frame, tmp_path):
+    spark = frame([]).sparkSession
+    rows = [(1, "x"), (2, "x"), (3, "y"), (3, "y"), (4, None), (None, "x")]
+
+    def keys(index):
+        return {bytes(r.digest): (r.first_id, r.n) for r in index_keys(index).collect()}
+
+    def of(text):
+        return hashlib.sha256(text.encode()).digest()
+
+    index, live = build_index(frame(rows), buckets=4), live_rows(frame(rows))
+    foreign = [(9, "x"), (9, "x"), (1, "y"), (2, "nobody's")]
+    same, kept = update_index(index, live, frame([]), frame(foreign), buckets=4)
+    assert keys(same) == keys(index) and kept.count() == live.count()
+    same.write.parquet(str(tmp_path / "index"))
+    kept.write.parquet(str(tmp_path / "rows"))
+    stored = spark.read.parquet(str(tmp_path / "index")), spark.read.parquet(str(tmp_path / "rows"))
+    less, kept = update_index(*stored, frame([(0, "y")]), frame([(1, "x"), (3, "y"), (4, None), (None, "x")]), buckets=4)
+    assert keys(less) == {of("x"): (2, 1), of("y"): (0, 2)}  # the representative of x went, one row of 3 is left
+    assert keys(update_index(less, kept, frame([]), frame([(2, "x"), (0, "y"), (3, "y")]), buckets=4)[0]) == {}
+
+
 def brute_exact(rows):
     texts = [re.sub(r"[\x20\x09-\x0D]+", " ", t or "") for _, t, *_ in rows]
     groups = defaultdict(list)
