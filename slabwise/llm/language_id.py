@@ -24,13 +24,13 @@ from slabwise.llm.common import documents, prepare
 
 MOST = 4
 DIMENSIONS = 1 << 13
-#: Rows per language that the fit sees, at most, and landmarks per language among them.
-SAMPLE_PER_LANGUAGE = 600
-LANDMARKS_PER_LANGUAGE = 60
-#: Languages that are learned, at most: the most frequent ones.
-LANGUAGES = 200
-#: Characters of a sampled text that the fit uses; predictions use whole texts.
-SAMPLE_CHARS = 4_000
+#: Texts that the fit sees, and landmarks among them: so many in all, shared by the languages,
+#: and so many of one language at most.  Every language has one of each at least.
+SAMPLE, SAMPLE_PER_LANGUAGE = 12_000, 600
+LANDMARKS, LANDMARKS_PER_LANGUAGE = 1_000, 60
+#: Characters of a sampled text that the fit uses: a span drawn from the whole text by a hash.
+#: Predictions use whole texts.
+SPAN_CHARS = 4_000
 RIDGE = 1e-2
 UNKNOWN = "und"
 _BATCH = 256
@@ -86,17 +86,21 @@ class Model:
 
 
 def fit(texts: list[str], languages: list[str], landmarks_per_language: int = LANDMARKS_PER_LANGUAGE, ridge: float = RIDGE) -> Model:
-    """Kernel ridge regression, one language against the rest, in the space of the landmarks."""
+    """Kernel ridge regression, one language against the rest, in the space of the landmarks.
+
+    Landmarks are the first texts of each language, so texts should come in a random order.
+    """
     names = sorted(set(languages))
     label = np.array([names.index(x) for x in languages])
-    rows = normalised_presence(texts)
-    chosen = np.concatenate([np.flatnonzero(label == k)[:landmarks_per_language] for k in range(len(names))])
-    landmarks = rows[chosen]
+    each = max(1, min(landmarks_per_language, LANDMARKS // len(names)))
+    chosen = np.concatenate([np.flatnonzero(label == k)[:each] for k in range(len(names))])
+    landmarks = normalised_presence([texts[i] for i in chosen])
     values, vectors = np.linalg.eigh((landmarks @ landmarks.T).astype(np.float64))
     useful = values > 1e-6 * values.max()
     to_features = vectors[:, useful] / np.sqrt(values[useful])
-    features = (rows @ landmarks.T) @ to_features
-    features = np.hstack([features, np.ones((len(rows), 1))])
+    blocks = (normalised_presence(texts[low : low + _BATCH]) for low in range(0, len(texts), _BATCH))
+    features = np.concatenate([(rows @ landmarks.T) @ to_features for rows in blocks])
+    features = np.hstack([features, np.ones((len(texts), 1))])
     targets = np.where(label[:, None] == np.arange(len(names)), 1.0, -1.0)
     weight = 1.0 / np.bincount(label)[label][:, None]  # languages count alike, however many rows they have
     gram = features.T @ (weight * features) + ridge * np.eye(features.shape[1])
@@ -104,24 +108,27 @@ def fit(texts: list[str], languages: list[str], landmarks_per_language: int = LA
     return Model(names, landmarks, np.vstack([to_features @ solved[:-1], solved[-1:]]).astype(np.float32))
 
 
-def sample(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, languages: int = LANGUAGES) -> list[tuple[str, str]]:
-    """At most ``per_language`` texts of each language, the same for the same rows.
+def sample(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, most: int = SAMPLE) -> list[tuple[str, str]]:
+    """At most ``per_language`` different texts of each language, in the order of a hash.
 
-    Order statistics of a hash: every task passes on at most that many rows a language,
-    so nothing large meets in one place.
+    The share that is drawn comes from the number of different texts, so a language that is
+    mostly copies is learned from as many of its texts as any other.  Order statistics of a
+    hash: every task passes on at most that many rows a language, so nothing large meets in
+    one place.
     """
     usable = labelled.where(F.col("lang").isNotNull() & F.rlike("text", F.lit(r"\p{L}")))
-    common = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).select("lang")
-    # A fraction per language first, so that only about twice the sample is ever ordered.
-    counts = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().join(common, "lang").collect()}
-    if not counts:
+    counted = usable.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text")).alias("n")).collect()  # a row a language
+    if not counted:
         return []
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 4.0 * per_language / n))])
+    each = max(1, min(per_language, most // len(counted)))
+    # A fraction per language first, so that only about four times the sample is ever ordered.
+    shares = labelled.sparkSession.createDataFrame([(r["lang"], min(1.0, 4.0 * each / r["n"])) for r in counted], "lang string, share double")
     spread = F.shiftrightunsigned(F.xxhash64("text", "lang"), 11) / F.lit(float(1 << 53))
-    few = usable.where(F.col("lang").isin(*counts)).where(spread < share[F.col("lang")])
-    picked = few.select(F.struct(spread.alias("u"), F.substring("text", 1, SAMPLE_CHARS).alias("text")).alias("x"), "lang")
-    rows = picked.groupBy("lang").agg(F.slice(F.array_sort(F.collect_set("x")), 1, per_language).alias("xs")).collect()
-    return sorted((r["lang"], x["text"]) for r in rows for x in r["xs"])
+    few = usable.withColumn("u", spread).join(shares, "lang").where(F.col("u") < F.col("share"))
+    begin = F.pmod(F.xxhash64("text", F.lit("span")), F.greatest(F.length("text") - SPAN_CHARS + 1, F.lit(1))) + 1
+    picked = few.select(F.struct("u", F.substring("text", begin.cast("int"), F.lit(SPAN_CHARS)).alias("text")).alias("x"), "lang")
+    rows = picked.groupBy("lang").agg(F.slice(F.array_sort(F.collect_set("x")), 1, each).alias("xs")).collect()
+    return [(lang, text) for lang, _, text in sorted((r["lang"], x["u"], x["text"]) for r in rows for x in r["xs"])]
 
 
 def _predict(packed: bytes):
@@ -171,10 +178,12 @@ def identify(docs: DataFrame) -> DataFrame:
     ``doc_id``, ``held_out``, ``lang_pred`` and ``score`` (0 to 1).  Null, empty and
     letterless texts are ``und`` with score 0, and so is every text if nothing is labelled.
     A row with a null doc_id is not held out.  Repeated rows give repeated rows; ties
-    between languages go to the first by name.  An empty table gives an empty result.
+    between languages go to the first by name.  An empty table gives an empty result.  Very
+    long texts are scored whole, ``_BATCH`` texts at a time.
 
-    The fit reads at most ``SAMPLE_PER_LANGUAGE`` rows of at most ``LANGUAGES`` languages;
-    the sample is chosen by a hash of the text.
+    The fit reads a sample of the labelled texts, chosen by their hash: ``SAMPLE`` in all and
+    ``SAMPLE_PER_LANGUAGE`` of one language, a span of ``SPAN_CHARS`` of each.  Every language
+    is learned.
     """
     model = train(docs)
     return predict(documents(docs), model, "doc_id").select("doc_id", held_out().alias("held_out"), "lang_pred", "score")

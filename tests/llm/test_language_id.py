@@ -81,3 +81,46 @@ def test_fit_separates_its_classes():
     model = fit([t for t, _ in rows], [lang for _, lang in rows], landmarks_per_language=10)
     best = model.scores([t for t, _ in rows]).argmax(axis=1)
     assert np.mean([model.languages[k] == lang for k, (_, lang) in zip(best, rows, strict=True)]) > 0.98
+
+
+def test_scores_equal_a_plain_solution():
+    """The same regression with explicit kernels: Nystroem features by a Cholesky factor."""
+    rows = [(t, lang) for _, t, lang in texts(90, 8)]
+    names = sorted({lang for _, lang in rows})
+    model = fit([t for t, _ in rows], [lang for _, lang in rows], landmarks_per_language=6)
+
+    def grams(text):
+        row = presence([text])[0]
+        return {int(i) for i in np.flatnonzero(row)}
+
+    def kernel(a, b):
+        return len(a & b) / np.sqrt(max(len(a), 1) * max(len(b), 1))
+
+    sets = [grams(t) for t, _ in rows]
+    marks = [s for name in names for s in [s for s, (_, lang) in zip(sets, rows, strict=True) if lang == name][:6]]
+    factor = np.linalg.cholesky(np.array([[kernel(a, b) for b in marks] for a in marks]))
+    features = np.array([np.append(np.linalg.solve(factor, [kernel(s, m) for m in marks]), 1) for s in sets])
+    counts = {n: sum(lang == n for _, lang in rows) for n in names}
+    weight = np.array([1 / counts[lang] for _, lang in rows])
+    targets = np.array([[1.0 if lang == n else -1.0 for n in names] for _, lang in rows])
+    solved = np.linalg.solve(features.T @ (weight[:, None] * features) + module.RIDGE * np.eye(features.shape[1]), features.T @ (weight[:, None] * targets))
+    new = [t for _, t, _ in texts(20, 9)]
+    want = np.array([np.append(np.linalg.solve(factor, [kernel(grams(t), m) for m in marks]), 1) for t in new]) @ solved
+    assert np.allclose(model.scores(new), want, atol=1e-3)
+
+
+def test_languages_of_copies_and_rare_ones_are_learned(frame):
+    rows = [(i, t, lang, "s") for i, t, lang in texts(300, 10)]
+    copies = [(1000 + i, "zuw xoq wuq zox quz " * 9, "xx", "s") for i in range(1500)]
+    rare = [(5000 + i, f"k{'ö' * (i + 1)} kwö pwö twö " * 5, f"l{i}", "s") for i in range(250)]
+    picked = module.sample(frame(rows + copies + rare, clash=False))
+    assert {lang for lang, _ in picked} == {*SYLLABLES, "xx", *(f"l{i}" for i in range(250))}
+    got = {r.doc_id: r.lang_pred for r in identify(frame(rows + copies)).collect()}
+    assert {got[1000 + i] for i in range(1500)} == {"xx"}
+
+
+def test_spans_come_from_the_whole_text(frame):
+    long = [(i, f"{'a' * 30_000} {i} {'b' * 30_000}", "x", "s") for i in range(60)]
+    spans = [t for _, t in module.sample(frame(long, clash=False))]
+    assert all(len(t) == module.SPAN_CHARS for t in spans)
+    assert any("a" in t for t in spans) and any("b" in t for t in spans)
