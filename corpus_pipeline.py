@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slabwise.llm.common import shared_dir
-from slabwise.llm.language_id import UNKNOWN, identify_rows
+from slabwise.llm.language_id import UNKNOWN, predict, train
 from slabwise.llm.line_dedup import line_dedup
 from slabwise.llm.mixing import mixed_documents
 from slabwise.llm.ngram_join import ngram_groups
@@ -24,8 +24,14 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language go (null texts and texts without a letter); the others
-    carry the predicted one in ``lang``."""
-    found = identify_rows(docs.select(*COLUMNS)).where(F.col("lang_pred") != UNKNOWN)
+    carry the predicted one in ``lang``.  If no row is labelled nothing can be predicted, and
+    the others stay as they are.  Repeated rows, rows without an id and very long texts are
+    judged like any other; ties go to the first language by name.  Clashing names do no harm."""
+    rows = docs.select(*COLUMNS)
+    model = train(rows)
+    if model is None:
+        return rows.where(F.rlike("text", F.lit(r"\p{L}")))
+    found = predict(rows, model, *COLUMNS).where(F.col("lang_pred") != UNKNOWN)
     return found.select("doc_id", "text", F.col("lang_pred").alias("lang"), "source", "n_chars")
 
 
@@ -37,17 +43,22 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: five-word shingles, similarity 0.8 or more."""
+    """One document of each group stays, the one with the smallest id: five-word shingles,
+    similarity 0.8 or more.  Texts without words link with nothing and stay, as do all rows
+    without an id; rows that repeat an id and its text stay once.  Long texts count whole."""
     return ngram_groups(docs.select(*COLUMNS), size=5, percent=80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources in their target shares: documents come as often as the mix takes them."""
+    """Sources in their target shares: documents come as often as the mix takes them.
+    A null source is one of its own, the last; null and empty texts have no size.  Sources
+    tied at the level get the same share; long documents are taken whole or not at all."""
     return mixed_documents(docs.select(*COLUMNS))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Places of all pieces in sequences of 1,024 tokens."""
+    """Places of all pieces in sequences of 1,024 tokens.  Null and empty texts are one end
+    token; repeated rows are packed as often as they come; longer texts are cut, none is left out."""
     return pack(docs, capacity=1024)
 
 
