@@ -235,9 +235,10 @@ class Model:
         held, total, freed = arrays(self.folder), np.zeros(len(contexts), np.int64), np.zeros(len(contexts))
         bounds = self.context_bounds
         for s, at in _by_shard(np.searchsorted(bounds, contexts, side="right") - 1):
-            kinds = held("contexts", s, "<i8").reshape(-1, 4)[contexts[at] - bounds[s]]
-            total[at] = kinds[:, 0]
-            freed[at] = kinds[:, 1:] @ np.array(self.pair_discounts)
+            kinds = held("contexts", s, "<i8").reshape(-1, 4)
+            if len(kinds):  # a shard without any bigram has no array
+                kinds = kinds[contexts[at] - bounds[s]]
+                total[at], freed[at] = kinds[:, 0], kinds[:, 1:] @ np.array(self.pair_discounts)
         return total, freed
 
     def of_pairs(self, keys: np.ndarray) -> np.ndarray:
@@ -260,10 +261,13 @@ class Model:
 
     def probabilities(self, numbers: np.ndarray, contexts: np.ndarray) -> np.ndarray:
         """Of each word after its context; -1 is an unknown word or context."""
+        if not self.words:
+            return np.ones(len(numbers))
         words, back = np.unique(numbers, return_inverse=True)
         out = self.word_probabilities(words)[back]
         known = np.flatnonzero(contexts >= 0)
-        total, freed = (x[back] for x, back in [(x, b) for c, b in [np.unique(contexts[known], return_inverse=True)] for x in self.of_contexts(c)])
+        distinct, back = np.unique(contexts[known], return_inverse=True)
+        total, freed = (x[back] for x in self.of_contexts(distinct))
         known, total, freed = known[total > 0], total[total > 0], freed[total > 0]
         out[known] *= freed / total
         keys, back = np.unique((contexts[known] << 32) | numbers[known], return_inverse=True)
@@ -274,8 +278,8 @@ class Model:
 
 def _by_shard(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     order = np.argsort(shard, kind="stable")
-    starts = _flags(shard[order])
-    for low, high in zip(starts, np.append(starts[1:], len(order)), strict=True):
+    edges = np.append(_flags(shard[order]), len(order))
+    for low, high in zip(edges, edges[1:], strict=False):
         yield int(shard[order[low]]), order[low:high]
 
 
