@@ -184,12 +184,19 @@ class FileBuilder:
             body = b"SNOD" + struct.pack("<BBH", 1, 0, len(part))
             body += b"".join(struct.pack("<QQII16x", p, a, 0, 0) for p, a in part)
             leaves.append((part[-1][0] if part else 0, self._put(body.ljust(8 + 2 * LEAF_K * 40, b"\0"))))
-        if len(leaves) > 2 * INTERNAL_K:
-            raise ValueError("too many members for one group node")
-        body = b"TREE" + struct.pack("<BBHQQQ", 0, 0, len(leaves), UNDEFINED, UNDEFINED, 0)
-        for key, leaf in leaves:
-            body += struct.pack("<QQ", leaf, key)
-        tree = self._put(body.ljust(24 + 2 * INTERNAL_K * 16 + 8, b"\0"))
+        level = 0
+        while True:
+            nodes = []
+            for first in range(0, len(leaves), 2 * INTERNAL_K):
+                part = leaves[first : first + 2 * INTERNAL_K]
+                before = leaves[first - 1][0] if first else 0
+                body = b"TREE" + struct.pack("<BBHQQQ", 0, level, len(part), UNDEFINED, UNDEFINED, before)
+                body += b"".join(struct.pack("<QQ", child, key) for key, child in part)
+                nodes.append((part[-1][0], self._put(body.ljust(24 + 2 * INTERNAL_K * 16 + 8, b"\0"))))
+            if len(nodes) == 1:
+                break
+            leaves, level = nodes, level + 1
+        tree = nodes[0][1]
         return self._header([(17, struct.pack("<QQ", tree, heap))]), tree, heap
 
     def build(self, user_block: int = 0) -> bytes:

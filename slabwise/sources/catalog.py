@@ -23,16 +23,18 @@ from slabwise.sources.hdf5 import KNOWN_FILTERS, Hdf5File, describe
 FITS_FILES = "*.{fits,fit,fts,FITS,FIT,FTS}"
 HDF5_FILES = "*.{h5,hdf5,hdf,he5,H5,HDF5,HDF,HE5}"
 BATCH_ROWS = 4096
-# Levels of an HDF5 file listed before its groups are spread.
-UPPER_LEVELS = 2
+# Symbol nodes of an HDF5 group that are one unit of work (eight members each as a rule), and
+# the levels of a file whose groups are cut into such units; a unit of the last one is walked whole.
+PAGE_NODES = 32
+PAGED_LEVELS = 3
 
 HDF5_SCHEMA = (
     "file string, path string, kind string, class string, supported boolean, "
     "attrs array<struct<name:string,type:string,ddl_type:string,bytes:bigint>>, "
     "dims array<struct<name:string,size:bigint,limit:bigint,chunk:bigint,inside:boolean>>"
 )
-# A group left for the second pass: its address and the B-trees above it.
-PENDING = "address bigint, above array<bigint>"
+# A page of a group that is still to be listed: its symbol nodes, and the B-trees above it.
+PAGE = "heap bigint, nodes array<bigint>, above array<bigint>"
 FITS_SCHEMA = (
     "file string, hdu bigint, kind string, bitpix bigint, value_type string, bytes bigint, "
     "scale double, zero double, dims array<bigint>, pcount bigint, gcount bigint, "
@@ -79,36 +81,75 @@ def _per_file(files: DataFrame, rows_of, schema: str) -> DataFrame:
 def hdf5_catalog(spark: SparkSession, path: str, pattern: str = HDF5_FILES) -> DataFrame:
     """Every group and dataset of every HDF5 file of a folder.
 
-    One pass lists the upper levels of each file; the groups found there are
-    spread again and listed by many tasks, so one vast file is not one task.
+    The unit of work is a page of a group: some leaves of its index.  A stage turns pages
+    into the rows of their members, and groups among these into pages for the next stage, so
+    neither a vast file nor a flat group of very many datasets is one task.
     """
-    upper = _per_file(list_files(spark, path, pattern), _upper_rows, f"{HDF5_SCHEMA}, {PENDING}")
-    arrow = to_arrow_schema(StructType.fromDDL(HDF5_SCHEMA))
-
-    def lower(batches):
-        rows = (row for batch in batches for row in batch.to_pylist())
-        yield from _batched((full for row in rows for full in _lower_rows(row)), arrow)
-
-    spread = upper.repartition(task_count(spark), "file", "path")
-    return spread.mapInArrow(lower, HDF5_SCHEMA)
-
-
-def _upper_rows(path: str, file: RangedFile):
-    for name, head, address, above in Hdf5File(file).walk(depth=UPPER_LEVELS):
-        row = _hdf5_row(path, name, head)
-        pending = row["kind"] == "group" and len(above) == UPPER_LEVELS and head.group[0] not in above
-        yield {**row, "address": address if pending else None, "above": list(above)}
-
-
-def _lower_rows(row: dict):
-    """A listed row as it is, or the whole tree of a group that was left for later."""
-    address, above = row.pop("address"), row.pop("above")
-    if address is None:
-        yield row
-        return
-    with RangedFile(row["file"]) as file:
-        for name, head, _, _ in Hdf5File(file).walk(address, row["path"], tuple(above)):
-            yield _hdf5_row(row["file"], name, head)
+    columns = f"{HDF5_SCHEMA}, {PAGE}"
+    rows = _per_file(list_files(spark, path, pattern), _root_rows, columns)
+    arrow = to_arrow_schema(StructType.fromDDL(columns))
+    for level in range(PAGED_LEVELS):
+        rows = rows.repartition(task_count(spark)).mapInArrow(_expanded(level == PAGED_LEVELS - 1, arrow), columns)
+    return rows.drop("heap", "nodes", "above")
+
+
+def _page_rows(path: str, name: str, h5: Hdf5File, head, above: list[int]):
+    """The pages of a group, but for a link back to a group of its own branch."""
+    if getattr(head, "group", None) and head.group[0] not in above:
+        tree, heap = head.group
+        for nodes in h5.pages(tree, PAGE_NODES):
+            yield {"file": path, "path": name, "heap": heap, "nodes": nodes, "above": [*above, tree]}
+
+
+def _root_rows(path: str, file: RangedFile):
+    h5 = Hdf5File(file)
+    head = h5.header(h5.root)
+    yield _hdf5_row(path, "/", head)
+    yield from _page_rows(path, "", h5, head, [])
+
+
+def _expanded(whole: bool, arrow):
+    """Rows that are ready as they are, pages as the rows of their members (and all below them)."""
+
+    def members(row: dict, h5: Hdf5File):
+        for name, address in h5.members(row["heap"], row["nodes"]):
+            here = f"{row['path']}/{name}"
+            try:
+                head = h5.header(address)
+            except UnsupportedType as error:
+                head = error
+            yield _hdf5_row(row["file"], here, head)
+            yield from _page_rows(row["file"], here, h5, head, row["above"])
+
+    def listed(row: dict, h5: Hdf5File):
+        """Depth first with an explicit stack, which holds one branch and never the whole tree."""
+        stack = [members(row, h5)]
+        while stack:
+            found = next(stack[-1], None)
+            if found is None:
+                stack.pop()
+            elif whole and found.get("nodes"):
+                stack.append(members(found, h5))
+            else:
+                yield found
+
+    def all_rows(batches):
+        name, file, h5 = None, None, None
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["nodes"] is None:
+                    yield row
+                    continue
+                if row["file"] != name:
+                    if file:
+                        file.close()
+                    name, file = row["file"], RangedFile(row["file"])
+                    h5 = Hdf5File(file)
+                yield from listed(row, h5)
+        if file:
+            file.close()
+
+    return lambda batches: _batched(all_rows(batches), arrow)
 
 
 def _hdf5_row(path: str, name: str, head) -> dict:

@@ -12,6 +12,7 @@ from __future__ import annotations
 import struct
 import zlib
 from dataclasses import dataclass, field
+from itertools import islice
 from math import prod
 
 import numpy as np
@@ -47,6 +48,10 @@ READ_BYTES = 64 * 1024 * 1024
 VARIABLE_CELLS = 4096
 
 
+# Bytes of a member's name that are read at first.
+NAME_BYTES = 64
+
+
 @dataclass
 class ElementType:
     """A datatype message: its class, size and parts."""
@@ -172,6 +177,7 @@ class Hdf5File:
         self.base, *_ = struct.unpack("<Q", file.read(fields, 8))
         self.root, *_ = struct.unpack("<Q", file.read(fields + 40, 8))
         self._heaps: dict[int, dict[int, bytes]] = {}
+        self._names: dict[int, tuple[int, int]] = {}  # the last group's heap: where its names lie, and their bytes
 
     def read(self, address: int, length: int) -> bytes:
         return bytes(self.file.read(self.base + address, length))
@@ -218,22 +224,63 @@ class Hdf5File:
     def children(self, group: tuple):
         """``(name, header address)`` of a group's members, in name order."""
         tree, heap = group
-        text = self._local_heap(heap)
-        for node in self._group_leaves(tree):
+        for nodes in self.pages(tree, 1):
+            yield from self.members(heap, nodes)
+
+    def pages(self, tree: int, size: int):
+        """Addresses of a group's symbol nodes, ``size`` at a time; members are not read."""
+        leaves = self._group_leaves(tree)
+        while page := list(islice(leaves, size)):
+            yield page
+
+    def members(self, heap: int, nodes: list[int]):
+        """``(name, header address)`` of the members in some symbol nodes of a group."""
+        for node in nodes:
             signature, _, _, count = struct.unpack("<4sBBH", self.read(node, 8))
             if signature != b"SNOD":
                 raise CorruptFile(f"{self.file.path}: no symbol node at {node}")
             table = self.read(node + 8, count * 40)
             for i in range(count):
                 name_at, address = struct.unpack_from("<QQ", table, i * 40)
-                name = text[name_at : text.index(b"\0", name_at)].decode("utf-8")
-                yield name, address
-
-    def _local_heap(self, address: int) -> bytes:
-        signature, size, _, data = struct.unpack("<4s4xQQQ", self.read(address, 32))
-        if signature != b"HEAP":
-            raise CorruptFile(f"{self.file.path}: no local heap at {address}")
-        return self.read(data, size)
+                yield self._name_at(heap, name_at), address
+
+    def _name_at(self, heap: int, at: int) -> str:
+        """A name from a group's heap; only its own bytes are asked for."""
+        if heap not in self._names:
+            signature, size, _, data = struct.unpack("<4s4xQQQ", self.read(heap, 32))
+            if signature != b"HEAP":
+                raise CorruptFile(f"{self.file.path}: no local heap at {heap}")
+            self._names = {heap: (data, size)}
+        data, size = self._names[heap]
+        text, step = b"", NAME_BYTES
+        while b"\0" not in text:
+            more = min(step, size - at - len(text))
+            if more <= 0:
+                raise CorruptFile(f"{self.file.path}: a name at {at} has no end")
+            text += self.read(data + at + len(text), more)
+            step *= 2
+        return text[: text.index(b"\0")].decode("utf-8")
+
+    def _member(self, group: tuple, name: str) -> int | None:
+        """Header address of one member, by the names that part the nodes of the tree."""
+        tree, heap = group
+        level, count = self._tree_head(tree, 0)
+        while True:
+            body = self.read(tree + 24, count * 16 + 8)
+            keys, children = (struct.unpack_from(f"<{count}Q", b"".join(body[i * 16 + k : i * 16 + k + 8] for i in range(count))) for k in (16, 8))
+            low, high = 0, count - 1  # the key behind a child is its largest name
+            while low < high:
+                middle = (low + high) // 2
+                if name.encode() <= self._name_at(heap, keys[middle]).encode():
+                    high = middle
+                else:
+                    low = middle + 1
+            if not count:
+                return None
+            if not level:
+                return next((a for n, a in self.members(heap, [children[low]]) if n == name), None)
+            tree = children[low]
+            level, count = self._tree_head(tree, 0)
 
     def _group_leaves(self, address: int):
         level, count = self._tree_head(address, 0)
@@ -285,7 +332,7 @@ class Hdf5File:
         for part in [p for p in path.split("/") if p]:
             address = None
             if head.group:
-                address = next((a for n, a in self.children(head.group) if n == part), None)
+                address = self._member(head.group, part)
             if address is None:
                 raise ArrayError(f"{self.file.path}: no object {path}")
             head = self.header(address)

@@ -427,3 +427,39 @@ def test_text_that_is_not_utf8(spark, tmp_path):
     texts = np.array([b"ok", b"a\xffb", b""], "S4")
     path = write(tmp_path, "a.h5", lambda f: f.dataset("/s", h5.compound_type(4, [("t", 0, h5.string_type(4, padding=1))]), (3,), texts))
     assert [r.t for r in load_hdf5(spark, path, "/s").orderBy("unnamed0").collect()] == ["ok", "a�b", ""]
+
+
+def test_a_flat_group_of_very_many_datasets_is_many_tasks(spark, tmp_path):
+    def build(f):
+        f.dataset("/flat/d", h5.int_type(4), (3,), np.arange(3, dtype="<i4"))
+        f.dataset("/flat/sub/deep/er/z", h5.int_type(4), (3,), np.arange(3, dtype="<i4"))
+        held = f.tree["flat"]
+        held.update({f"d{i:06}-{'x' * (i % 90)}": held["d"] for i in range(100_000)})  # links to one dataset
+
+    path = write(tmp_path, "many.h5", build)
+    listed = hdf5_catalog(spark, path)
+    assert listed.count() == 100_007 and listed.select("path").distinct().count() == 100_007
+    shared = [r.n for r in listed.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(shared) >= 8 and max(shared) < 30_000
+    assert listed.where("path = '/flat/sub/deep/er/z'").first().supported
+    with RangedFile(path) as file:
+        found = Hdf5File(file)
+        looked_at = []
+        first = Hdf5File.members
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(Hdf5File, "members", lambda self, heap, nodes: looked_at.extend(nodes) or first(self, heap, nodes))
+            for i in (0, 1, 4711, 99_999):
+                assert found.find(f"/flat/d{i:06}-{'x' * (i % 90)}").shape == (3,)
+            for missing in ("/flat/nothing", "/flat/d999999", "/flat/A", "/else"):
+                with pytest.raises(ArrayError, match="no object"):
+                    found.find(missing)
+        assert len(looked_at) < 40  # a search, not a listing
+
+
+def test_empty_groups_and_links_to_a_group_above(spark, tmp_path):
+    def build(f):
+        f.dataset("/a/x", h5.int_type(4), (3,), np.arange(3, dtype="<i4"))
+        f.tree["a"]["b"] = {}
+
+    path = write(tmp_path, "a.h5", build)
+    assert sorted(r.path for r in hdf5_catalog(spark, path).collect()) == ["/", "/a", "/a/b", "/a/x"]
