@@ -32,7 +32,7 @@ from slabwise.llm.components import connected_components
 from slabwise.llm.words import Words, mix, pieces, window_hashes
 
 #: Counters of the frequency table (one byte each where it is used), and its parts.
-COUNTERS = 1 << 23
+COUNTERS = 1 << 24
 SEGMENTS = 64
 #: Rows of one block of a posting list in round three; pairs of blocks are cells.
 BLOCK = 4096
@@ -116,7 +116,9 @@ def _count(size: int, counters: int):
                 _, value = shingle_sets(batch, size)
                 np.add.at(table, (value & np.uint64(counters - 1)).astype(np.int64), 1)
         if table.any():
-            parts = [pa.compress(part.tobytes(), codec="zstd", asbytes=True) for part in np.split(table, SEGMENTS)]
+            # Bytes of the same rank lie together: the upper ones are nearly all 0.
+            planes = (np.ascontiguousarray(part.view(np.uint8).reshape(-1, 4).T) for part in np.split(table, SEGMENTS))
+            parts = [pa.compress(p.tobytes(), codec="zstd", asbytes=True) for p in planes]
             yield pa.RecordBatch.from_pydict({"segment": pa.array(range(SEGMENTS), pa.int32()), "part": pa.array(parts, pa.binary())})
 
     return run
@@ -127,7 +129,8 @@ def _add_up(width: int):
         totals: dict[int, np.ndarray] = {}
         for batch in batches:
             for segment, part in zip(batch.column("segment").to_pylist(), batch.column("part"), strict=True):
-                counts = np.frombuffer(pa.decompress(part.as_py(), width * 4, codec="zstd", asbytes=True), np.uint32)
+                planes = np.frombuffer(pa.decompress(part.as_py(), width * 4, codec="zstd", asbytes=True), np.uint8)
+                counts = np.ascontiguousarray(planes.reshape(4, -1).T).view(np.uint32)[:, 0]
                 totals.setdefault(segment, np.zeros(width, np.uint64))
                 totals[segment] += counts
         for segment, total in totals.items():
@@ -345,8 +348,14 @@ def _suffix_filter(percent: int):
     return run
 
 
+def _ids(pairs: DataFrame) -> DataFrame:
+    """The distinct ids of both sides."""
+    return pairs.select(F.col("a").alias("id")).distinct().unionByName(pairs.select(F.col("b").alias("id")).distinct()).distinct()
+
+
 def _in_reach(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs that pass the suffix filter; ``sets`` has ``id``, ``n`` and ``profile``."""
+    sets = _only(sets, _ids(pairs))
     with_a = pairs.join(sets.select(F.col("id").alias("a"), "n", F.col("profile").alias("x")), "a")
     with_b = with_a.join(sets.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("profile").alias("y")), "b")
     return with_b.mapInArrow(_suffix_filter(percent), _PAIR).distinct()
@@ -374,8 +383,7 @@ def _only(rows: DataFrame, ids: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
     """The links among candidate pairs.  A document with many partners is split into parts."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = _only(rows, ids)
+    texts = _only(rows, _ids(pairs))
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("parts"))
     dealt = pairs.join(parts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "b")
     partners = dealt.join(texts.withColumnRenamed("id", "b"), "b").select("a", "part", "b", "text")
@@ -418,7 +426,7 @@ def ngram_join(docs: DataFrame, size: int = 5, percent: int = 80, counters: int
 
     ordered = postings.repartition("token").sortWithinPartitions("token", "n", "id")
     tried = cut(ordered.mapInArrow(_along(percent), _PAIR).distinct())
-    sets = filled.join(classes.select(F.col("first_id").alias("id"), "s1", "s2", "n"), ["id", "s1", "s2", "n"], "left_semi").select("id", "n", "profile")
+    sets = cut(filled.join(classes.select(F.col("first_id").alias("id"), "s1", "s2", "n"), ["id", "s1", "s2", "n"], "left_semi").select("id", "n", "profile"))
     links = cut(_verified(cut(_in_reach(tried, sets, percent)), rows, size, percent))
     # A class is known by its first id; an id with several texts links their classes.
     first = members.groupBy("id").agg(F.min("first_id").alias("rep"))
