@@ -5,7 +5,8 @@
 2. Shingles are ordered rare first by a table of counters of fixed size, summed over all
    documents.  Any common order gives right results; this one keeps posting lists short.
 3. Two sets that reach the threshold share a shingle of their prefixes.  Prefix rows of
-   shingles that only one document has are dropped: they meet nothing.
+   shingles that only one document has are dropped, and those that no other row of their
+   list is near enough to in size (the length filter): they meet nothing.
 4. Round one tries, along each posting list, every document with the one before and with
    the first.  This settles groups of near copies in linear work.
 5. Round two tries, along each posting list, the document with most links so far with all
@@ -32,7 +33,7 @@ from slabwise.llm.components import connected_components
 from slabwise.llm.words import Words, mix, pieces, window_hashes
 
 #: Counters of the frequency table (one byte each where it is used), and its parts.
-COUNTERS = 1 << 24
+COUNTERS = 1 << 23
 SEGMENTS = 64
 #: Rows of one block of a posting list in round three; pairs of blocks are cells.
 BLOCK = 4096
@@ -348,6 +349,17 @@ def _suffix_filter(percent: int):
     return run
 
 
+def _near_sizes(rows: DataFrame, percent: int) -> DataFrame:
+    """The rows of posting lists that some other row of the list is near enough to in size.
+
+    Of all sizes the next smaller and the next larger one are nearest, so these decide.
+    """
+    order = Window.partitionBy("token").orderBy("n", "id")
+    below, above = F.lag("n").over(order), F.lead("n").over(order)
+    near = F.coalesce(100 * below >= percent * F.col("n"), F.lit(False)) | F.coalesce(100 * F.col("n") >= percent * above, F.lit(False))
+    return rows.select("*", near.alias("near")).where("near").drop("near")
+
+
 def _ids(pairs: DataFrame) -> DataFrame:
     """The distinct ids of both sides."""
     return pairs.select(F.col("a").alias("id")).distinct().unionByName(pairs.select(F.col("b").alias("id")).distinct()).distinct()
@@ -418,14 +430,14 @@ def ngram_join(docs: DataFrame, size: int = 5, percent: int = 80, counters: int
 
     prefix = rows.mapInArrow(_prefixes(size, percent, levels), "token long, id long, n int, pos int")
     listed = F.count("*").over(Window.partitionBy("token")).cast("int")
-    shared = prefix.withColumn("c", listed).where("c > 1")
+    shared = _near_sizes(prefix.withColumn("c", listed).where("c > 1"), percent)
     members = filled.join(classes, ["s1", "s2", "n"]).select("id", "first_id").distinct()
     # c counts copies of other tasks too; it only bounds the blocks of round three.
     standing = shared.join(members, "id").groupBy("token", F.col("first_id").alias("id"), "n").agg(F.min("pos").alias("pos"), F.max("c").alias("c"))
-    postings = cut(standing)
+    # Lists lie in one partition each, sorted by size and id; the checkpoint keeps them so.
+    postings = cut(_near_sizes(standing, percent))
 
-    ordered = postings.repartition("token").sortWithinPartitions("token", "n", "id")
-    tried = cut(ordered.mapInArrow(_along(percent), _PAIR).distinct())
+    tried = cut(postings.mapInArrow(_along(percent), _PAIR).distinct())
     sets = cut(filled.join(classes.select(F.col("first_id").alias("id"), "s1", "s2", "n"), ["id", "s1", "s2", "n"], "left_semi").select("id", "n", "profile"))
     links = cut(_verified(cut(_in_reach(tried, sets, percent)), rows, size, percent))
     # A class is known by its first id; an id with several texts links their classes.
