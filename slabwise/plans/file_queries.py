@@ -14,7 +14,7 @@ from slabwise.plans.derived_files import (
     part_files,
 )
 from slabwise.plans.registry import query
-from slabwise.sources import fits_catalog, fits_header, hdf5_catalog, load_fits, load_hdf5
+from slabwise.sources import dump_files, fits_catalog, fits_header, hdf5_catalog, load_fits, load_hdf5
 
 IMAGE, LABEL, PART = "/Run:0000/Cam.0/image", "/Run:0000/Cam.0/label", "/store/part"
 
@@ -221,3 +221,46 @@ def _dump_ddl(spark, sf_dir):
     catalog = hdf5_catalog(spark, folders[0]).unionByName(hdf5_catalog(spark, folders[1]))
     datasets = catalog.where("supported")
     return array_ddl(datasets).select(base_name(F.col("file")).alias("file"), "ddl")
+
+
+@query(
+    "dump_files",
+    f"""
+    WITH sky AS (
+        SELECT 'frames' || stem || '.h5' AS file, number, frames FROM ({SKY_FILES_SQL})),
+    parts AS (SELECT 'parts' || stem || '.h5' AS file, number, records FROM ({PART_FILES_SQL})),
+    frame AS (
+        SELECT file, vec_id - min(vec_id) OVER (PARTITION BY file) AS record, embedding
+        FROM (SELECT vec_id, embedding, 'frames-' || lpad((vec_id // (SELECT least(262144, greatest(64, (max(vec_id) + 8) // 8)) FROM embeddings))::VARCHAR, 6, '0') || '.h5' AS file
+              FROM embeddings)),
+    piece AS (
+        SELECT file, p_partkey - min(p_partkey) OVER (PARTITION BY file) AS record, p_partkey, p_size, p_retailprice, p_brand,
+               CASE p_type {" ".join(f"WHEN '{k}' THEN {v}" for k, v in KINDS.items())} ELSE 6 END AS p_kind
+        FROM (SELECT *, 'parts-' || lpad((p_partkey // (SELECT least(1048576, greatest(250, (max(p_partkey) + 8) // 8)) FROM part))::VARCHAR, 6, '0') || '.h5' AS file
+              FROM part))
+    SELECT file, '/Run:0000/Cam.0/image' AS dataset, -2 AS record,
+           'CREATE ARRAY Run_0000_Cam_0_image (' || chr(10) || '    FLOAT' || chr(10) || ') [0:*, 0:8, 0:8];' AS line FROM sky
+    UNION ALL
+    SELECT file, '/Run:0000/Cam.0/image', record, record || ': {{array [8, 8], 256}} is '
+           || array_to_string(list_transform(embedding, lambda v: printf('%g', v::DOUBLE)), ' ') FROM frame
+    UNION ALL
+    SELECT file, '/Run:0000/Cam.0/label', -2,
+           'CREATE ARRAY Run_0000_Cam_0_label (' || chr(10) || '    INT32' || chr(10) || ') [0:' || frames || '];' FROM sky
+    UNION ALL
+    SELECT file, '/Run:0000/Cam.0/label', -1,
+           '// Skipping /Run:0000/Cam.0/label: only 1-d arrays of compound type or of arrays can be dumped' FROM sky
+    UNION ALL
+    SELECT file, '/store/part', -2, 'CREATE ARRAY store_part (' || chr(10) || '    LONG::p_partkey,' || chr(10)
+        || '    UINT16::p_size,' || chr(10) || '    DOUBLE::p_retailprice,' || chr(10) || '    CHAR[12]::p_brand,'
+        || chr(10) || '    UINT8::p_kind' || chr(10) || ') [0:' || records || '];' FROM parts
+    UNION ALL
+    SELECT file, '/store/part', -1, 'Data for /store/part' FROM parts
+    UNION ALL
+    SELECT file, '/store/part', record, printf('#%d: {{%d, %d, %g, "%s", %d}}', record, p_partkey, p_size, p_retailprice, p_brand, p_kind) FROM piece
+    """,
+)
+def _dump_files(spark, sf_dir):
+    """Schema and values of every dataset of two folders of files."""
+    folders = [frame_files(spark, sf_dir)[0], part_files(spark, sf_dir)[0]]
+    lines = dump_files(spark, folders[0]).unionByName(dump_files(spark, folders[1]))
+    return lines.withColumn("file", base_name(F.col("file")))

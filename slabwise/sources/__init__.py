@@ -1,7 +1,7 @@
 """File formats and stored arrays."""
 
 from slabwise.sources.catalog import fits_catalog, fits_header, hdf5_catalog, list_files
-from slabwise.sources.export import dump_dataset
+from slabwise.sources.export import dump_dataset, dump_files, write_dump
 from slabwise.sources.scan import (
     describe_fits,
     describe_hdf5,
@@ -24,6 +24,7 @@ __all__ = [
     "describe_fits",
     "describe_hdf5",
     "dump_dataset",
+    "dump_files",
     "fits_catalog",
     "fits_header",
     "hdf5_catalog",
@@ -37,4 +38,5 @@ __all__ = [
     "store_fits",
     "store_hdf5",
     "vacuum_array",
+    "write_dump",
 ]

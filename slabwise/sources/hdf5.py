@@ -48,8 +48,9 @@ READ_BYTES = 64 * 1024 * 1024
 VARIABLE_CELLS = 4096
 
 
-# Bytes of a member's name that are read at first.
+# Bytes of a member's name that are read at first, and gaps between names that are read over.
 NAME_BYTES = 64
+NAME_GAP = 4096
 
 
 @dataclass
@@ -234,32 +235,50 @@ class Hdf5File:
             yield page
 
     def members(self, heap: int, nodes: list[int]):
-        """``(name, header address)`` of the members in some symbol nodes of a group."""
+        """``(name, header address)`` of the members in some symbol nodes of a group.
+
+        All entries are read first, then their names in few runs, so the file is not read
+        to and fro for every member.
+        """
+        entries = []
         for node in nodes:
             signature, _, _, count = struct.unpack("<4sBBH", self.read(node, 8))
             if signature != b"SNOD":
                 raise CorruptFile(f"{self.file.path}: no symbol node at {node}")
             table = self.read(node + 8, count * 40)
-            for i in range(count):
-                name_at, address = struct.unpack_from("<QQ", table, i * 40)
-                yield self._name_at(heap, name_at), address
+            entries += [struct.unpack_from("<QQ", table, i * 40) for i in range(count)]
+        names = self._names_at(heap, [at for at, _ in entries])
+        for at, address in entries:
+            yield names[at], address
 
-    def _name_at(self, heap: int, at: int) -> str:
-        """A name from a group's heap; only its own bytes are asked for."""
+    def _names_at(self, heap: int, places: list[int]) -> dict[int, str]:
+        """Names from a group's heap; only their own bytes, and small gaps, are asked for."""
         if heap not in self._names:
             signature, size, _, data = struct.unpack("<4s4xQQQ", self.read(heap, 32))
             if signature != b"HEAP":
                 raise CorruptFile(f"{self.file.path}: no local heap at {heap}")
             self._names = {heap: (data, size)}
         data, size = self._names[heap]
-        text, step = b"", NAME_BYTES
-        while b"\0" not in text:
-            more = min(step, size - at - len(text))
-            if more <= 0:
-                raise CorruptFile(f"{self.file.path}: a name at {at} has no end")
-            text += self.read(data + at + len(text), more)
-            step *= 2
-        return text[: text.index(b"\0")].decode("utf-8")
+        found, run = {}, []
+
+        def read_run():
+            text, low = b"", run[0]
+            for at in run:
+                while (end := text.find(b"\0", at - low)) < 0:
+                    if low + len(text) >= size:
+                        raise CorruptFile(f"{self.file.path}: a name at {at} has no end")
+                    more = max(run[-1] + NAME_BYTES - low - len(text), len(text), NAME_BYTES)
+                    text += self.read(data + low + len(text), min(more, size - low - len(text)))
+                found[at] = text[at - low : end].decode("utf-8")
+
+        for at in sorted(set(places)):
+            if run and at - run[-1] > NAME_GAP:
+                read_run()
+                run = []
+            run.append(at)
+        if run:
+            read_run()
+        return found
 
     def _member(self, group: tuple, name: str) -> int | None:
         """Header address of one member, by the names that part the nodes of the tree."""
@@ -271,7 +290,7 @@ class Hdf5File:
             low, high = 0, count - 1  # the key behind a child is its largest name
             while low < high:
                 middle = (low + high) // 2
-                if name.encode() <= self._name_at(heap, keys[middle]).encode():
+                if name.encode() <= self._names_at(heap, [keys[middle]])[keys[middle]].encode():
                     high = middle
                 else:
                     low = middle + 1

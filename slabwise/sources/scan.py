@@ -110,6 +110,11 @@ def read_split(form: str, path: str, part: int, parts: int, options: dict, extra
         yield from _read_slabs(array, path, part, parts, options, extra)
 
 
+def read_array(array, path: str, part: int, parts: int, options: dict):
+    """The same of an array that is open already."""
+    return _read_slabs(array, path, part, parts, options, ())
+
+
 def _window(array, options: dict, extra=()) -> tuple[list[int], list[int], list[int], list[int]] | None:
     """Bounds in file order, the first slab and the slab counts; ``None`` if empty."""
     dims = array.file_dims
