@@ -2,8 +2,9 @@
 
 Pages that a rule judges are the labelled ones.  The tree of a host has its path segments
 as branches: digits are generalised, and so is a segment that takes many values at its
-place.  Branches of one place whose labelled rates agree are merged.  A template is
-rejected if its smoothed labelled share of blocked pages is high.
+place.  Branches of one place whose labelled rates agree are merged; where all labelled
+branches of a place agree, those without a label join them.  A template is rejected if its
+smoothed labelled share of blocked pages is high.
 
 Paths are counted once per host and shape before anything else, so a hot host is as many
 rows as it has shapes.
@@ -13,7 +14,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slabwise.llm.common import cut
@@ -32,9 +33,9 @@ class Rule:
 RULES = (Rule("block", "net", "/"), Rule("allow", "example.net", "/en/"), Rule("block", "example.com", "/de/"), Rule("allow", "org", "/fr/"))
 #: Segments of the tree; the rest of a longer path is one more segment.
 DEPTH = 6
-#: A place with this many values, and one for every ``PAGES_PER_VALUE`` pages at least, is variable.
+#: A place is variable if it has this many values in effect: the inverse of the chance that two
+#: of the shapes below it have the same value, whatever the number of pages.
 VALUES = 16
-PAGES_PER_VALUE = 4
 #: Standard deviations by which the rates of merged branches may differ from their common rate.
 DEVIATIONS = 1.96
 #: Labelled pages that the common rate counts for in a template, and the share that rejects.
@@ -84,9 +85,9 @@ def _generalised(shapes: DataFrame, depth: int) -> DataFrame:
         reach = F.size("template") > at
         value = F.when(reach, F.element_at("template", F.lit(at + 1)))  # null behind the path's end
         branch = _shape(F.slice("template", 1, at)).alias("branch")
-        places = shapes.where(reach).groupBy("host", branch, value.alias("value")).agg(F.sum("pages").alias("pages"))
-        places = places.groupBy("host", "branch").agg(F.count("*").alias("values"), F.sum("pages").alias("at_branch"))
-        variable = places.where((F.col("values") >= VALUES) & (F.col("values") * PAGES_PER_VALUE >= F.col("at_branch")))
+        places = shapes.where(reach).groupBy("host", branch, value.alias("value")).agg(F.count("*").cast("double").alias("shapes"))
+        places = places.groupBy("host", "branch").agg(F.sum("shapes").alias("all"), F.sum(F.col("shapes") * F.col("shapes")).alias("same"))
+        variable = places.where(F.col("all") * F.col("all") >= VALUES * F.col("same"))
         marked = shapes.withColumn("branch", branch).join(variable.select("host", "branch", F.lit(True).alias("variable")), ["host", "branch"], "left")
         template = F.when(F.col("variable") & reach, _put(F.col("template"), at, F.lit(_ANY))).otherwise(F.col("template"))
         shapes = cut(marked.withColumn("template", template).drop("branch", "variable"))
@@ -98,18 +99,20 @@ def _merged(templates: DataFrame, depth: int) -> DataFrame:
     table = templates.withColumn("merged", F.col("template"))
     for at in reversed(range(depth)):
         reach = F.size("merged") > at
-        counted = table.groupBy("host", "merged").agg(F.sum("labelled").alias("n"), F.sum("blocked").alias("k")).where((F.col("n") > 0) & reach)
-        rate = F.col("k") / F.col("n")
         around = _put(F.col("merged"), at, F.lit(_ANY)).alias("around")
+        counted = table.where(reach).groupBy("host", "merged").agg(F.sum("labelled").alias("n"), F.sum("blocked").alias("k")).select("*", around)
         # Branches are compared within a quarter of the rates, so that one odd branch does not keep the others apart.
-        sides = counted.select("host", "merged", "n", "k", around, F.round(rate * 4).cast("int").alias("quarter"))
-        common = Window.partitionBy("host", "around", "quarter")
-        p = F.sum("k").over(common) / F.sum("n").over(common)
-        like = F.abs(F.col("k") / F.col("n") - p) <= DEVIATIONS * F.sqrt(p * (1 - p) / F.col("n")) + 1e-9
-        tested = sides.withColumn("like", like)
-        joined = tested.withColumn("together", F.sum(F.col("like").cast("int")).over(common)).where("like and together > 1")
-        mark = F.concat(F.lit(f"{_ANY}"), F.col("quarter").cast("string"))
-        changes = joined.select("host", "merged", _put(F.col("merged"), at, mark).alias("now"))
+        sides = counted.where("n > 0").withColumn("quarter", F.round(F.col("k") / F.col("n") * 4).cast("int"))
+        rates = sides.groupBy("host", "around", "quarter").agg((F.sum("k") / F.sum("n")).alias("p"))
+        near = F.abs(F.col("k") / F.col("n") - F.col("p")) <= DEVIATIONS * F.sqrt(F.col("p") * (1 - F.col("p")) / F.col("n")) + 1e-9
+        tested = cut(sides.join(rates, ["host", "around", "quarter"]).withColumn("like", near))
+        groups = tested.groupBy("host", "around", "quarter").agg(F.sum(F.col("like").cast("int")).alias("together"))
+        mark = F.concat(F.lit(_ANY), F.col("quarter").cast("string"))
+        joined = tested.where("like").join(groups.where("together > 1"), ["host", "around", "quarter"]).select("host", "merged", mark.alias("mark"))
+        agreed = tested.groupBy("host", "around").agg(F.min("quarter").alias("quarter"), F.max("quarter").alias("most"), F.bool_and("like").alias("like"), F.count("*").alias("branches"))
+        agreed = agreed.where("like and quarter = most and branches > 1")
+        following = counted.where("n = 0").join(agreed, ["host", "around"]).select("host", "merged", mark.alias("mark"))
+        changes = joined.unionByName(following).select("host", "merged", _put(F.col("merged"), at, F.col("mark")).alias("now"))
         table = cut(table.join(changes, ["host", "merged"], "left").withColumn("merged", F.coalesce("now", "merged")).drop("now"))
     return table
 
@@ -119,7 +122,8 @@ def template_verdicts(judged: DataFrame, prior_pages: float = PRIOR_PAGES, rejec
 
     ``judged`` needs ``host``, ``path`` and ``label`` (1 blocked, 0 allowed, null unknown).
     ``purity`` is the template's labelled share of blocked pages, smoothed towards one half
-    by ``prior_pages``: without evidence nothing is rejected.
+    by ``prior_pages``: without evidence nothing is rejected.  A shape without a label has
+    evidence if two branches or more beside it are labelled and all of these agree.
     """
     segments = _segments(F.col("path"))
     shapes = cut(
@@ -146,8 +150,9 @@ def url_filter(pages: DataFrame, rules: tuple[Rule, ...] = RULES, **options) ->
 
     A url that is null or has no ``://`` has an empty host and path and is allowed, since no
     labelled page shares that template unless a rule names it.  Of rules of equal length that
-    fit, the last by text wins.  Repeated rows give repeated rows; an empty table gives an
-    empty result.
+    fit, the last by text wins.  Very long paths are ``DEPTH`` segments and one for the rest.
+    Repeated rows give repeated rows and weigh as often as labels, but do not make a place
+    variable; an empty table gives an empty result.
     """
     url = F.col("url").cast("string")
     rows = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"))

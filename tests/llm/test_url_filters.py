@@ -1,3 +1,8 @@
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,3 +83,78 @@ def test_rows_keep_only_their_columns(spark):
     df = url_filter(pages(spark, URLS[:3]))
     assert df.columns == ["page_id", "host", "path", "rule", "verdict", "template", "purity"]
     assert df.where(F.col("host") != "").count() == 0
+
+
+def plain_verdicts(rows, prior=20.0, reject=0.9):
+    """The tree with dictionaries: rows of (host, path, label) to shape -> rejected."""
+    shapes = defaultdict(lambda: [0, 0])
+    for host, path, label in rows:
+        parts = re.sub("[0-9]+", "#", path.removeprefix("/")).split("/", 6)
+        shapes[host, tuple("%2A" if p == "*" else p for p in parts)][0] += label is not None
+        shapes[host, tuple("%2A" if p == "*" else p for p in parts)][1] += label or 0
+    template = {k: list(k[1]) for k in shapes}
+    depth = max(map(len, template.values()), default=0)
+    for at in range(depth):
+        values = defaultdict(Counter)
+        for (host, _), t in template.items():
+            if len(t) > at:
+                values[host, tuple(t[:at])][t[at]] += 1
+        for (host, _), t in template.items():
+            if len(t) > at and (c := values[host, tuple(t[:at])]).total() ** 2 >= 16 * sum(n * n for n in c.values()):
+                t[at] = "*"
+    for at in reversed(range(depth)):
+        counted = defaultdict(lambda: [0, 0])
+        for k, t in template.items():
+            if len(t) > at:
+                counted[k[0], tuple(t)][0] += shapes[k][0]
+                counted[k[0], tuple(t)][1] += shapes[k][1]
+        places = defaultdict(lambda: defaultdict(list))
+        for (host, t), (n, k) in counted.items():
+            around = (host, t[:at], t[at + 1 :])
+            places[around][None if not n else math.floor(k / n * 4 + 0.5)].append((t, n, k))
+        changes = {}
+        for (host, *_), quarters in places.items():
+            like = {}
+            for quarter, sides in quarters.items():
+                if quarter is not None:
+                    p = sum(k for *_, k in sides) / sum(n for _, n, _ in sides)
+                    like[quarter] = [t for t, n, k in sides if abs(k / n - p) <= 1.96 * math.sqrt(p * (1 - p) / n) + 1e-9]
+                    if len(like[quarter]) > 1:
+                        changes |= {(host, t): f"*{quarter}" for t in like[quarter]}
+            if len(like) == 1 and len(next(iter(like.values()))) == len(quarters[next(iter(like))]) > 1:
+                changes |= {(host, t): f"*{next(iter(like))}" for t, *_ in quarters.get(None, [])}
+        for k, t in template.items():
+            if (mark := changes.get((k[0], tuple(t)))) and len(t) > at:
+                t[at] = mark
+    pooled = defaultdict(lambda: [0, 0])
+    for k, t in template.items():
+        pooled[k[0], tuple(t)][0] += shapes[k][0]
+        pooled[k[0], tuple(t)][1] += shapes[k][1]
+    return {(k[0], "/".join(k[1])): (pooled[k[0], tuple(t)][1] + prior / 2) / (pooled[k[0], tuple(t)][0] + prior) >= reject for k, t in template.items()}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_the_tree_equals_dictionaries(spark, seed):
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(1500):
+        host, a, b = rng.choice("hg"), rng.choice(["x", "y", "z", f"u{rng.randrange(60)}"]), rng.choice(["p", "q", "*", f"n{chr(97 + rng.randrange(26))}{chr(97 + rng.randrange(26))}"])
+        bad = a in "xy" and (b != "q" or host == "h")
+        rows.append((host, f"/{a}/{b}" + rng.choice(["", "/1", "/a/2/3/4/5/6/7"]), rng.choice([None, int(bad), int(bad), int(bad and rng.random() < 0.97)])))
+    judged = spark.createDataFrame(rows, "host string, path string, label int")
+    got = {(r.host, r["shape"]): r.rejected for r in template_verdicts(judged, prior_pages=4.0, reject=0.8).collect()}
+    assert got == plain_verdicts(rows, 4.0, 0.8) and len(set(got.values())) == 2
+
+
+def test_a_page_without_a_rule_is_blocked_beside_blocked_ones(spark):
+    rules = (Rule("block", "h.com", "/bad/"), Rule("block", "h.com", "/worse/"), Rule("block", "g.com", "/bad/"), Rule("allow", "f.com", "/bad/"), Rule("block", "f.com", "/worse/"))
+    urls = [f"http://{h}.com/{part}/{i}" for h in "hgf" for part in ("bad", "worse") for i in range(60)] + [f"http://{h}.com/new/{i}" for h in "hgf" for i in range(3)]
+    got = {r.path + "@" + r.host: r for r in url_filter(pages(spark, urls), rules).collect() if r.path.startswith("/new/")}
+    assert all(r.rule is None and r.verdict == ("block" if r.host == "h.com" else "allow") for r in got.values()) and len(got) == 9
+
+
+@pytest.mark.parametrize("times", [1, 4, 5, 20])
+def test_repeated_urls_change_no_template(spark, times):
+    rows = [("h", f"/u/name{chr(97 + i % 26)}{chr(97 + i // 26)}/x", 1 if i % 2 else None) for i in range(240)] * times
+    got = template_verdicts(spark.createDataFrame(rows, "host string, path string, label int")).collect()
+    assert len(got) == 240 and all(r.rejected for r in got) == (120 * times + 10 >= 0.9 * (120 * times + 20))
