@@ -362,12 +362,11 @@ def _near_sizes(rows: DataFrame, percent: int) -> DataFrame:
 
 def _ids(pairs: DataFrame) -> DataFrame:
     """The distinct ids of both sides."""
-    return pairs.select(F.col("a").alias("id")).distinct().unionByName(pairs.select(F.col("b").alias("id")).distinct()).distinct()
+    return pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
 
 
 def _in_reach(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs that pass the suffix filter; ``sets`` has ``id``, ``n`` and ``profile``."""
-    sets = _only(sets, _ids(pairs))
     with_a = pairs.join(sets.select(F.col("id").alias("a"), "n", F.col("profile").alias("x")), "a")
     with_b = with_a.join(sets.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("profile").alias("y")), "b")
     return with_b.mapInArrow(_suffix_filter(percent), _PAIR).distinct()
