@@ -60,3 +60,10 @@ def test_each_stage_on_its_own_input(spark, tmp_path):
 def test_run(spark):
     got = corpus_pipeline.run(spark, SF_DIR)
     assert got.count() > 100 and "sequence_id" in got.columns
+
+
+def test_without_labels_texts_with_letters_stay(spark):
+    rows = [(1, "some words", None, "s", 10), (2, "1 2 3", None, None, 5), (3, None, None, None, None), (4, "漢字", None, None, 2), (4, "漢字", None, None, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.language_id(spark, docs, SF_DIR)
+    assert got.columns == docs.columns and sorted(r.doc_id for r in got.collect()) == [1, 4, 4]
