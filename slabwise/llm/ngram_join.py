@@ -9,8 +9,8 @@
    list is near enough to in size (the length filter): they meet nothing.
 4. Round one tries, along each posting list, every document with the one before and with
    the first.  This settles groups of near copies in linear work.
-5. Round two tries, along each posting list, the document with most links so far with all
-   that are not connected to it: copies of one text are closer to it than to each other.
+5. Round two tries, along each posting list, the document with most candidates so far with
+   all others: copies of one text are closer to it than to each other.
    Round three tries all pairs of a posting list whose sides are still not connected, within
    cells of a bounded number of rows, under the length, the positional and the suffix filter.
 6. Candidates, each pair once, pass the suffix filter by the profiles of their sets; those
@@ -232,19 +232,19 @@ def _along(percent: int):
 
 
 def _to_hubs(percent: int):
-    """Rows sorted by shingle, the hub of each list first: the hub with all not connected to it."""
+    """Rows sorted by shingle, the hub of each list first: the hub with all others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, hub = None, None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            token, *rest = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("token", "id", "n", "pos", "comp"))
+            token, *rest = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("token", "id", "n", "pos"))
             rows = np.stack(rest)
             new = np.append(token[0] != last, token[1:] != token[:-1])
             heads = np.concatenate([(rows[:, 0] if hub is None else hub)[:, None], rows[:, new]], axis=1)
             first = heads[:, np.cumsum(new)]
-            use = (first[3] != rows[3]) & _possible(first[1], first[2], rows[1], rows[2], percent)
+            use = ~new & _possible(first[1], first[2], rows[1], rows[2], percent)
             last, hub = token[-1], first[:, -1].copy()
             yield _pairs(first[0][use], rows[0][use])
 
@@ -438,25 +438,20 @@ def ngram_join(docs: DataFrame, size: int = 5, percent: int = 80, counters: int
 
     tried = cut(postings.mapInArrow(_along(percent), _PAIR).distinct())
     sets = cut(filled.join(classes.select(F.col("first_id").alias("id"), "s1", "s2", "n"), ["id", "s1", "s2", "n"], "left_semi").select("id", "n", "profile"))
-    links = cut(_verified(cut(_in_reach(tried, sets, percent)), rows, size, percent))
+    reached = cut(_in_reach(tried, sets, percent))
+    degrees = reached.select("a").unionByName(reached.select(F.col("b").alias("a"))).groupBy(F.col("a").alias("id")).agg(F.count("*").alias("degree"))
+    ranked = postings.join(degrees, "id", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
+    led = ranked.repartition("token").sortWithinPartitions("token", F.desc("degree"), "id")
+    hubs = cut(led.mapInArrow(_to_hubs(percent), _PAIR).distinct().join(tried, ["a", "b"], "left_anti"))
+    links = _verified(cut(reached.unionByName(_in_reach(hubs, sets, percent))), rows, size, percent)
     # A class is known by its first id; an id with several texts links their classes.
     first = members.groupBy("id").agg(F.min("first_id").alias("rep"))
     same = members.join(first, "id").where("first_id <> rep").select(F.col("first_id").alias("a"), F.col("rep").alias("b"))
     settled = cut(connected_components(links.unionByName(same)))
-
-    def labels(components: DataFrame) -> DataFrame:
-        """Postings with their components, without the lists that are connected already."""
-        comp = F.coalesce("component", "id").alias("comp")
-        return postings.join(components.withColumnRenamed("node", "id"), "id", "left").select("token", "id", "n", "pos", "c", comp)
-
-    degrees = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("degree"))
-    ranked = labels(settled).join(degrees, "id", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
-    led = ranked.repartition("token").sortWithinPartitions("token", F.desc("degree"), "id")
-    hubs = cut(led.mapInArrow(_to_hubs(percent), _PAIR).distinct().join(tried, ["a", "b"], "left_anti"))
-    hub_links = _verified(cut(_in_reach(hubs, sets, percent)), rows, size, percent)
-    settled = cut(connected_components(links.unionByName(same).unionByName(hub_links)))
     tried = tried.unionByName(hubs)
-    labelled = labels(settled)
+
+    comp = F.coalesce("component", "id").alias("comp")
+    labelled = postings.join(settled.withColumnRenamed("node", "id"), "id", "left").select("token", "id", "n", "pos", "c", comp)
     mixed = labelled.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
     blocks = F.ceil(F.col("c") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
