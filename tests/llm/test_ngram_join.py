@@ -85,6 +85,40 @@ def test_one_document_of_each_group_stays(frame, messy):
     assert kept[0].size == 7
 
 
+def exchanged_bytes(plan):
+    """Bytes of all rows that an executed plan has sent through its exchanges."""
+    name = plan.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return exchanged_bytes(plan.executedPlan())
+    below = [plan.children().apply(i) for i in range(plan.children().size())]
+    if name.endswith("QueryStage"):
+        below = [plan.plan()]
+    own = plan.metrics().apply("dataSize").value() if name == "Exchange" else 0
+    return own + sum(map(exchanged_bytes, below))
+
+
+def test_texts_that_stay_are_not_exchanged(spark, frame, tmp_path):
+    rng = random.Random(11)
+    rows = [(i, " ".join(str(rng.random()) for _ in range(200)), "en", "web") for i in range(60)]
+    rows += [rows[3], (70, rows[4][1]), (None, rows[5][1]), (None, rows[5][1])]
+    frame(rows).write.parquet(str(tmp_path / "docs"))
+    found = ngram_groups(spark.read.parquet(str(tmp_path / "docs")), counters=1 << 12)
+    kept = found.collect()
+    assert Counter(r.doc_id for r in kept) == Counter([*range(60), None, None])
+    assert 0 < exchanged_bytes(found._jdf.queryExecution().executedPlan()) < sum(len(r[1]) for r in rows) / 4
+
+
+@pytest.mark.parametrize("bits", [1, 8, 1 << 20])
+def test_rows_that_share_a_bit_of_the_map_are_told_apart(frame, monkeypatch, bits):
+    monkeypatch.setattr(module, "FILTER_BITS", bits)
+    rows = near_copies(9, 50) + [(900, "some row that stands here twice")] * 2 + [(901, "one id two texts " * 9), (901, "another text with that id " * 9)]
+    rows += [(None, "no id here"), (None, "no id here"), (902, None), (902, None), (903, "")]
+    kept = ngram_groups(frame(rows), counters=1 << 12).collect()
+    stay = {i for i, _, c in brute(rows, 5, 80) if i == c and i is not None}
+    want = Counter({(i, t) for i, t, *_ in rows if i in stay}) + Counter((i, t) for i, t, *_ in rows if i is None)
+    assert Counter((r.doc_id, r.text) for r in kept) == want
+
+
 def test_shingles_of_rows_are_apart():
     batch = pa.RecordBatch.from_pydict({"text": ["a b c d", None, "A B", "a b c d a b c d", "a b"]})
     row, value = shingle_sets(batch, 3)
